@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordmill.llm.bpe_codec import round_trip_digests
+from recordmill.llm.common import crc32_of
+from recordmill.llm.language_id import fit, identify
+from recordmill.llm.lm_scoring import score_documents
 from recordmill.llm.packing import pack
 from recordmill.llm.token_counts import count_tokens
 from recordmill.shipping import ship
@@ -29,5 +33,16 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_counts, op5_best_fit_packing, op6_bpe_codec)}
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(crc32_of("doc_id"), F.lit(4)) == 2
+    model = fit(docs.where(~held_out), sample_rows=20_000)
+    return identify(docs, model, keep=(F.col("doc_id"), held_out.alias("held_out"))).select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), modulus=7, held_out=2, fold=3)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_counts, op5_best_fit_packing, op6_bpe_codec, op8_language_id, op9_lm_scoring)}
 ORACLES: dict[str, str] = {}
