@@ -13,6 +13,8 @@ from recordmill.llm.common import crc32_of
 from recordmill.llm.language_id import fit, identify
 from recordmill.llm.lm_scoring import score_documents
 from recordmill.llm.packing import pack
+from recordmill.llm import quality_rules
+from recordmill.llm.quality_rules import assess
 from recordmill.llm.token_counts import count_tokens
 from recordmill.shipping import ship
 
@@ -44,5 +46,9 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), modulus=7, held_out=2, fold=3)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_counts, op5_best_fit_packing, op6_bpe_codec, op8_language_id, op9_lm_scoring)}
-ORACLES: dict[str, str] = {}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assess(table(spark, sf_dir, "documents"), keep=(F.col("doc_id"),)).drop("lost_share", "clean_text")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_counts, op5_best_fit_packing, op6_bpe_codec, op8_language_id, op9_lm_scoring, op10_quality_rules)}
+ORACLES: dict[str, str] = {"op10_quality_rules": quality_rules.ORACLE}
