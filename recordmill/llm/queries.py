@@ -12,6 +12,7 @@ from recordmill.llm.bpe_codec import round_trip_digests
 from recordmill.llm.common import crc32_of
 from recordmill.llm.language_id import fit, identify
 from recordmill.llm.lm_scoring import score_documents
+from recordmill.llm.near_duplicates import near_duplicates
 from recordmill.llm.packing import pack
 from recordmill.llm import quality_rules
 from recordmill.llm.quality_rules import assess
@@ -27,6 +28,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), ngram=5, threshold=0.8)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0).drop("row")
 
@@ -50,5 +55,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(table(spark, sf_dir, "documents"), keep=(F.col("doc_id"),)).drop("lost_share", "clean_text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_counts, op5_best_fit_packing, op6_bpe_codec, op8_language_id, op9_lm_scoring, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_counts, op4_ngram_jaccard_join, op5_best_fit_packing, op6_bpe_codec, op8_language_id, op9_lm_scoring, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op10_quality_rules": quality_rules.ORACLE}
