@@ -16,6 +16,7 @@ from recordmill.llm.near_duplicates import near_duplicates
 from recordmill.llm.packing import pack
 from recordmill.llm import quality_rules
 from recordmill.llm.quality_rules import assess
+from recordmill.llm.substring_dedup import remove_repeats
 from recordmill.llm.token_counts import count_tokens
 from recordmill.shipping import ship
 
@@ -40,6 +41,10 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("clean_text", "spans")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.pmod(crc32_of("doc_id"), F.lit(4)) == 2
@@ -55,5 +60,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(table(spark, sf_dir, "documents"), keep=(F.col("doc_id"),)).drop("lost_share", "clean_text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_counts, op4_ngram_jaccard_join, op5_best_fit_packing, op6_bpe_codec, op8_language_id, op9_lm_scoring, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_counts, op4_ngram_jaccard_join, op5_best_fit_packing, op6_bpe_codec, op7_suffix_array_dedup, op8_language_id, op9_lm_scoring, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op10_quality_rules": quality_rules.ORACLE}
