@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordmill.llm import license_scan, quality_rules
 from recordmill.llm.bpe_codec import round_trip_digests
 from recordmill.llm.common import crc32_of
 from recordmill.llm.language_id import fit, identify
+from recordmill.llm.license_scan import corpus_path, scan
 from recordmill.llm.lm_scoring import score_documents
 from recordmill.llm.near_duplicates import near_duplicates
+from recordmill.llm.neighbours import search
 from recordmill.llm.packing import pack
-from recordmill.llm import quality_rules
 from recordmill.llm.quality_rules import assess
 from recordmill.llm.substring_dedup import remove_repeats
 from recordmill.llm.token_counts import count_tokens
@@ -25,10 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"), corpus_path())
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), ngram=5, threshold=0.8)
 
@@ -60,5 +70,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(table(spark, sf_dir, "documents"), keep=(F.col("doc_id"),)).drop("lost_share", "clean_text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_counts, op4_ngram_jaccard_join, op5_best_fit_packing, op6_bpe_codec, op7_suffix_array_dedup, op8_language_id, op9_lm_scoring, op10_quality_rules)}
-ORACLES: dict[str, str] = {"op10_quality_rules": quality_rules.ORACLE}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_multiprobe_neighbours, op2_token_counts, op3_license_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op6_bpe_codec, op7_suffix_array_dedup, op8_language_id, op9_lm_scoring, op10_quality_rules)}
+ORACLES: dict[str, str] = {"op3_license_scan": license_scan.ORACLE, "op10_quality_rules": quality_rules.ORACLE}
