@@ -73,8 +73,8 @@ def state_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.col("user_id").alias("job_id"), "event_id", F.col("ts").cast("timestamp").alias("at"), state.alias("state"), F.col("value").alias("ms"))
 
 
-E = f"(SELECT user_id AS job_id, event_id, CAST(ts AS TIMESTAMP) AS at, CASE event_type {_STATE_SQL} END AS state, value AS ms FROM events)"
-CURRENT = f"(SELECT job_id, arg_max(state, (at, event_id)) AS state, max(at) AS updated_at, min(at) AS created_at, count(*) AS revision FROM {E} GROUP BY job_id)"
+E = f"(SELECT user_id AS job_id, event_id, CAST(ts AS TIMESTAMP) AS moment, CASE event_type {_STATE_SQL} END AS state, value AS ms FROM events)"
+CURRENT = f"(SELECT job_id, arg_max(state, (moment, event_id)) AS state, max(moment) AS updated_at, min(moment) AS created_at, count(*) AS revision FROM {E} GROUP BY job_id)"
 
 _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
