@@ -30,6 +30,12 @@ def line_fails(line: Column) -> Column:
     return punctuation | navigation | boilerplate
 
 
+def held(c: Column) -> Column:
+    """The column itself, but not to be merged into what uses it: within a lambda it would be worked
+    out anew for every element."""
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 def assess(docs: DataFrame, *, text_col: str = "text", keep: tuple[Column, ...] = (), min_words: int = 50, most_repeated: int = 50, most_lost: float = 0.5) -> DataFrame:
     """The columns of ``keep``, then n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, lost_share, kept and clean_text (null if rejected; the text itself if no line fails).
@@ -43,19 +49,19 @@ def assess(docs: DataFrame, *, text_col: str = "text", keep: tuple[Column, ...]
     kept = [F.col(f"`{c}`") for c in names]
     bare = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
     # each step materialises what later lambdas refer to
-    rows = rows.select(*kept, "__text", F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE + "+")).alias("w"), F.split(text, "\n").alias("lines"))
+    rows = rows.select(*kept, "__text", held(F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE + "+"))).alias("w"), F.split(text, "\n").alias("lines"))
     windows = F.transform(F.slice("w", F.lit(1), F.greatest(F.size("w") - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get("w", i + 1), F.get("w", i + 2)))
-    rows = rows.select(*kept, "__text", "lines", F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"), windows.alias("h"))
+    rows = rows.select(*kept, "__text", "lines", held(F.size("w").cast("long")).alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"), windows.alias("h"))
     found = F.size("h") > F.size(F.array_distinct("h"))
     in_order = F.when(found, F.array_sort(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("i")))))
     full = F.filter("lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    rows = rows.select(*kept, "__text", "lines", "n_words", "word_chars", in_order.alias("s"), full.alias("full"), F.transform("lines", line_fails).alias("fails"))
+    rows = rows.select(*kept, "__text", "lines", held(F.col("n_words")).alias("n_words"), "word_chars", in_order.alias("s"), full.alias("full"), F.transform("lines", line_fails).alias("fails"))
     twice = F.filter("s", lambda x, i: F.coalesce(F.get("s", i - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get("s", i + 1)["h"] == x["h"], F.lit(False)))
     starts = F.array_sort(F.transform(twice, lambda x: x["i"]))
     covered = F.aggregate(starts, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), lambda a, x: F.struct((x + 3).alias("end"), (a["n"] + F.least(F.lit(3), x + 3 - a["end"])).alias("n")), lambda a: a["n"])
     good = F.filter("lines", lambda x, i: ~F.get("fails", i))
     rows = rows.select(
-        *kept, "__text", "n_words", "word_chars", "full",
+        *kept, "__text", held(F.col("n_words")).alias("n_words"), "word_chars", "full",
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
