@@ -111,16 +111,16 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
     v = F.col(vector_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
-    rows = written(rows.withColumn("dim", F.size("v")), "vectors")
+    # the number that deals a row is written with it: a row must have the same one wherever it is sent
+    rows = written(rows.select("id", "v", "q", F.size("v").alias("dim"), F.xxhash64(F.monotonically_increasing_id()).alias("mix")), "vectors")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     sizes = {r["dim"]: r for r in rows.groupBy("dim").agg(F.count("*").alias("n"), F.sum(F.col("q").cast("long")).alias("queries"), F.max(norm).alias("largest")).collect()}
     if not sizes:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shards = F.create_map(*[F.lit(x) for d, r in sizes.items() for x in (d, ceil(r["n"] / shard_rows))])[F.col("dim")]
     groups = F.create_map(*[F.lit(x) for d, r in sizes.items() for x in (d, max(1, ceil(r["queries"] / group_queries)))])[F.col("dim")]
-    mixed = F.xxhash64(F.monotonically_increasing_id())
-    data = rows.select("id", "v", "dim", F.pmod(mixed, shards).alias("shard"), F.explode(F.sequence(F.lit(0), groups - 1)).alias("part"))
-    asked = rows.where("q").select("id", "v", "dim", F.pmod(mixed, groups).alias("part"), F.explode(F.sequence(F.lit(0), shards - 1)).alias("shard")).select("id", "v", "dim", F.col("shard").cast("long"), F.col("part").cast("int"))
+    data = rows.select("id", "v", "dim", F.pmod("mix", shards).alias("shard"), F.explode(F.sequence(F.lit(0), groups - 1)).alias("part"))
+    asked = rows.where("q").select("id", "v", "dim", F.pmod("mix", groups).alias("part"), F.explode(F.sequence(F.lit(0), shards - 1)).alias("shard")).select("id", "v", "dim", F.col("shard").cast("long"), F.col("part").cast("int"))
     key = ("dim", "shard", "part")
     largest = {d: r["largest"] for d, r in sizes.items()}
     data = data.select("id", "v", "dim", F.col("shard").cast("long"), F.col("part").cast("int"))
