@@ -50,7 +50,7 @@ class Tables:
             self.bucket.append(bucket.reshape(-1))
             self.rows.append(n)
 
-    def candidates(self, q: np.ndarray, share: float) -> np.ndarray:
+    def candidates(self, q: np.ndarray, share: float, least: int) -> np.ndarray:
         """seen[i, k]: query i visits a bucket with row k in some table."""
         seen = np.zeros((len(q), len(self.bucket[0])), bool)
         for a, b, cells, bucket, n in zip(self.a, self.b, self.cells, self.bucket, self.rows, strict=True):
@@ -62,7 +62,8 @@ class Tables:
                 beyond += np.maximum(np.maximum(low[None, :, j] - at, at - low[None, :, j] - self.width), 0) ** 2
             order = beyond.argsort(1)
             total = n[order].cumsum(1)
-            visit = total - n[order] < share * len(bucket)  # the bucket that passes the share is visited whole
+            # the bucket that passes the share is visited whole; a shard of few rows is seen in full
+            visit = total - n[order] < max(share * len(bucket), least)
             chosen = np.zeros(beyond.shape, bool)
             np.put_along_axis(chosen, order, visit, 1)
             seen |= chosen[:, bucket]
@@ -84,7 +85,7 @@ def search_shard(k: int, largest: dict[int, float], tables: int, projections: in
             short = x.astype(np.float32)
             for at in range(0, len(q), 128):
                 part = q[at : at + 128]
-                for i, seen in enumerate(index.candidates(part, share)):
+                for i, seen in enumerate(index.candidates(part, share, k + 1)):
                     some = np.flatnonzero(seen & (ids != qids[at + i]))
                     if len(some) > k:
                         rough = short[some] @ part[i].astype(np.float32)
