@@ -8,7 +8,6 @@ languages comes out as spans. A text is of the language that most of its letters
 from __future__ import annotations
 
 import re
-import zlib
 from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
@@ -28,7 +27,8 @@ FIRST = [x for x, _ in SCRIPTS]
 NAMES = sorted({x for _, x in SCRIPTS})
 LETTERS = re.compile(r"[^\W\d_]+")
 #: N-grams are counted in so many cells; bounds the model whatever it learns from.
-CELLS = 1 << 16
+CELL_BITS = 16
+CELLS = 1 << CELL_BITS
 BLOCK = 64
 
 
@@ -36,10 +36,28 @@ def script(word: str) -> str:
     return SCRIPTS[bisect_right(FIRST, ord(word[0])) - 1][1]
 
 
-def grams(word: str) -> list[int]:
-    """Cells of the n-grams of a word, 1 to 4 characters with its borders, and of the word."""
-    w = f" {word} "
-    return [zlib.crc32(w[i : i + n].encode("utf-8", "replace")) % CELLS for n in (1, 2, 3, 4) for i in range(len(w) - n + 1)] + [zlib.crc32(w.encode("utf-8", "replace")) % CELLS]
+def gram_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of the n-grams of 1 to 4 bytes of all words, borders included, and each one's word.
+    A word may be several parts with a space between; no n-gram goes over a space."""
+    texts = [f" {w} ".encode("utf-8", "replace") for w in words]
+    data = np.frombuffer(b"".join(texts) + b"    ", np.uint8).astype(np.uint64)
+    word = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)))
+    n = len(word)
+    space = data == 32
+    cells, owners = [], []
+    for k in (1, 2, 3, 4):
+        value = np.full(n, k, np.uint64)
+        inside = np.ones(n, bool)
+        for i in range(k):
+            value = value << np.uint64(8) | data[i : i + n]
+            if 0 < i < k - 1:
+                inside &= ~space[i : i + n]
+        inside &= ~(space[:n] & space[k - 1 : k - 1 + n]) if k < 3 else True
+        at = np.flatnonzero(inside[: n - k + 1])
+        at = at[word[at] == word[at + k - 1]]
+        cells.append((value[at] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - CELL_BITS)).astype(np.int64))
+        owners.append(word[at])
+    return np.concatenate(cells), np.concatenate(owners)
 
 
 @dataclass
@@ -67,11 +85,12 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
                 words.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
             out: dict[str, list] = {"lang": [], "kind": [], "cell": [], "n": []}
             for lang, counts in words.items():
-                cells, scripts = Counter(), Counter()
+                scripts: Counter = Counter()
                 for w, k in counts.items():
                     scripts[NAMES.index(script(w))] += k
-                    for g in grams(w):
-                        cells[g] += k
+                cell, word = gram_cells(list(counts))
+                sums = np.bincount(cell, np.fromiter(counts.values(), np.float64, len(counts))[word], CELLS)
+                cells = {int(g): int(sums[g]) for g in np.flatnonzero(sums)}
                 for kind, found in (("gram", cells), ("script", scripts)):
                     out["lang"] += [lang] * len(found)
                     out["kind"] += [kind] * len(found)
@@ -98,7 +117,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
 class Scorer:
     """Scores of white-space words, cached up to a bound."""
 
-    def __init__(self, model: Model, limit: int = 500_000) -> None:
+    def __init__(self, model: Model, limit: int = 400_000) -> None:
         self.model, self.limit = model, limit
         self.clear()
 
@@ -113,25 +132,26 @@ class Scorer:
         at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(texts)), np.int64)
         while len(self.index) > len(self.letters):
             self.scores, self.letters = np.concatenate([self.scores, np.zeros_like(self.scores)]), np.concatenate([self.letters, np.zeros_like(self.letters)])
-        cells, sizes = [], []
-        for i, word in enumerate(self.index.new, n):
-            parts = LETTERS.findall(word)
-            found = [g for p in parts for g in grams(p)]
-            cells += found
-            sizes.append(len(found))
-            self.letters[i] = sum(map(len, parts))
-        if cells:
-            # n-grams of a word overlap: their mean, times the letters, is the word's weight
-            ends = np.cumsum(sizes)
-            sums = np.concatenate([np.zeros((1, len(self.model.languages))), np.cumsum(self.model.log_p[cells], 0, dtype=np.float64)])
-            k = np.arange(n, n + len(sizes))
-            self.scores[k] = (sums[ends] - sums[ends - sizes]) / np.maximum(1, np.array(sizes))[:, None] * np.minimum(self.letters[k], 12)[:, None]
-            for i, word in enumerate(self.index.new, n):
-                if self.letters[i] and (first := LETTERS.search(word)):
-                    self.scores[i] -= np.where(self.model.allowed[script(first[0])], 0, 100)
+        for k in range(0, len(self.index.new), 20_000):
+            self.add(n + k, self.index.new[k : k + 20_000])
         self.index.new = []
         return self.scores[at], self.letters[at]
 
+    def add(self, n: int, words: list[str]) -> None:
+        parts = [LETTERS.findall(w) for w in words]
+        letters = np.fromiter((sum(map(len, p)) for p in parts), np.int32, len(parts))
+        cells, owner = gram_cells([" ".join(p) for p in parts])
+        found = np.maximum(1, np.bincount(owner, minlength=len(words)))
+        self.letters[n : n + len(words)] = letters
+        # n-grams of a word overlap: their mean, times the letters, is the word's weight
+        weight = np.minimum(letters, 12) / found
+        for k in range(len(self.model.languages)):
+            self.scores[n : n + len(words), k] = np.bincount(owner, self.model.log_p[cells, k], len(words)) * weight
+        for name, allowed in self.model.allowed.items():
+            if not allowed.all():
+                other = [i for i, p in enumerate(parts) if p and script(p[0]) == name]
+                self.scores[np.array(other, np.int64) + n] -= np.where(allowed, 0, 100)
+
 
 def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
     """The best language of every word of texts of these sizes, given word scores.
