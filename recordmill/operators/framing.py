@@ -176,8 +176,10 @@ def json_elements(data: bytes, first_field: str | None, max_bytes: int = 0) -> I
 
 
 def resume(text: str, at: int) -> int:
-    """The next comma or bracket outside strings at the array's own level, or the end."""
-    depth, quoted, n = 0, False, len(text)
+    """The next comma or closing bracket outside strings at the array's own level, or the end.
+    Brackets that close nothing, or close what another kind opened, are passed over."""
+    opened: list[str] = []
+    quoted, n = False, len(text)
     while at < n:
         c = text[at]
         if quoted:
@@ -188,12 +190,13 @@ def resume(text: str, at: int) -> int:
         elif c == '"':
             quoted = True
         elif c in "[{":
-            depth += 1
+            opened.append("]" if c == "[" else "}")
         elif c in "]}":
-            if not depth:
+            if opened and opened[-1] == c:
+                opened.pop()
+            elif not opened and c == "]":
                 return at
-            depth -= 1
-        elif c == "," and not depth:
+        elif c == "," and not opened:
             return at
         at += 1
     return n
