@@ -30,9 +30,10 @@ def with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a language that most of their letters have."""
+    """Keeps documents of which one language has a third of the letters at least: texts with a quoted
+    passage in another language stay."""
     model = fit(docs, sample_rows=20_000)
-    return identify(docs, model, keep=tuple(map(F.col, docs.columns))).where("lang_pred <> 'und' and score >= 0.5").select(*docs.columns)
+    return identify(docs, model, keep=tuple(map(F.col, docs.columns))).where("lang_pred <> 'und' and score >= 1 / 3").select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
