@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from recordmill import catalog
@@ -12,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def rows(df):
     names = sorted(df.columns)
-    return sorted(tuple(f"{v:.6f}" if isinstance(v, float) else str(None if v is None or v != v else v) for v in r) for r in df[names].astype(object).values.tolist())
+    return sorted(tuple(f"{v:.6f}" if isinstance(v, float) else str(None if pd.isna(v) else v) for v in r) for r in df[names].astype(object).values.tolist())
 
 
 @pytest.fixture(scope="module")
