@@ -4,7 +4,8 @@ Every window of ``length`` bytes picks one anchor: the k-gram in it with the lea
 windows pick equal anchors at the same distance, so what repeats meets under the anchor's hash. The
 windows of one anchor are neighbours and form a context, the bytes that they cover.
 
-* Contexts that occur twice as a whole repeat in all their windows: one digest tells.
+* Contexts that occur twice as a whole repeat in all their windows: the anchor's hash and a digest,
+  128 bits together, tell.
 * Different contexts with the same anchor are laid one after another and sorted by suffix; windows
   that are equal stand side by side in the suffix array and are compared byte by byte.
 * Should very many different contexts share an anchor, their windows are told apart by 128-bit
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ from recordmill.llm.suffix_array import suffix_array
 ANCHOR = 64
 #: An anchor with more different contexts is not sorted in one task.
 MOST_CONTEXTS = 1000
+#: Texts are looked through in pieces of so many bytes.
+SEGMENT = 3_000_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _table = np.random.default_rng(20240608).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -65,12 +69,12 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def contexts(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
-    """Text, first and last window start, and anchor hash of each run of windows with one anchor."""
+    """Text, first and last window start, the anchor's place after the first, and its hash, for each run of windows with one anchor."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     data = np.frombuffer(b"".join(texts), np.uint8)
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none, none, none
+        return none, none, none, none, none
     h = gram_hashes(data, ANCHOR)
     # the least hash, of equal ones the last: both follow from the window's bytes alone
     key = (h >> np.uint64(32) << np.uint64(32)) | (np.uint64(2**32 - 1) - np.arange(len(h), dtype=np.uint64))
@@ -79,40 +83,88 @@ def contexts(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     text = np.repeat(np.arange(len(texts)), sizes)[: len(least)]
     at = np.flatnonzero(np.arange(len(least)) + length <= (begin + sizes)[text])
     if not len(at):
-        return none, none, none, none
+        return none, none, none, none, none
     pick, text = least[at], text[at]
     new = np.flatnonzero(np.diff(pick, prepend=pick[:1] + np.uint64(1)).astype(bool) | np.diff(text, prepend=-1).astype(bool))
     last = np.append(new[1:], len(at)) - 1
     anchor = (np.uint64(2**32 - 1) - (pick[new] & np.uint64(2**32 - 1))).astype(np.int64)
-    return text[new], at[new] - begin[text[new]], at[last] - begin[text[new]], h[anchor].view(np.int64)
+    return text[new], at[new] - begin[text[new]], at[last] - begin[text[new]], anchor - at[new], h[anchor].view(np.int64)
 
 
 def find_contexts(length: int):
+    """Rows uid, text -> the contexts of the text, in segments of bounded size, however long it is."""
+
+    def grouped(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
+        out, size = [], 0
+        for i, text in enumerate(texts):
+            for at in range(0, max(1, len(text) - length + 1), SEGMENT):
+                piece = text[at : at + SEGMENT + length - 1]  # each window is in one piece
+                if out and size + len(piece) > SEGMENT:
+                    yield out
+                    out, size = [], 0
+                out.append((i, at, piece))
+                size += len(piece)
+        if out:
+            yield out
+
     def make():
         def step(batch: pa.RecordBatch) -> pa.Table:
-            texts = [t.encode() for t in batch.column(1).to_pylist()]
-            text, first, last, gram = contexts(texts, length)
-            digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(memoryview(texts[t])[a : b + length]) for t, a, b in zip(text.tolist(), first.tolist(), last.tolist(), strict=True)), np.int64).reshape(-1, 2)
-            return pa.table({"uid": batch.column(0).take(pa.array(text)), "first": pa.array(first.astype(np.int32)), "last": pa.array(last.astype(np.int32)), "gram": pa.array(gram), "d1": pa.array(digests[:, 0].copy()), "d2": pa.array(digests[:, 1].copy())})
+            parts = []
+            for pieces in grouped([unzip(t) for t in batch.column(1).to_pylist()]):
+                text, first, last, anchor, gram = contexts([p for _, _, p in pieces], length)
+                digest = np.fromiter((xxhash.xxh3_64_intdigest(memoryview(pieces[t][2])[a : b + length]) for t, a, b in zip(text.tolist(), first.tolist(), last.tolist(), strict=True)), np.uint64, len(text))
+                row, at = np.array([i for i, _, _ in pieces], np.int64)[text], np.array([o for _, o, _ in pieces], np.int64)[text]
+                parts.append((row, first + at, last + at, anchor, gram, digest.view(np.int64)))
+            row, first, last, anchor, gram, digest = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else [np.zeros(0, np.int64)] * 6
+            return pa.table({"uid": batch.column(0).take(pa.array(row)), "first": pa.array(first), "last": pa.array(last), "anchor": pa.array(anchor.astype(np.int32)), "gram": pa.array(gram), "digest": pa.array(digest)})
 
         return step
 
     return make
 
 
-def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
-    """For different contexts: which of the windows of each also occur elsewhere in them."""
-    begin, symbols = [], []
-    for p in parts:
+def common(a: bytes, b: bytes) -> int:
+    """How many first bytes are equal."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        if a[low:mid] == b[low:mid]:
+            low = mid
+        else:
+            high = mid - 1
+    return low
+
+
+def most_in_common(parts: list[bytes]) -> list[int]:
+    """The longest beginning that each shares with another."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    out = [0] * len(parts)
+    for a, b in zip(order, order[1:]):  # noqa: B905
+        n = common(parts[a], parts[b])
+        out[a], out[b] = max(out[a], n), max(out[b], n)
+    return out
+
+
+def repeated_windows(parts: list[bytes], anchors: list[int], length: int) -> list[np.ndarray]:
+    """For different contexts with one anchor: which of the windows of each also occur elsewhere in them.
+
+    Equal windows have the anchor at the same place, so bytes that no other context has on that side
+    of the anchor are in none; they are left out before the suffixes are sorted."""
+    right = most_in_common([p[a:] for p, a in zip(parts, anchors, strict=True)])
+    left = most_in_common([p[:a][::-1] for p, a in zip(parts, anchors, strict=True)])
+    out = [np.zeros(len(p) - length + 1, bool) for p in parts]
+    begin, symbols, some = [], [], [i for i in range(len(parts)) if left[i] + right[i] >= length]
+    for i in some:
         begin.append(len(symbols))
-        symbols += [c + 2 for c in p]
-        symbols.append(1)
-    symbols.append(0)
-    order = np.array(suffix_array(symbols))
-    data = np.array(symbols, np.int16)
+        symbols += parts[i][anchors[i] - left[i] : anchors[i] + right[i]]
+        symbols.append(-1)
+    if not some:
+        return out
+    data = np.array(symbols, np.int16) + 2
+    order = np.array(suffix_array([*data.tolist(), 0]))[1:]
     starts = np.zeros(len(data), bool)
-    for b, p in zip(begin, parts, strict=True):
-        starts[b : b + len(p) - length + 1] = True
+    for b, i in zip(begin, some, strict=True):
+        starts[b : b + left[i] + right[i] - length + 1] = True
     order = order[starts[order]]
     view, equal = np.lib.stride_tricks.sliding_window_view(data, length), np.zeros(len(order), bool)
     for k in range(0, len(order) - 1, 4096):
@@ -120,7 +172,10 @@ def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
         equal[k + 1 : k + 1 + len(b)] = (view[a[: len(b)]] == view[b]).all(1)
     again = np.zeros(len(data), bool)
     again[order[equal | np.append(equal[1:], False)]] = True
-    return [again[b : b + len(p) - length + 1] for b, p in zip(begin, parts, strict=True)]
+    for b, i in zip(begin, some, strict=True):
+        n = left[i] + right[i] - length + 1
+        out[i][anchors[i] - left[i] : anchors[i] - left[i] + n] = again[b : b + n]
+    return out
 
 
 def runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -130,18 +185,18 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 
 RUN = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-FOUND = "d1 long, d2 long, runs array<struct<first:int,last:int>>"
+FOUND = "gram long, digest long, runs array<struct<first:int,last:int>>"
 
 
 def sort_contexts(length: int):
-    """Rows gram, d1, d2, bytes in order of gram -> runs of repeated windows of each context."""
+    """Rows gram, digest, anchor, bytes in order of gram -> runs of repeated windows of each context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            found = [runs(x) for x in repeated_windows([r[3] for r in rows], length)]
-            return pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([[{"first": a, "last": b} for a, b in x] for x in found], RUN)], ["d1", "d2", "runs"])
+            found = [runs(x) for x in repeated_windows([r[3] for r in rows], [r[2] for r in rows], length)]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([[{"first": a, "last": b} for a, b in x] for x in found], RUN)], ["gram", "digest", "runs"])
 
         for batch in batches:
             for part in small(batch):
@@ -163,7 +218,7 @@ def windows_of(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def by_digest(hot: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many contexts. hot: gram, d1, d2, bytes, part (a bounded share
+    """The same for anchors with very many contexts. hot: gram, digest, bytes, part (a bounded share
     of the contexts of a gram). A part sends its distinct windows, packed, to buckets of their
     digests, and gets back which of them occur twice."""
     spark = hot.sparkSession
@@ -171,7 +226,7 @@ def by_digest(hot: DataFrame, length: int) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def keyed(group: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        group = group.sort_by([("d1", "ascending"), ("d2", "ascending")])
+        group = group.sort_by([("digest", "ascending")])
         raw, sizes = windows_of(group["bytes"].to_pylist(), length)
         keys = np.frombuffer(raw.tobytes(), np.uint64).reshape(-1, 2)
         some, at, n = np.unique(np.ascontiguousarray(keys).view([("a", np.uint64), ("b", np.uint64)]).reshape(-1), return_inverse=True, return_counts=True)
@@ -196,7 +251,7 @@ def by_digest(hot: DataFrame, length: int) -> DataFrame:
         for b, x in zip(answers["bucket"].to_pylist(), answers["again"].to_pylist(), strict=True):
             again[bucket == b] = np.frombuffer(x, bool)
         found = [runs(x) for x in np.split(again[at], np.cumsum(sizes)[:-1])]
-        return pa.table({"d1": group["d1"], "d2": group["d2"], "runs": pa.array([[{"first": a, "last": b} for a, b in x] for x in found], RUN)})
+        return pa.table({"gram": group["gram"], "digest": group["digest"], "runs": pa.array([[{"first": a, "last": b} for a, b in x] for x in found], RUN)})
 
     sent = hot.groupBy("gram", "part").applyInArrow(send, "bucket long, gram long, part long, keys binary, n binary")
     met = sent.groupBy("bucket").applyInArrow(meet, "bucket long, gram long, part long, again binary")
@@ -204,18 +259,37 @@ def by_digest(hot: DataFrame, length: int) -> DataFrame:
 
 
 def cut_contexts(length: int):
-    """Rows uid, wanted (list of contexts), text -> gram, d1, d2, contexts of the gram, bytes."""
+    """Rows uid, wanted (list of contexts), text -> gram, digest, contexts of the gram, bytes."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.Table:
-            out: dict[str, list] = {k: [] for k in ("gram", "d1", "d2", "c", "bytes")}
+            out: dict[str, list] = {k: [] for k in ("gram", "digest", "c", "anchor", "bytes")}
             for wanted, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = text.encode()
+                data = unzip(text)
                 for w in wanted:
-                    for k in ("gram", "d1", "d2", "c"):
+                    for k in ("gram", "digest", "c", "anchor"):
                         out[k].append(w[k])
                     out["bytes"].append(data[w["first"] : w["last"] + length])
-            return pa.table(out, schema=pa.schema([(k, pa.int64()) for k in ("gram", "d1", "d2", "c")] + [("bytes", pa.binary())]))
+            return pa.table(out, schema=pa.schema([(k, pa.int64()) for k in ("gram", "digest", "c", "anchor")] + [("bytes", pa.binary())]))
+
+        return step
+
+    return make
+
+
+def unzip(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def zipped():
+    """Replaces the last column, a text, by its compressed bytes: texts are shuffled twice."""
+
+    def make():
+        press = zstandard.ZstdCompressor(level=3)
+
+        def step(batch: pa.RecordBatch) -> pa.Table:
+            t = pa.Table.from_batches([batch])
+            return t.drop_columns([t.column_names[-1]]).append_column("__text", pa.array([press.compress(x.encode()) for x in t.column(t.num_columns - 1).to_pylist()], pa.binary()))
 
         return step
 
@@ -235,29 +309,29 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 def repeated_spans(docs: DataFrame, *, length: int = 400, keep: tuple[str | Column, ...] = ("doc_id",), text_col: str = "text", most_contexts: int = MOST_CONTEXTS) -> DataFrame:
     """The columns of ``keep``, then __text and __spans: for each row of ``docs`` its text (null as
-    empty) and the byte ranges (start, end; may overlap; null if none) that strings of ``length``
+    empty), as compressed bytes, and the byte ranges (start, end; may overlap; null if none) that strings of ``length``
     bytes cover which start at another place too, in this text or any other."""
     if length < ANCHOR:
         raise ValueError(f"length must be at least {ANCHOR}")
-    rows = docs.select(*keep, text_of(text_col).alias("__text"), F.monotonically_increasing_id().alias("__uid"))
+    rows = docs.select(*keep, F.monotonically_increasing_id().alias("__uid"), text_of(text_col).alias("__text"))
     names = rows.columns[:-2]
-    texts = written(rows, "texts")
+    texts = written(arrow_map(rows, zipped(), "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1]) + "__text binary"), "texts")
     slim = texts.select(F.col("__uid").alias("uid"), F.col("__text").alias("text"))
-    all_ = written(arrow_map(slim, find_contexts(length), "uid long, first int, last int, gram long, d1 long, d2 long"), "contexts")
-    different = all_.groupBy("gram", "d1", "d2").agg(F.count("*").alias("n"), F.first("uid").alias("uid"), F.first("first").alias("first"), F.first("last").alias("last"))
+    all_ = written(arrow_map(slim, find_contexts(length), "uid long, first long, last long, anchor int, gram long, digest long"), "contexts")
+    different = all_.groupBy("gram", "digest").agg(F.count("*").alias("n"), F.first("uid").alias("uid"), F.first("first").alias("first"), F.first("last").alias("last"), F.first("anchor").alias("anchor"))
     shared = different.groupBy("gram").agg(F.count("*").alias("c"), F.min("n").alias("least")).where("c > 1 and least = 1").select("gram", "c")
     some = written(different.join(shared, "gram", "left").where("n > 1 or c is not null"), "shared-contexts")
-    wanted = some.where("c is not null").groupBy("uid").agg(F.collect_list(F.struct("gram", "d1", "d2", "c", "first", "last")).alias("wanted"))
-    cut = arrow_map(wanted.join(slim, "uid").select("wanted", "text"), cut_contexts(length), "gram long, d1 long, d2 long, c long, bytes binary")
-    usual = cut.where(F.col("c") <= most_contexts).select("gram", "d1", "d2", "bytes").repartition("gram").sortWithinPartitions("gram")
+    wanted = some.where("c is not null").groupBy("uid").agg(F.collect_list(F.struct("gram", "digest", "c", "first", "last", "anchor")).alias("wanted"))
+    cut = arrow_map(wanted.join(slim, "uid").select("wanted", "text"), cut_contexts(length), "gram long, digest long, c long, anchor long, bytes binary")
+    usual = cut.where(F.col("c") <= most_contexts).select("gram", "digest", "anchor", "bytes").repartition("gram").sortWithinPartitions("gram")
     found = usual.mapInArrow(sort_contexts(length), FOUND)
     if not some.where(F.col("c") > most_contexts).isEmpty():
-        hot = cut.where(F.col("c") > most_contexts).select("gram", "d1", "d2", "bytes", F.pmod("d1", F.ceil(F.col("c") / most_contexts)).alias("part"))
+        hot = cut.where(F.col("c") > most_contexts).select("gram", "digest", "bytes", F.pmod("digest", F.ceil(F.col("c") / most_contexts)).alias("part"))
         found = found.union(by_digest(hot, length))
-    whole = some.where("n > 1").select("d1", "d2", F.array(F.struct(F.lit(0).alias("first"), (F.col("last") - F.col("first")).alias("last"))).alias("runs"))
-    parts = found.join(some.where("n = 1").select("d1", "d2"), ["d1", "d2"]).where(F.size("runs") > 0)
-    known = written(whole.union(parts.select("d1", "d2", "runs")), "repeated")
-    spans = all_.select("uid", "first", "d1", "d2").join(known.select("d1", "d2", F.explode("runs").alias("run")), ["d1", "d2"]).select("uid", (F.col("first") + F.col("run.first")).alias("start"), (F.col("first") + F.col("run.last") + length).alias("end"))
+    whole = some.where("n > 1").select("gram", "digest", F.array(F.struct(F.lit(0).alias("first"), (F.col("last") - F.col("first")).cast("int").alias("last"))).alias("runs"))
+    parts = found.where(F.size("runs") > 0).join(some.where("n = 1").select("gram", "digest"), ["gram", "digest"])
+    known = written(whole.union(parts.select("gram", "digest", "runs")), "repeated")
+    spans = all_.select("uid", "first", "gram", "digest").join(known.select("gram", "digest", F.explode("runs").alias("run")), ["gram", "digest"]).select("uid", (F.col("first") + F.col("run.first")).alias("start"), (F.col("first") + F.col("run.last") + length).alias("end"))
     of_text = spans.groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
     return texts.join(of_text.withColumnRenamed("uid", "__uid"), "__uid", "left").select(*[F.col(f"`{c}`") for c in names], "__text", "__spans")
 
@@ -277,7 +351,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, keep: tuple[str | Colu
             out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "clean_text", "spans")}
             n = batch.num_columns
             for text, spans in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist(), strict=True):
-                data, gone = text.encode(), merged(spans)
+                data, gone = unzip(text), merged(spans)
                 rest, at = [], 0
                 for a, b in gone:
                     rest.append(data[at:a])
@@ -287,7 +361,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, keep: tuple[str | Colu
                 out["n_removed"].append(len(data) - len(left))
                 out["n_spans"].append(len(gone))
                 out["kept_sha256"].append(hashlib.sha256(left).hexdigest())
-                out["clean_text"].append(text if not gone else "".join(x.decode("utf-8", "ignore") for x in [*rest, data[at:]]))
+                out["clean_text"].append(data.decode() if not gone else "".join(x.decode("utf-8", "ignore") for x in [*rest, data[at:]]))
                 out["spans"].append([{"start": a, "end": b} for a, b in gone])
             t = pa.Table.from_batches([batch]).drop_columns(["__text", "__spans"])
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

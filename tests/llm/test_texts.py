@@ -90,8 +90,18 @@ def brute_repeats(held, length):
     return sorted(out, key=key)
 
 
-@pytest.mark.parametrize(("length", "most"), [(400, 1000), (100, 1000), (100, 1)])
-def test_repeats_equal_brute_force(docs, empty, held, length, most):
+@pytest.mark.parametrize(("length", "most", "segment"), [(400, 1000, 3_000_000), (100, 1000, 700), (100, 1, 3_000_000)])
+def test_repeats_equal_brute_force(docs, empty, held, length, most, segment):
+    import recordmill.llm.substring_dedup as m
+
+    old, m.SEGMENT = m.SEGMENT, segment
+    try:
+        check_repeats(docs, empty, held, length, most)
+    finally:
+        m.SEGMENT = old
+
+
+def check_repeats(docs, empty, held, length, most):
     rows = docs.where(F.length("text") < 5000) if length < 400 else docs
     mine = [x for x in held if length == 400 or (x[1] is not None and len(x[1]) < 5000)]
     out = remove_repeats(rows, length=length, most_contexts=most).drop("clean_text", "spans")
