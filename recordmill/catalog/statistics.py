@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +9,8 @@ from recordmill.catalog.base import E, O, STATES, lines_sql, objects, query, sta
 from recordmill.functions import sizes
 from recordmill.operators import metrics
 from recordmill.sources.fixtures import fixed_width
-from recordmill.streaming.flows import dedupe_stream, drained, enveloped_stream, state_stream
+from recordmill.sources.sinks import write_files
+from recordmill.streaming.flows import dedupe_stream, drained, enveloped_stream, folder, state_stream
 
 
 @query(f"SELECT state, ms AS p95 FROM (SELECT state, ms, row_number() OVER (PARTITION BY state ORDER BY ms) - 1 AS r, count(*) OVER (PARTITION BY state) AS n FROM {E} WHERE ms IS NOT NULL) WHERE r = CAST(floor((n - 1) * 0.95) AS BIGINT)")
@@ -83,19 +81,19 @@ def stream_state_machine(spark: SparkSession, sf: str) -> DataFrame:
     return drained(state_stream(log), "states").groupBy("job_id").agg(F.max_by("state", "events").alias("state"), F.max("events").alias("events"))
 
 
-@query(f"SELECT doc_id, ordinal, byte_offset FROM {lines_sql(O)} WHERE doc_id < 50")
+@query(f"SELECT doc_id, ordinal, byte_offset FROM {lines_sql(O)}")
 def framed_source_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Some documents as files, read in tiles of 1000 bytes by the framed source.
+    """All documents as files, read in tiles of 1000 bytes by the framed source.
 
-    The source reads mounted files, so this query writes its fixture to a local folder."""
+    Tasks write the files to a new folder below spark.checkpoint.dir, a thousand to each folder in
+    it; the source reads mounted files, so that must be one."""
     from recordmill.sources.framed import FramedFiles
 
-    folder = tempfile.mkdtemp(prefix="recordmill-framed-")
-    for r in objects(spark, sf).where("doc_id < 50").select("doc_id", "content").collect():
-        with open(os.path.join(folder, f"{r['doc_id']}.txt"), "wb") as f:
-            f.write(r["content"].encode())
+    out = folder(spark, "framed")
+    name = F.concat(F.floor(F.col("doc_id") / 1000).cast("string"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    write_files(objects(spark, sf).select(name.alias("name"), "content"), out)
     spark.dataSource.register(FramedFiles)
-    rows = spark.read.format("framed_file").option("path", folder).option("mode", "text").option("targetChunkBytes", "1000").load()
+    rows = spark.read.format("framed_file").option("path", f"{out}/*/*.txt").option("mode", "text").option("targetChunkBytes", "1000").option("partitionBytes", str(4 * 1024 * 1024)).load()
     doc = F.regexp_extract("path", r"(\d+)\.txt$", 1).cast("long")
     number = F.row_number().over(metrics.Window.partitionBy("path").orderBy("byte_offset")) - 1
     return rows.select(doc.alias("doc_id"), number.cast("long").alias("ordinal"), "byte_offset")

@@ -1,11 +1,12 @@
-"""Framed files as a Spark data source: one partition per byte range, records by their first byte.
+"""Framed files as a Spark data source: partitions of byte ranges, records by their first byte.
 
     spark.dataSource.register(FramedFiles)
     spark.read.format("framed_file").option("path", folder).option("mode", "text").load()
 
 A range reads on past its end until its last record is complete, and skips the record that began
-before it, so every tiling gives the same records. JSON files are one partition each. The files'
-sizes are all that planning looks at. Paths are read by the Hadoop-free local file system or a
+before it, so every tiling gives the same records. JSON files are one range each. A partition is one
+range, or with ``partitionBytes`` as many as hold so many bytes: small files don't make a task each.
+The files' sizes are all that planning looks at. Paths are read by the Hadoop-free local file system or a
 mounted one; for other stores read ``binaryFile`` and use ``operators.framing.frame``.
 """
 
@@ -32,6 +33,24 @@ class Range(InputPartition):
         self.path, self.size, self.chunk, self.start, self.end = path, size, chunk, start, end
 
 
+class Ranges(InputPartition):
+    def __init__(self, ranges: list[Range]) -> None:
+        self.ranges = ranges
+
+
+def grouped_ranges(ranges: list[Range], most: int) -> list[Ranges]:
+    """Neighbours together while they hold at most so many bytes; a larger one stays alone."""
+    out, held = [], 0
+    for r in ranges:
+        size = r.end - r.start + 1
+        if not out or held + size > most:
+            out.append(Ranges([]))
+            held = 0
+        out[-1].ranges.append(r)
+        held += size
+    return out
+
+
 def ends_line(data: bytes) -> bool:
     return bool(data) and data[-1] in b"\r\n"
 
@@ -79,6 +98,7 @@ class FramedReader(DataSourceReader):
         self.mode = options.get("mode", "text")
         self.path = options["path"]
         self.target = int(options.get("targetchunkbytes", options.get("targetChunkBytes", 64 * 1024 * 1024)))
+        self.partition_bytes = int(options.get("partitionbytes", options.get("partitionBytes", 0)))
         self.max_bytes = int(options.get("maxrecordbytes", options.get("maxRecordBytes", 0)))
         self.strict = options.get("finalterminator", options.get("finalTerminator", "lenient")) == "strict"
         self.first_field = options.get("firstfieldname", options.get("firstFieldName"))
@@ -101,10 +121,18 @@ class FramedReader(DataSourceReader):
             out += [Range(p, size, k, a, b) for k, (a, b) in enumerate(cut, 1)]
         return out
 
-    def partitions(self) -> list[Range]:
-        return self.ranges(self.files())
+    def planned(self, paths: list[str]) -> list[Range] | list[Ranges]:
+        ranges = self.ranges(paths)
+        return grouped_ranges(ranges, self.partition_bytes) if self.partition_bytes else ranges
+
+    def partitions(self) -> list[Range] | list[Ranges]:
+        return self.planned(self.files())
+
+    def read(self, part: Range | Ranges) -> Iterator[pa.RecordBatch]:
+        for r in part.ranges if isinstance(part, Ranges) else [part]:
+            yield from self.read_range(r)
 
-    def read(self, r: Range) -> Iterator[pa.RecordBatch]:
+    def read_range(self, r: Range) -> Iterator[pa.RecordBatch]:
         n = 0
         with open(r.path, "rb") as f:
             if self.mode == "json":
@@ -152,8 +180,8 @@ class FramedStreamReader(FramedReader, DataSourceStreamReader):
     def latestOffset(self) -> dict:  # noqa: N802
         return {"files": len(self.files())}
 
-    def partitions(self, start: dict, end: dict) -> list[Range]:
-        return self.ranges(self.files()[start["files"] : end["files"]])
+    def partitions(self, start: dict, end: dict) -> list[Range] | list[Ranges]:
+        return self.planned(self.files()[start["files"] : end["files"]])
 
     def commit(self, end: dict) -> None:
         pass

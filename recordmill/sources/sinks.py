@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +29,24 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", ";").option("header", "true").csv(path)
 
 
+def write_files(df: DataFrame, path: str, name: str = "name", content: str = "content") -> None:
+    """Each row's content as a file of that name below a mounted folder, written by the tasks. A file
+    appears whole or not at all, so a task that runs again only repeats it. Null contents have none."""
+    root = path.removeprefix("file://")
+
+    def write(rows) -> None:
+        for file, data in rows:
+            to = os.path.join(root, file)
+            os.makedirs(os.path.dirname(to), exist_ok=True)
+            part = f"{to}.{uuid.uuid4().hex}.part"
+            with open(part, "wb") as f:
+                f.write(data)
+            os.replace(part, to)
+
+    rows = df.select(name, df[content].cast("binary"))
+    rows.where(rows[content].isNotNull()).foreachPartition(write)
+
+
 def publish_pending(outbox: DataFrame, delivered_path: str, sink_path: str, key: str = "completion_id") -> None:
     """Writes what is not delivered yet, then marks it. A crash in between repeats events, whose ids
     let readers drop them."""

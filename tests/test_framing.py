@@ -99,3 +99,22 @@ def test_source_batch_and_stream(spark, tmp_path):
 def test_frame_nulls_and_empty(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "a\nb")], "id int, content string")
     assert [tuple(r) for r in frame(df, F.col("content"), ["id"]).select("id", "ordinal", "raw").collect()] == [(3, 0, "a"), (3, 1, "b")]
+
+
+def test_grouped_ranges_give_the_same_lines(tmp_path):
+    from recordmill.sources.framed import FramedReader
+
+    for k in range(20):
+        (tmp_path / f"{k}.txt").write_bytes(b"".join(b"%d-%d\r\n" % (k, i) for i in range(k)))
+    read = lambda **more: [tuple(x.values()) for r in FramedReader({"path": str(tmp_path), "targetchunkbytes": "7"} | more).partitions() for b in FramedReader({"path": str(tmp_path)}).read(r) for x in b.to_pylist()]
+    few = FramedReader({"path": str(tmp_path), "targetchunkbytes": "7", "partitionbytes": "100"}).partitions()
+    assert read(partitionbytes="100") == read() and sum(range(20)) == len(read())
+    assert len(few) < 20 and all(sum(r.end - r.start + 1 for r in p.ranges) <= 100 for p in few)
+
+
+def test_framed_source_text_reads_every_document(spark):
+    from recordmill import catalog
+
+    want = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text <> ''").count()
+    rows = catalog.QUERIES["framed_source_text"](spark, "/root/testdata/sf0.001")
+    assert rows.select("doc_id").distinct().count() == want > 50
