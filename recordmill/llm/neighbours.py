@@ -5,7 +5,9 @@ buckets of each table in the order of their estimated success: the squared dista
 query's projections to the borders that a bucket lies beyond, added up, least first, until a share of
 the rows has been seen. What the tables give is merged, and the inner products themselves rank it.
 
-Inner products become distances by one more coordinate, sqrt(M^2 - |x|^2), M the largest norm.
+Inner products become distances by one more coordinate, sqrt(M^2 - |x|^2), M the largest norm. A
+query is scaled to norm M for the order of the buckets (the order of its inner products stays the
+same); a shorter one would lie near the middle of all rows and tell buckets apart by little.
 Rows are dealt evenly to shards of bounded size, each with its own tables, so equal vectors never
 crowd one task; queries visit every shard in groups of bounded size, and a shard answers with its
 nearest few.
@@ -83,9 +85,11 @@ def search_shard(k: int, largest: dict[int, float], tables: int, projections: in
             q, qids = matrix(queries["v"], dim), queries["id"].to_numpy()
             index = Tables(x, largest[dim], tables, projections, width, seed)
             short = x.astype(np.float32)
+            scaled = q / np.abs(q).max(1, keepdims=True)  # squares of very small components are zero
+            scaled *= largest[dim] / np.sqrt((scaled * scaled).sum(1, keepdims=True))
             for at in range(0, len(q), 128):
                 part = q[at : at + 128]
-                for i, seen in enumerate(index.candidates(part, share, k + 1)):
+                for i, seen in enumerate(index.candidates(scaled[at : at + 128], share, k + 1)):
                     some = np.flatnonzero(seen & (ids != qids[at + i]))
                     if len(some) > k:
                         rough = short[some] @ part[i].astype(np.float32)
