@@ -54,14 +54,14 @@ def lines_sql(source: str) -> str:
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as multi-line files: a header, a line for each turn, a trailer."""
+    """Conversations as multi-line files: a header, the lines of each turn with its mark, a trailer."""
     mark = F.when(F.col("role") == "user", "U").when(F.col("role") == "assistant", "A").otherwise("S")
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(mark, F.substring_index("text", "\n", 1)).alias("line"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(F.transform(F.split("text", "\r\n|\r|\n"), lambda x: F.concat(mark, x)), "\n").alias("line"))
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "line"))), lambda x: x["line"]), "\n")
     return turns.groupBy("conv_id").agg(F.concat(F.lit("H\n"), listed, F.lit("\nT\n")).alias("content"))
 
 
-C = "(SELECT conv_id, 'H' || chr(10) || string_agg(line, chr(10) ORDER BY turn, line) || chr(10) || 'T' || chr(10) AS content FROM (SELECT conv_id, turn, CASE role WHEN 'user' THEN 'U' WHEN 'assistant' THEN 'A' ELSE 'S' END || split_part(text, chr(10), 1) AS line FROM conversations) GROUP BY conv_id)"
+C = "(SELECT conv_id, 'H' || chr(10) || string_agg(line, chr(10) ORDER BY turn, line) || chr(10) || 'T' || chr(10) AS content FROM (SELECT conv_id, turn, CASE role WHEN 'user' THEN 'U' WHEN 'assistant' THEN 'A' ELSE 'S' END AS mark, mark || regexp_replace(text, '\\r\\n|\\r|\\n', chr(10) || mark, 'g') AS line FROM conversations) GROUP BY conv_id)"
 
 STATES = {"signup": "RECEIVED", "view": "VALIDATING", "click": "PLANNING", "purchase": "COMPLETED", "error": "FAILED"}
 _STATE_SQL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATES.items())

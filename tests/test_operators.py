@@ -93,3 +93,14 @@ def test_quality_and_metrics(spark):
     assert metrics.percentile_by_group(df, ["g"], "v", 0.95, "p").first().p == 94.0
     empty = df.limit(0)
     assert metrics.percentile_by_group(empty, ["g"], "v", 0.95, "p").count() == 0
+
+
+def test_conversations_keep_every_line(spark, tmp_path):
+    from recordmill.catalog.scanning import LAYOUT, conversations, frame
+
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "a\nb\r\n\rc"), (1, 2, "assistant", "d\ne\n"), (1, 3, "user", ""), (1, 4, "tool", "x\ny"), (1, 5, "user", None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    files = conversations(spark, str(tmp_path))
+    assert files.first().content == "H\nSs\nUa\nUb\nU\nUc\nAd\nAe\nA\nU\nSx\nSy\nT\n"
+    records = frame(files, F.col("content"), ["conv_id"], "multi-line", layout=LAYOUT).orderBy("ordinal").collect()
+    assert [r.raw for r in records] == ["Ua", "Ub", "U", "Uc\x1cAd\x1cAe\x1cA", "U"]
