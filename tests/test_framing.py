@@ -118,3 +118,13 @@ def test_framed_source_text_reads_every_document(spark):
     want = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text <> ''").count()
     rows = catalog.QUERIES["framed_source_text"](spark, "/root/testdata/sf0.001")
     assert rows.select("doc_id").distinct().count() == want > 50
+
+
+def test_utf8_guard_looks_at_whole_lines(spark):
+    from recordmill.catalog.scanning import damaged
+
+    files = spark.createDataFrame([(1, "aé\nbé\r\ncdéf\rgh\n\nx"), (2, ""), (3, None)], "doc_id int, content string")
+    data = {r.doc_id: r.content for r in damaged(files).collect()}
+    assert bytes(data[1]) == b"a\xc3\xa9\n\xe6\x97b\xc3\xa9\r\ncd\xe6\x97\xc3\xa9f\rgh\xe6\x97\n\n\xe6\x97x"
+    rows = frame(damaged(files), F.col("content"), ["doc_id"]).collect()
+    assert [(r.ordinal, r.reason, r.raw) for r in rows] == [(i, "INVALID_UTF8" if i % 4 else None, {0: "aé", 4: ""}.get(i)) for i in range(6)]
