@@ -103,11 +103,47 @@ class Pattern:
     bins: int
 
 
+def shortest(left: dict[int, int], sizes: list[int], j: int) -> list[int]:
+    """The three shortest, or all if they are fewer, beside one ``j``."""
+    out: list[int] = []
+    for x in sizes:
+        out += [x] * min(3 - len(out), left[x] - (x == j))
+        if len(out) == 3:
+            break
+    return out
+
+
+def longest_pair(left: dict[int, int], sizes: list[int], j: int, room: int) -> tuple[int, int]:
+    """Of the pairs beside one ``j`` that fit in the room the longest, and of those that are as long
+    the one with the longest member; that member first. (0, 0) if none fits."""
+    best, low = (0, 0), 0
+    for x in reversed(sizes[: bisect_left(sizes, room + 1)]):
+        n = left[x] - (x == j)
+        while low < len(sizes) and sizes[low] <= room - x:
+            low += 1
+        at = low - 1  # the longest that fits beside x
+        if at >= 0 and sizes[at] >= x:
+            at = bisect_left(sizes, x) - (n < 2)
+        if at >= 0 and sizes[at] == j != x and left[j] == 1:
+            at -= 1
+        if n and at >= 0 and x + sizes[at] > sum(best):
+            best = (x, sizes[at])
+    return best
+
+
+def fits_above(left: dict[int, int], sizes: list[int], j: int, least: int, room: int) -> bool:
+    """Two that are both longer than ``least`` fit in the room beside one ``j``."""
+    two = shortest(left, sizes[bisect_left(sizes, least + 1) :], j)[:2]
+    return len(two) == 2 and sum(two) <= room
+
+
 def dominant_sets(counts: dict[int, int], capacity: int) -> tuple[list[Pattern], dict[int, int]]:
     """Fixes, from the largest length down, sets that dominate every set with that length:
     the length alone if nothing fits beside it; with the complement that fills the sequence; or
-    with the largest that fits beside it, if no two (hence no more) of the rest fit together there
-    or the two largest that do are no longer than it. The rest is the reduced instance."""
+    with the largest that fits beside it, if no two (hence no more) of the rest fit together there,
+    or no three do and the longest two that do are no longer than it; with the longest two, if no
+    three fit, one of them is the largest and no two longer than the other fit. The rest is the
+    reduced instance."""
     left = {k: n for k, n in counts.items() if n > 0}
     sizes = sorted(left)
     fixed: list[Pattern] = []
@@ -133,13 +169,19 @@ def dominant_sets(counts: dict[int, int], capacity: int) -> tuple[list[Pattern],
                     take([j], 1)
                     continue
                 k = sizes[below]
-            smallest = sizes[0]
-            second = smallest if left[smallest] > 1 else (sizes[1] if len(sizes) > 1 else capacity + 1)
-            if k == room or smallest + second > room or (k == smallest):
-                if k == smallest and k != room and smallest + second <= room:
-                    break  # several of the same would fit: not fixed
+            few = shortest(left, sizes, j)
+            if k == room or len(few) < 2 or few[0] + few[1] > room:
                 take([j, k], left[j] // 2 if k == j else min(left[j], left[k]))
                 continue
+            if len(few) > 2 and sum(few) <= room:
+                break  # three fit: not fixed
+            x, y = longest_pair(left, sizes, j, room)
+            if x + y <= k:
+                take([j, k], left[j] // 2 if k == j else min(left[j], left[k]))
+                continue
+            if x == k and not fits_above(left, sizes, j, y, room):
+                take([j, x, y], min(left[z] // [j, x, y].count(z) for z in (j, x, y)))
+                continue
             break
     return fixed, left
 

@@ -119,3 +119,10 @@ def test_hot_length(spark):
     rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("same text").alias("text"))
     out = pack(rows, public_tokenizers.path("word_bpe_49k.json"), capacity=9)
     assert out.select("sequence_id").distinct().count() == 1000 and out.groupBy("sequence_id", "offset").count().where("count > 1").isEmpty()
+
+
+def test_two_beside_the_longest_are_fixed():
+    kept = lambda counts: [(p.lengths, p.bins) for p in dominant_sets(counts, 100)[0]]
+    assert kept({60: 1, 35: 1, 18: 1, 17: 1}) == [([60, 35], 1), ([18, 17], 1)]
+    assert kept({55: 2, 21: 4}) == [([55, 21, 21], 2)]
+    assert kept({60: 1, 22: 1, 20: 2, 15: 1})[:1] != [([60, 22, 15], 1)]  # 20 and 20 fit as well
