@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,8 +28,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, keep: Sequence[str | Column], results: Sequence[str]) -> tuple[tuple[Column, ...], Callable[[DataFrame], DataFrame]]:
+    """The kept columns under generated names, whatever theirs are (dots, names that an operator uses
+    itself), and a function that gives them their names back; one that is named like a result is
+    called input_<name> there."""
+    columns = [quoted(c) if isinstance(c, str) else c for c in keep]
+    names = docs.select(*columns).columns
+    taken = {r.lower() for r in results}
+
+    def back(df: DataFrame) -> DataFrame:
+        kept = [F.col(f"__keep{i}").alias(f"input_{c}" if c.lower() in taken else c) for i, c in enumerate(names)]
+        return df.select(*kept, *[quoted(c) for c in df.columns if not c.startswith("__keep")])
+
+    return tuple(c.alias(f"__keep{i}") for i, c in enumerate(columns)), back
+
+
+def quoted(name: str) -> Column:
+    """The column of exactly that name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def text_of(name: str) -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.coalesce(quoted(name).cast("string"), F.lit(""))
 
 
 def crc32_of(name: str) -> Column:

@@ -18,7 +18,7 @@ from recordmill.llm.near_duplicates import near_duplicates
 from recordmill.llm.neighbours import search
 from recordmill.llm.packing import pack
 from recordmill.llm.quality_rules import assess
-from recordmill.llm.substring_dedup import remove_repeats
+from recordmill.llm.substring_dedup import Rule, remove_repeats
 from recordmill.llm.token_counts import count_tokens
 from recordmill.shipping import ship
 
@@ -52,7 +52,7 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("clean_text", "spans")
+    return remove_repeats(table(spark, sf_dir, "documents"), rule=Rule(400), passages=Rule(50, "words")).drop("clean_text", "spans")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from recordmill.llm.lm_scoring import score_documents
 from recordmill.llm.near_duplicates import near_duplicates
 from recordmill.llm.quality_rules import ORACLE as QUALITY_SQL
 from recordmill.llm.quality_rules import assess
-from recordmill.llm.substring_dedup import remove_repeats
+from recordmill.llm.substring_dedup import Rule, remove_repeats
 from recordmill.llm.suffix_array import suffix_array
 
 SF = "/root/testdata/sf0.001"
@@ -90,25 +90,64 @@ def brute_repeats(held, length):
     return sorted(out, key=key)
 
 
-@pytest.mark.parametrize(("length", "most", "segment"), [(400, 1000, 3_000_000), (100, 1000, 700), (100, 1, 3_000_000)])
-def test_repeats_equal_brute_force(docs, empty, held, length, most, segment):
-    import recordmill.llm.substring_dedup as m
+def brute_passages(held, length):
+    """(id, runs of repeated words, their words, the text without them) by sets of word tuples."""
+    import re
+
+    found = [list(re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())) for _, t in held]
+    words = [[m[0] for m in f] for f in found]
+    seen = collections.Counter(tuple(w[i : i + length]) for w in words for i in range(len(w) - length + 1))
+    out = []
+    for (d, t), w, f in zip(held, words, found, strict=True):
+        gone = [any(seen[tuple(w[i : i + length])] > 1 for i in range(max(0, k - length + 1), min(k, len(w) - length) + 1)) for k in range(len(w))]
+        starts = [k for k, x in enumerate(gone) if x and not (k and gone[k - 1])]
+        rest, at, data = b"", 0, (t or "").encode()
+        for k in starts:
+            end = k
+            while end < len(gone) and gone[end]:
+                end += 1
+            rest += data[at : f[k].start()]
+            at = f[end - 1].end()
+        out.append((d, len(starts), sum(gone), (rest + data[at:]).decode()))
+    return sorted(out, key=key)
 
-    old, m.SEGMENT = m.SEGMENT, segment
-    try:
-        check_repeats(docs, empty, held, length, most)
-    finally:
-        m.SEGMENT = old
 
+@pytest.mark.parametrize(("length", "most", "segment"), [(400, 1000, 3_000_000), (100, 1000, 700), (100, 1, 3_000_000)])
+def test_repeats_equal_brute_force(docs, empty, held, monkeypatch, length, most, segment):
+    import recordmill.llm.substring_dedup as m
 
-def check_repeats(docs, empty, held, length, most):
+    monkeypatch.setattr(m, "SEGMENT", segment)
     rows = docs.where(F.length("text") < 5000) if length < 400 else docs
     mine = [x for x in held if length == 400 or (x[1] is not None and len(x[1]) < 5000)]
-    out = remove_repeats(rows, length=length, most_contexts=most).drop("clean_text", "spans")
-    assert sorted(map(tuple, out.collect()), key=key) == brute_repeats(mine, length)
+    out = remove_repeats(rows, rule=Rule(length), passages=Rule(10, "words"), most_contexts=most).collect()
+    assert sorted([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out], key=key) == brute_repeats(mine, length)
+    assert sorted([(r.doc_id, r.n_passages, r.n_passage_words) for r in out], key=key) == [x[:3] for x in brute_passages(mine, 10)]
     assert remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize(("length", "most"), [(50, 1000), (12, 1)])
+def test_repeated_words_equal_brute_force(docs, held, length, most):
+    out = remove_repeats(docs, rule=Rule(length, "words"), most_contexts=most).collect()
+    assert sorted([(r.doc_id, r.n_spans, r.clean_text) for r in out], key=key) == [(d, n, t) for d, n, _, t in brute_passages(held, length)]
+
+
+def test_passages_of_fifty_words_between_other_white_space(spark):
+    rng = np.random.default_rng(3)
+    some = [f"w{i}" for i in rng.integers(0, 10**6, 700)]
+    passage = some[:51]
+    rows = [(k, " ".join(some[60 + 90 * k : 100 + 90 * k]) + "\n" + gap.join(passage) + "\t" + " ".join(some[100 + 90 * k : 150 + 90 * k])) for k, gap in enumerate((" ", "\n", "  "))]
+    rows += [(9, " ".join(some[600:690])), (10, " ".join(passage[:49]))]
+    out = {r.doc_id: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), rule=Rule(50, "words")).collect()}
+    assert [out[k].n_spans for k in (0, 1, 2, 9, 10)] == [1, 1, 1, 0, 0]
+    assert all(passage[0] not in out[k].clean_text.split() and some[60 + 90 * k] in out[k].clean_text for k in (0, 1, 2))
+
+
+def test_rules_are_checked():
+    for wrong in ((63, "bytes"), (7, "words"), (400, "lines")):
+        with pytest.raises(ValueError, match="unit must be"):
+            Rule(*wrong)
+
+
 def test_suffix_array():
     rng = np.random.default_rng(0)
     for n in (0, 1, 2, 30, 200):
