@@ -17,44 +17,64 @@ from recordmill.llm.language_id import fit, identify
 from recordmill.llm.near_duplicates import near_duplicates
 from recordmill.llm.packing import pack
 from recordmill.llm.quality_rules import assess
-from recordmill.llm.substring_dedup import remove_repeats
+from recordmill.llm.substring_dedup import Rule, remove_repeats
 from recordmill.shipping import ship
 
 
-def with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
-    """The input's columns with another text, and its length where they have one."""
-    out = docs.withColumn("text", F.col(text))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*columns)
+class Numbered:
+    """The documents under generated column names, so that no column of theirs, whatever it is called,
+    meets one that an operator makes; and the way back to their own names."""
+
+    def __init__(self, docs: DataFrame) -> None:
+        self.names = docs.columns
+        self.columns = [f"c{i}" for i in range(len(self.names))]
+        self.docs = docs.toDF(*self.columns)
+
+    def of(self, name: str) -> str:
+        return self.columns[self.names.index(name)]
+
+    def back(self, found: DataFrame, text: str | None = None) -> DataFrame:
+        """The documents' columns of ``found``; if a text is named it takes the place of theirs, and
+        its length that of n_chars, where they have one."""
+        new = {self.of("text"): F.col(text)} if text else {}
+        if text and "n_chars" in self.names:
+            new[self.of("n_chars")] = F.length(text).cast(self.docs.schema[self.of("n_chars")].dataType)
+        return found.select(*[new.get(c, F.col(c)).alias(c) for c in self.columns]).toDF(*self.names)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents of which one language has a third of the letters at least: texts with a quoted
     passage in another language stay."""
-    model = fit(docs, sample_rows=20_000)
-    return identify(docs, model, keep=tuple(map(F.col, docs.columns))).where("lang_pred <> 'und' and score >= 1 / 3").select(*docs.columns)
+    rows = Numbered(docs)
+    model = fit(rows.docs, text_col=rows.of("text"), lang_col=rows.of("lang"), id_col=rows.of("doc_id"), sample_rows=20_000)
+    found = identify(rows.docs, model, text_col=rows.of("text"), keep=tuple(rows.columns))
+    return rows.back(found.where("lang_pred <> 'und' and score >= 1 / 3"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what passes the rules, without the lines that fail them."""
-    return with_text(assess(docs, keep=tuple(map(F.col, docs.columns))).where("kept"), docs.columns, "clean_text")
+    rows = Numbered(docs)
+    return rows.back(assess(rows.docs, text_col=rows.of("text"), keep=tuple(rows.columns)).where("kept"), text="clean_text")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group with 5-gram Jaccard similarities of 0.8 or more."""
-    return near_duplicates(docs, keep=tuple(docs.columns), ngram=5, threshold=0.8).where("kept").select(*docs.columns)
+    rows = Numbered(docs)
+    found = near_duplicates(rows.docs, keep=tuple(rows.columns), id_col=rows.of("doc_id"), text_col=rows.of("text"), ngram=5, threshold=0.8)
+    return rows.back(found.where("kept"))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out what strings of 400 bytes that occur twice cover; documents stay, if need be empty."""
-    found = remove_repeats(docs, length=400, keep=tuple(c for c in docs.columns if c != "text"))
-    return with_text(found, docs.columns, "clean_text")
+    """Takes out passages of 50 words or more that occur twice, each time; documents stay, if need be empty."""
+    rows = Numbered(docs)
+    found = remove_repeats(rows.docs, rule=Rule(50, "words"), keep=tuple(rows.columns), text_col=rows.of("text"))
+    return rows.back(found, text="clean_text")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deals the tokens of all documents to sequences of 2048."""
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0).drop("row")
+    rows = Numbered(docs)
+    return pack(rows.docs, public_tokenizers.path("word_bpe_49k.json"), id_col=rows.of("doc_id"), text_col=rows.of("text"), capacity=2048, end_id=0).drop("row")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
