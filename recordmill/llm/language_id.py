@@ -8,6 +8,7 @@ languages comes out as spans. A text is of the language that most of its letters
 from __future__ import annotations
 
 import re
+import sys
 from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
@@ -19,13 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.llm.bpe import Numbered
-from recordmill.llm.common import arrow_map
+from recordmill.llm.common import arrow_map, quoted, set_aside
 
 #: First code points of ranges of letters and the script from there on.
 SCRIPTS = [(0, "Latin"), (0x370, "Greek"), (0x400, "Cyrillic"), (0x530, "Armenian"), (0x590, "Hebrew"), (0x600, "Arabic"), (0x780, "Other"), (0x900, "Devanagari"), (0x980, "Indic"), (0xE00, "Thai"), (0xE80, "Other"), (0x10A0, "Georgian"), (0x1100, "Hangul"), (0x1200, "Other"), (0x1E00, "Latin"), (0x1F00, "Greek"), (0x2000, "Other"), (0x3040, "Kana"), (0x3100, "Han"), (0xAC00, "Hangul"), (0xD7B0, "Other"), (0xF900, "Han"), (0xFB00, "Other"), (0x20000, "Han"), (0x30000, "Other")]
 FIRST = [x for x, _ in SCRIPTS]
 NAMES = sorted({x for _, x in SCRIPTS})
-LETTERS = re.compile(r"[^\W\d_]+")
+#: What the word class of expressions has besides letters, digits and the underscore: fractions, Roman numerals and the like.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 #: N-grams are counted in so many cells; bounds the model whatever it learns from.
 CELL_BITS = 16
 CELLS = 1 << CELL_BITS
@@ -70,13 +73,15 @@ class Model:
 
 
 def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_rows: int = 20_000, alpha: float = 0.5) -> Model:
-    """Learns from a sample of about ``sample_rows`` rows (the bound of what is read into counts),
-    drawn by a hash of the id. Rows without text or language teach nothing. The driver gets one row
-    per language, cell and script: at most languages x (CELLS + scripts)."""
-    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    n = rows.count()
-    if n > sample_rows:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * sample_rows / n) + 1)
+    """Learns from a sample of about ``sample_rows`` rows (the bound of what is read into counts), as
+    many of each language or all that it has, drawn by a hash of id and text. Rows without text or
+    language teach nothing. The driver gets one number per language, then one row per language, cell
+    and script: at most languages x (CELLS + scripts)."""
+    rows = labelled.select(quoted(id_col).cast("string").alias("doc_id"), quoted(text_col).alias("text"), quoted(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
+    n_of = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if sum(n_of.values()) > sample_rows:
+        rate = F.create_map(*[F.lit(x) for lang, n in n_of.items() for x in (lang, min(1.0, sample_rows / len(n_of) / n))])
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**30)) < F.ceil(rate[F.col("lang")] * 2**30))
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.Table:
@@ -202,16 +207,18 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
     return out.reshape(-1)[cell]
 
 
-def identify(docs: DataFrame, model: Model, *, penalty: float = 6.0, text_col: str = "text", keep: tuple[Column, ...] = ()) -> DataFrame:
+def identify(docs: DataFrame, model: Model, *, penalty: float = 6.0, text_col: str = "text", keep: tuple[str | Column, ...] = ()) -> DataFrame:
     """The columns of ``keep``, then lang_pred, score and spans (array of first word, last word,
     language; words are cut at white space).
 
     score: the share of the letters that are labelled lang_pred; equal shares go to the language
     first in alphabetical order. A null text, a text without a letter, or a model that has learnt
     nothing gives ``und``, 0 and no spans. Each row is judged by its text alone; repeated rows give
-    equal results, an empty table gives none. Other columns are ignored.
+    equal results, an empty table gives none. Other columns are ignored; a kept one named like a
+    result comes back as input_<name>.
     """
-    source = docs.select(*keep, F.col(text_col).alias("__text"))
+    aside, back = set_aside(docs, keep, ("lang_pred", "score", "spans"))
+    source = docs.select(*aside, quoted(text_col).cast("string").alias("__text"))
     span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("lang", pa.string())]))
     names = np.array(model.languages, object)
 
@@ -243,4 +250,4 @@ def identify(docs: DataFrame, model: Model, *, penalty: float = 6.0, text_col: s
         return step
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    return arrow_map(source, make, f"{fields + ', ' if fields else ''}lang_pred string, score double, spans array<struct<first:int,last:int,lang:string>>")
+    return back(arrow_map(source, make, f"{fields + ', ' if fields else ''}lang_pred string, score double, spans array<struct<first:int,last:int,lang:string>>"))
