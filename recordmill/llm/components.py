@@ -14,7 +14,8 @@ def stars(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     if not large:
         both = both.where("v < u")
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # a table: else the join would take over the grouping's partitions and could not split any
+    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     # the join splits a node with very many neighbours, the grouping adds them up before it shuffles
     moved = both.join(least, "u")
     moved = moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) if large else moved.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.llm.common import arrow_map, small, text_of, written
+from recordmill.llm.common import arrow_map, quoted, set_aside, small, text_of, written
 from recordmill.llm.components import components
 
 #: 24 bands of 4 values: a pair at 0.8 shares none with a probability of 3e-6.
@@ -153,9 +153,11 @@ def near_duplicates(docs: DataFrame, *, keep: tuple[str | Column, ...] = ("doc_i
     each class, the one with the least id (the first of those with the same id). Null or empty
     texts, and texts without a word, have no n-gram and so are alone; texts shorter than an n-gram
     are similar to equal ones. Null ids come first; repeated rows are copies; an empty table gives none.
+    Other columns are ignored; a kept one named like a result comes back as input_<name>.
     """
+    aside, back = set_aside(docs, keep, ("class_id", "n_links", "n_linked_texts", "kept"))
     spark = docs.sparkSession
-    rows = docs.select(*keep, F.col(id_col).alias("__id"), text_of(text_col).alias("__text"), F.monotonically_increasing_id().alias("__uid"))
+    rows = docs.select(*aside, quoted(id_col).alias("__id"), text_of(text_col).alias("__text"), F.monotonically_increasing_id().alias("__uid"))
     names = rows.columns[:-3]
 
     def make():
@@ -193,6 +195,9 @@ def near_duplicates(docs: DataFrame, *, keep: tuple[str | Column, ...] = ("doc_i
         linked = linked.join(whole.select(F.col("node").alias("uid"), F.col("root").alias("whole")), "uid", "left").withColumn("root", F.coalesce("whole", "root"))
     text = texts.join(linked.select("uid", "links", "linked_docs", "root"), "uid", "left").select("digest", (F.coalesce("linked_docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_linked_texts"), F.coalesce("root", "uid").alias("class"))
     slim = signed.select("__uid", "__id", "__digest").join(text, F.col("__digest") == F.col("digest"), "left").select("__uid", "__id", F.coalesce("class", "__uid").alias("__class"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_linked_texts", F.lit(0)).alias("n_linked_texts"))
-    first = slim.groupBy("__class").agg(F.min(F.struct("__id", "__uid")).alias("first"))
-    decided = slim.join(first, "__class").select("__uid", F.col("first.__id").alias("class_id"), "n_links", "n_linked_texts", (F.col("first.__uid") == F.col("__uid")).alias("kept"))
-    return signed.select(*[F.col(f"`{c}`") for c in names], "__uid").join(decided, "__uid").drop("__uid")
+    # as tables, so that a join may split a class or digest with very many rows
+    slim = written(slim, "classes")
+    first = written(slim.groupBy("__class").agg(F.min(F.struct("__id", "__uid")).alias("first"), F.count("*").alias("n")).where("n > 1").select("__class", "first"), "first-of-class")
+    alone = F.col("first").isNull()
+    decided = slim.join(first, "__class", "left").select("__uid", F.when(alone, F.col("__id")).otherwise(F.col("first.__id")).alias("class_id"), "n_links", "n_linked_texts", (alone | (F.col("first.__uid") == F.col("__uid"))).alias("kept"))
+    return back(signed.select(*[F.col(f"`{c}`") for c in names], "__uid").join(decided, "__uid").drop("__uid"))
