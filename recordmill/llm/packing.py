@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordmill.llm.bpe import WORD_LEVEL, Cache, PrefixEncoder, Vocabulary
-from recordmill.llm.common import arrow_map, text_of, written
+from recordmill.llm.common import arrow_map, quoted, text_of, written
 
 #: Python's split() cuts at these, the tokenizer's pattern keeps them as text.
 SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -91,7 +91,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_c
 
         return step
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), quoted(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     return arrow_map(rows, make, f"row long, doc_id {docs.schema[id_col].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
 
@@ -259,9 +259,9 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int =
     pieces of the same length are broken by (row, piece); an empty table gives no row; other
     columns are ignored. What the driver gets is one count per length: ``capacity`` rows at most.
     """
-    pieces = written(cut_pieces(docs, tokenizer, capacity, end_id, id_col, text_col), "pieces")
-    # ranks within a length in two steps, so that a length which a third of the pieces have is not one group
-    salted = pieces.withColumn("salt", F.spark_partition_id())
+    # ranks within a length in two steps, so that a length which a third of the pieces have is not one
+    # group; the salt is written with the pieces, since it says where they once were
+    salted = written(cut_pieces(docs, tokenizer, capacity, end_id, id_col, text_col).withColumn("salt", F.spark_partition_id()), "pieces")
     per_task = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     where = places(solve(counts, capacity))
