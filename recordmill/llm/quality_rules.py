@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordmill.llm.common import quoted, set_aside
+
 #: White space between words, symbols, phrases of boilerplate lines.
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
@@ -36,15 +38,20 @@ def held(c: Column) -> Column:
     return F.when(F.monotonically_increasing_id() >= 0, c)
 
 
-def assess(docs: DataFrame, *, text_col: str = "text", keep: tuple[Column, ...] = (), min_words: int = 50, most_repeated: int = 50, most_lost: float = 0.5) -> DataFrame:
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_share", "kept", "clean_text")
+
+
+def assess(docs: DataFrame, *, text_col: str = "text", keep: tuple[str | Column, ...] = (), min_words: int = 50, most_repeated: int = 50, most_lost: float = 0.5) -> DataFrame:
     """The columns of ``keep``, then n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, lost_share, kept and clean_text (null if rejected; the text itself if no line fails).
 
     A null text has no words, so it fails the base rules. Every row is judged alone: repeated rows
-    give equal results and an empty table none. Other columns are ignored.
+    give equal results and an empty table none. Other columns are ignored; a kept one named like a
+    result comes back as input_<name>.
     """
     text = F.coalesce(F.col("__text"), F.lit(""))
-    rows = docs.select(*keep, F.col(text_col).alias("__text"))
+    aside, back = set_aside(docs, keep, RESULTS)
+    rows = docs.select(*aside, quoted(text_col).cast("string").alias("__text"))
     names = rows.columns[:-1]
     kept = [F.col(f"`{c}`") for c in names]
     bare = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
@@ -71,7 +78,7 @@ def assess(docs: DataFrame, *, text_col: str = "text", keep: tuple[Column, ...]
     lost = F.when(F.length(text) > 0, 1 - F.length("good") / F.length(text)).otherwise(0.0)
     rows = rows.select(*kept, "__text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), F.when(F.col("any_fails"), lost).otherwise(0.0).alias("lost_share"), "good", "any_fails")
     verdict = ~F.col("base_failed") & (F.col("lost_share") <= most_lost)
-    return rows.select(*kept, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_share", verdict.alias("kept"), F.when(verdict, F.when(F.col("any_fails"), F.col("good")).otherwise(F.col("__text"))).alias("clean_text"))
+    return back(rows.select(*kept, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_share", verdict.alias("kept"), F.when(verdict, F.when(F.col("any_fails"), F.col("good")).otherwise(F.col("__text"))).alias("clean_text")))
 
 
 ORACLE = r"""
