@@ -252,7 +252,14 @@ def test_against_sql(spark, sql, run):
 
 
 def test_licences(spark, docs, empty):
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n\ncode"
+    mit = 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice'
     rows = [("a/LICENSE", "Released under the MIT License."), ("a/b/x.py", "code"), ("a/b/c/y.py", "Licensed under the Apache License, Version 2.0.\ncode"), ("z.py", "code"), (None, None), ("a/b/NOTICE.txt", "nothing here")]
+    rows += [("g/wrapped.py", gpl), ("g/tag.c", "// SPDX-License-Identifier: MPL-2.0\nint x;"), ("g/inline.txt", "Some prose comes first. Then more of it! Released under the MIT License. And a last sentence."), ("m/COPYING", mit), ("m/deep/er/file", "text"), ("g/first.txt", "The MIT License (MIT)\nCopyright (c) somebody"), ("g/first.txt", "The MIT License (MIT)\nCopyright (c) somebody")]
     got = {r.path: (r.licence, r.origin) for r in scan(spark.createDataFrame(rows, "p string, text string"), F.col("p"), keep=("p",)).collect()}
-    assert got == {"a/LICENSE": ("MIT", "file"), "a/b/x.py": ("MIT", "inherited"), "a/b/c/y.py": ("Apache-2.0", "header"), "z.py": (None, "none"), "": (None, "none"), "a/b/NOTICE.txt": ("MIT", "inherited")}
+    assert got == {
+        "a/LICENSE": ("MIT", "file"), "a/b/x.py": ("MIT", "inherited"), "a/b/c/y.py": ("Apache-2.0", "header"), "z.py": (None, "none"), "": (None, "none"), "a/b/NOTICE.txt": ("MIT", "inherited"),
+        "g/wrapped.py": ("GPL-3.0", "header"), "g/tag.c": ("MPL-2.0", "header"), "g/inline.txt": ("MIT", "header"), "m/COPYING": ("MIT", "file"), "m/deep/er/file": ("MIT", "inherited"), "g/first.txt": ("MIT", "header"),
+    }
     assert scan(docs, F.col("source")).count() == docs.count() and scan(empty, F.col("source")).count() == 0
+    assert scan(docs.withColumn("score", F.lit("mine")), F.col("source"), keep=("score", "doc_id")).columns[:2] == ["input_score", "doc_id"]
