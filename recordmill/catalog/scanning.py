@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordmill.catalog.base import C, FILE_ID, O, OC, E, conversations, lines_sql, mixed, objects, query, state_log
+from recordmill.catalog.base import C, FILE_ID, O, OC, E, conversations, lines_sql, mixed, objects, query, state_log, table
 from recordmill.functions import identity, sizes
-from recordmill.functions.validate import attribute_rules, errors, type_supported
-from recordmill.operators.bundles import bundled, by_count, fits, packed
+from recordmill.functions.validate import PERMANENT_ERRORS, attribute_rules, errors, message_rules, send_error_class, type_supported
+from recordmill.operators.bundles import bodies, bundle_stats, bundled, by_count, fits, packed
 from recordmill.operators.envelope import envelopes, split_by_size
 from recordmill.operators.framing import Layout, frame, frame_lines, match_at, owned
+from recordmill.operators.ledger import confirmed, deliveries
 from recordmill.operators.quality import expanded, reasons
 from recordmill.plans.planner import balanced_tiles
 from recordmill.sources.notifications import notifications, requests
@@ -282,7 +283,52 @@ def type_whitelist(spark: SparkSession, sf: str) -> DataFrame:
     return objects(spark, sf).select("doc_id", kinds.alias("data_type"), type_supported(kinds).alias("accepted"))
 
 
-@query("SELECT * FROM (VALUES ('trace', ''), ('aws.x', 'RESERVED'), ('.dot', 'NAME'), ('a..b', 'NAME'), ('kind', 'KIND'), ('empty', 'VALUE'), ('Amazon.y', 'RESERVED'), ('sp ace', 'NAME')) AS v(name, codes)")
+_ATTRIBUTE = "(SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'trace' WHEN 1 THEN 'aws.x' WHEN 2 THEN '.dot' WHEN 3 THEN 'a..b' WHEN 4 THEN 'Amazon.' || doc_id WHEN 5 THEN 'sp ace' WHEN 6 THEN repeat('n', 250 + doc_id % 13) ELSE lang END AS name, CASE doc_id % 5 WHEN 0 THEN 'Number' WHEN 1 THEN 'Binary' WHEN 2 THEN NULL ELSE 'String' END AS kind, CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE source END AS value FROM documents)"
+
+
+@query(f"SELECT doc_id, concat_ws(',', CASE WHEN NOT regexp_full_match(name, '[A-Za-z0-9_.-]{{1,256}}') THEN 'NAME' END, CASE WHEN lower(name) LIKE 'aws.%' OR lower(name) LIKE 'amazon.%' THEN 'RESERVED' END, CASE WHEN kind IS DISTINCT FROM 'String' THEN 'KIND' END, CASE WHEN value IS NULL OR value = '' THEN 'VALUE' END) AS codes FROM {_ATTRIBUTE}")
 def validate_attributes(spark: SparkSession, sf: str) -> DataFrame:
-    rows = [("trace", "String", "1"), ("aws.x", "String", "1"), (".dot", "String", "1"), ("a..b", "String", "1"), ("kind", "Date", "1"), ("empty", "String", ""), ("Amazon.y", "Number", "1"), ("sp ace", "String", "1")]
-    return spark.createDataFrame(rows, "name string, kind string, value string").select("name", F.array_join(errors(attribute_rules()), ",").alias("codes"))
+    n = F.col("doc_id")
+    name = F.when(n % 8 == 0, "trace").when(n % 8 == 1, "aws.x").when(n % 8 == 2, ".dot").when(n % 8 == 3, "a..b").when(n % 8 == 4, F.concat(F.lit("Amazon."), n.cast("string"))).when(n % 8 == 5, "sp ace").when(n % 8 == 6, F.repeat(F.lit("n"), (n % 13 + 250).cast("int"))).otherwise(F.col("lang"))
+    kind = F.when(n % 5 == 0, "Number").when(n % 5 == 1, "Binary").when(n % 5 > 2, "String")
+    value = F.when(n % 7 == 0, "").when(n % 7 > 1, F.col("source"))
+    return table(spark, sf, "documents").select("doc_id", name.alias("name"), kind.alias("kind"), value.alias("value")).select("doc_id", F.array_join(errors(attribute_rules()), ",").alias("codes"))
+
+
+@query("SELECT doc_id, concat_ws(',', CASE WHEN doc_id % 9 = 0 THEN 'BODY' END, CASE WHEN doc_id % 13 > 10 THEN 'ATTRIBUTES' END, CASE WHEN (CASE WHEN doc_id % 9 = 0 THEN 0 WHEN doc_id % 50 = 1 THEN 1048500 ELSE 5 END) + 64 + (doc_id % 13) * (2 + 6 + 1 + 32) > 1048576 THEN 'SIZE' END) AS codes FROM documents")
+def validate_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages with up to twelve attributes and bodies up to the limit."""
+    n = F.col("doc_id")
+    body = F.when(n % 9 == 0, "").when(n % 50 == 1, F.repeat(F.lit("x"), F.lit(1_048_500))).otherwise("short")
+    keys = F.when(n % 13 > 0, F.transform(F.sequence(F.lit(10), (n % 13 + 9).cast("int")), lambda i: i.cast("string"))).otherwise(F.array().cast("array<string>"))
+    attributes = F.map_from_arrays(keys, F.transform(keys, lambda k: F.lit("v")))
+    rows = table(spark, sf, "documents").select("doc_id", body.alias("body"), attributes.alias("attributes"))
+    return rows.select("doc_id", F.array_join(errors(message_rules(F.col("body"), F.col("attributes"))), ",").alias("codes"))
+
+
+@query(f"SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'permanent' WHEN 1 THEN 'permanent' WHEN 2 THEN 'permanent' WHEN 3 THEN 'permanent' WHEN 4 THEN 'permanent' ELSE 'transient' END AS error_class FROM documents")
+def send_errors(spark: SparkSession, sf: str) -> DataFrame:
+    codes = [*PERMANENT_ERRORS, "ThrottlingException"]
+    code = F.get(F.array(*map(F.lit, codes)), (F.col("doc_id") % 7).cast("int"))
+    return table(spark, sf, "documents").select("doc_id", send_error_class(code).alias("error_class"))
+
+
+@query(f"WITH RECURSIVE {_PACK} SELECT doc_id, bundle_no, sha256(string_agg(event_id, '' ORDER BY event_id)) AS bundle_id, count(*) AS items, '{{\"schemaVersion\":\"1\",\"bundleId\":\"' || sha256(string_agg(event_id, '' ORDER BY event_id)) || '\",\"items\":[' || string_agg('{{\"eventId\":\"' || event_id || '\",\"bytes\":' || bytes || '}}', ',' ORDER BY ordinal) || ']}}' AS body FROM p GROUP BY 1, 2")
+def bundle_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    items = _bundles(spark, sf).withColumn("body", F.to_json(F.struct(F.col("event_id").alias("eventId"), "bytes")))
+    return bodies(items, ["doc_id"], "event_id", "body", ["ordinal"])
+
+
+@query(f"WITH RECURSIVE {_PACK}, s AS (SELECT count(*) AS items, sum(bytes) + {EMPTY} + count(*) - 1 AS n FROM p GROUP BY doc_id, bundle_no) SELECT count(*) AS bundles, min(items) AS min_items, max(items) AS max_items, round(avg(items), 6) AS avg_items, CAST(min(n) AS BIGINT) AS min_bytes, CAST(max(n) AS BIGINT) AS max_bytes, round(avg(n), 4) AS avg_bytes FROM s")
+def bundle_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    sizes_ = _bundles(spark, sf).groupBy("doc_id", "bundle_no").agg(F.count("*").alias("items"), (F.sum("bytes") + EMPTY + F.count("*") - 1).cast("int").alias("n"))
+    out = bundle_stats(sizes_.withColumn("body", F.repeat(F.lit("x"), F.col("n"))))
+    return out.withColumn("min_bytes", F.col("min_bytes").cast("long")).withColumn("max_bytes", F.col("max_bytes").cast("long"))
+
+
+@query(f"WITH RECURSIVE {_BATCH} SELECT doc_id, b AS batch_no, count(*) AS messages, CAST(sum(CASE WHEN ordinal % 3 = 0 THEN 1 ELSE ordinal % 3 END) AS BIGINT) AS logical_events FROM p WHERE ordinal % 7 <> 0 GROUP BY 1, 2")
+def delivery_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of batches but for those that failed; a message without a count holds one event."""
+    items = frame(objects(spark, sf), F.col("content"), ["doc_id"]).select("doc_id", "ordinal", F.octet_length("raw").cast("long").alias("bytes"), (F.col("ordinal") % 3).alias("logical_events"))
+    sent = packed(items, ["doc_id"], ["ordinal"], "bytes", max_items=10, max_bytes=3000).withColumnRenamed("bundle_no", "batch_no")
+    return deliveries(confirmed(sent, sent.where("ordinal % 7 = 0"), ["doc_id", "ordinal"]), ["doc_id", "batch_no"])

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.catalog.base import E, O, STATES, lines_sql, objects, query, state_log, table
+from recordmill.catalog.ledgers import _STEPS, chunk_command_columns
 from recordmill.functions import sizes
 from recordmill.operators import metrics
 from recordmill.sources.fixtures import fixed_width
 from recordmill.sources.sinks import write_files
-from recordmill.streaming.flows import dedupe_stream, drained, enveloped_stream, folder, state_stream
+from recordmill.streaming.flows import chunk_stream, dedupe_stream, drained, enveloped_stream, folder, state_stream
 
 
 @query(f"SELECT state, ms AS p95 FROM (SELECT state, ms, row_number() OVER (PARTITION BY state ORDER BY ms) - 1 AS r, count(*) OVER (PARTITION BY state) AS n FROM {E} WHERE ms IS NOT NULL) WHERE r = CAST(floor((n - 1) * 0.95) AS BIGINT)")
@@ -81,6 +82,13 @@ def stream_state_machine(spark: SparkSession, sf: str) -> DataFrame:
     return drained(state_stream(log), "states").groupBy("job_id").agg(F.max_by("state", "events").alias("state"), F.max("events").alias("events"))
 
 
+@query(f"WITH RECURSIVE {_STEPS} SELECT event_id, outcome, state, revision FROM p WHERE rn > 0")
+def stream_chunk_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Commands as a stream, through the chunks' state machine; rows of leases that ran out aside."""
+    stream = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events.parquet*")
+    return drained(chunk_stream(chunk_command_columns(stream)), "chunk-states").where("event_id is not null").select("event_id", "outcome", "state", "revision")
+
+
 @query(f"SELECT doc_id, ordinal, byte_offset FROM {lines_sql(O)}")
 def framed_source_text(spark: SparkSession, sf: str) -> DataFrame:
     """All documents as files, read in tiles of 1000 bytes by the framed source.

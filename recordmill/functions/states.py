@@ -23,7 +23,7 @@ CHUNK = {
     "FAILED": [],
 }
 #: The older words for job states.
-LEGACY = {"PENDING": "PROCESSING", "SCHEDULED": "PROCESSING", "SCHEDULING_FAILED": "FAILED", "RUNNING": "PROCESSING"}
+LEGACY = {"PENDING": "PLANNING", "SCHEDULED": "PROCESSING", "SCHEDULING_FAILED": "FAILED", "RUNNING": "PROCESSING"}
 #: Why a file or record is refused.
 REASONS = ["EMPTY_FILE", "INVALID_CONFIGURATION", "UNSUPPORTED_TYPE", "FILE_TOO_LARGE", "INVALID_UTF8", "OVERSIZED_RECORD", "UNTERMINATED_RECORD", "MALFORMED_JSON", "MESSAGE_TOO_LARGE", "MULTILINE_HEADER", "MULTILINE_TRAILER"]
 DATA_TYPES = ["text", "multi-line", "json"]

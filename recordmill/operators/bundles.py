@@ -62,6 +62,22 @@ def bundled(items: DataFrame, group: list[str], event_id: str, order: list[str])
     return items.groupBy(*group, "bundle_no").agg(bundle_id(F.collect_list(event_id)).alias("bundle_id"), F.count("*").alias("items"), F.transform(listed, lambda x: x["__id"]).alias("event_ids"))
 
 
+def bodies(items: DataFrame, group: list[str], event_id: str, body: str, order: list[str], version: str = "1") -> DataFrame:
+    """One row per bundle: its id and its message, the items' own JSON put into one document in
+    order. Bundles are bounded by their caps, so their items are listed without harm."""
+    listed = F.array_sort(F.collect_list(F.struct(*order, F.col(event_id).alias("__id"), F.col(body).alias("__body"))))
+    out = items.groupBy(*group, "bundle_no").agg(listed.alias("__l"))
+    number = bundle_id(F.transform("__l", lambda x: x["__id"]))
+    text = F.concat(F.lit(f'{{"schemaVersion":"{version}","bundleId":"'), F.col("bundle_id"), F.lit('","items":['), F.array_join(F.transform("__l", lambda x: x["__body"]), ","), F.lit("]}"))
+    return out.withColumn("bundle_id", number).select(*group, "bundle_no", "bundle_id", F.size("__l").cast("long").alias("items"), text.alias("body"))
+
+
+def bundle_stats(messages: DataFrame, items: str = "items", body: str = "body") -> DataFrame:
+    """Fewest, most and mean items and bytes of messages."""
+    size = F.octet_length(body)
+    return messages.agg(F.count("*").alias("bundles"), F.min(items).alias("min_items"), F.max(items).alias("max_items"), F.round(F.avg(items), 6).alias("avg_items"), F.min(size).alias("min_bytes"), F.max(size).alias("max_bytes"), F.round(F.avg(size), 4).alias("avg_bytes"))
+
+
 def by_count(items: DataFrame, order: list[str], n: int, group: list[str] | None = None) -> DataFrame:
     """batch_no of groups of ``n`` in order."""
     w = Window.partitionBy(*(group or [])).orderBy(*order)

@@ -31,13 +31,14 @@ def resolve(objects: DataFrame, configs: DataFrame, how: str = "inner") -> DataF
     others = [c for c in known.columns if c not in ("bucket", "prefix")]
     first = known.groupBy("bucket", "prefix").agg(F.min(F.struct("name", *[c for c in others if c != "name"])).alias("c"))
     lengths = sorted(r[0] for r in known.select(F.length("prefix")).distinct().collect())  # bounded by the longest key
-    rows = objects.withColumn("__row", F.monotonically_increasing_id())
-    tries = rows.select("__row", F.col("bucket").alias("__b"), F.explode(F.array_distinct(F.array(*[F.substring("key", 1, n) for n in lengths]) if lengths else F.array().cast("array<string>"))).alias("__p"))
+    # each different object once: a number made up for a row could differ between the two sides
+    keys = objects.select("bucket", "key").distinct()
+    tries = keys.select(F.col("bucket").alias("__b"), F.col("key").alias("__k"), F.explode(F.array_distinct(F.array(*[F.substring("key", 1, n) for n in lengths]) if lengths else F.array().cast("array<string>"))).alias("__p"))
     small = len(first.limit(BROADCAST_ROWS + 1).select("bucket").collect()) <= BROADCAST_ROWS
     build = F.broadcast(first) if small else first
     hits = tries.join(build, (F.col("__b") == F.col("bucket")) & (F.col("__p") == F.col("prefix")))
-    best = hits.groupBy("__row").agg(F.max_by(F.struct("bucket", "prefix", "c"), F.length("prefix")).alias("m"))
-    out = rows.join(best, "__row", how).drop("__row")
+    best = hits.groupBy("__b", "__k").agg(F.max_by(F.struct("bucket", "prefix", "c"), F.length("prefix")).alias("m"))
+    out = objects.join(best, (F.col("bucket") == F.col("__b")) & (F.col("key") == F.col("__k")), how)
     return out.select(*objects.columns, F.col("m.bucket").alias("config_bucket"), F.col("m.prefix").alias("config_prefix"), *[F.col(f"m.c.{c}").alias(c) for c in others])
 
 

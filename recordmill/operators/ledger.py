@@ -95,6 +95,30 @@ def incomplete_replays(manifest: DataFrame, wanted: DataFrame, complete: bool =
     return counts.where("wanted = found" if complete else "wanted <> found")
 
 
+def replay_audit(manifest: DataFrame, wanted: DataFrame, new_job: Column, at: Column, days: int = 90) -> DataFrame:
+    """One row for each job that is replayed: where to, which chunks, in order of their ids, and
+    until when it is kept. Chunk ids are those that were asked for, so their number is bounded by
+    the request."""
+    rows = replay(manifest, wanted, new_job).groupBy("replayed_from", F.col("job_id").alias("new_job_id"))
+    out = rows.agg(F.sort_array(F.collect_list("chunk_id")).alias("chunk_ids"), F.count("*").alias("chunks"))
+    return out.select(F.col("replayed_from").alias("source_job_id"), "new_job_id", "chunk_ids", "chunks", at.alias("created_at"), (F.unix_seconds(at) + days * 86_400).alias("expires_at"))
+
+
+def in_order(chunks: DataFrame) -> DataFrame:
+    """Chunks with their position in their job, by chunk id: the order to send them in."""
+    return chunks.withColumn("position", F.row_number().over(Window.partitionBy("job_id").orderBy("chunk_id")))
+
+
+def confirmed(sent: DataFrame, failed: DataFrame, keys: list[str]) -> DataFrame:
+    """What was sent and did not fail."""
+    return sent.join(failed.select(*keys), keys, "left_anti")
+
+
+def deliveries(messages: DataFrame, batch: list[str], logical: str = "logical_events") -> DataFrame:
+    """Calls, messages and logical events; a message that does not say how many it holds is one."""
+    return messages.groupBy(*batch).agg(F.count("*").alias("messages"), F.sum(F.coalesce(F.nullif(logical, F.lit(0)), F.lit(1))).cast("long").alias("logical_events"))
+
+
 def unexpired(rows: DataFrame, now: Column, expires: str = "expires_at") -> DataFrame:
     return rows.where(F.col(expires) > F.unix_timestamp(now))
 

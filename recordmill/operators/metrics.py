@@ -6,22 +6,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def lower_percentile(values: Column, p: float) -> Column:
-    """The value at floor((n - 1) p) in order; an aggregate. It is an exact value of the data, found
-    from the counts of the different values, not from a list of all."""
-    return F.expr(f"element_at(sort_array(collect_list({_name(values)})), cast(floor((count({_name(values)}) - 1) * {p}) as int) + 1)")
-
-
-def _name(c: Column) -> str:
-    return c._jc.toString()
+#: Values of a group are cut into so many ranges at most by their approximate quantiles.
+RANGES = 64
 
 
 def percentile_by_group(df: DataFrame, group: list[str], value: str, p: float, name: str) -> DataFrame:
-    """``lower_percentile`` for groups of any size: counts per distinct value first, then their running sum."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("__n"))
-    running = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("__upto", F.sum("__n").over(running)).withColumn("__all", F.sum("__n").over(Window.partitionBy(*group)))
-    return ranked.where(F.col("__upto") > F.floor((F.col("__all") - 1) * F.lit(p))).groupBy(*group).agg(F.min(value).alias(name))
+    """The value at floor((n - 1) p) in order of each group: an exact value of the data.
+
+    Counts per distinct value come first. Their running sum is taken within ranges of a group, cut at
+    approximate quantiles, and only the range that holds the wanted rank is looked through, so no
+    task orders a whole group. A group has at most RANGES ranges."""
+    rows = df.where(F.col(value).isNotNull()).select(*group, F.lit(0).alias("__g"), F.col(value).alias("__v"))
+    key = [*group, "__g"]
+    counts = rows.groupBy(*key, "__v").agg(F.count("*").alias("__n"))
+    cuts = rows.groupBy(*key).agg(F.array_distinct(F.percentile_approx("__v", [k / RANGES for k in range(1, RANGES)], 1000)).alias("__cuts"))
+    ranged = counts.join(cuts, key).withColumn("__r", F.size(F.filter("__cuts", lambda x: x < F.col("__v")))).drop("__cuts")
+    in_order = Window.partitionBy(*key).orderBy("__r")
+    totals = ranged.groupBy(*key, "__r").agg(F.sum("__n").alias("__in"))
+    totals = totals.withColumn("__before", F.sum("__in").over(in_order) - F.col("__in")).withColumn("__rank", F.floor((F.sum("__in").over(Window.partitionBy(*key)) - 1) * F.lit(p)))
+    totals = totals.where("__before <= __rank and __rank < __before + __in").drop("__in")
+    running = Window.partitionBy(*key).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    here = ranged.join(totals, [*key, "__r"]).withColumn("__upto", F.col("__before") + F.sum("__n").over(running))
+    return here.where("__upto > __rank").groupBy(*key).agg(F.min("__v").alias(name)).drop("__g")
 
 
 def latest(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -13,11 +13,14 @@ def duplicates(events: DataFrame, key: str = "event_id") -> DataFrame:
 def gaps(seen: DataFrame, group: str, ordinal: str, first: int, limit: int = 10) -> DataFrame:
     """The first ``limit`` ordinals that each group lacks between ``first`` and its largest.
 
-    From neighbours in order: only the missing ones are ever made, not the whole range."""
-    have = seen.select(group, F.col(ordinal).cast("long").alias("o")).distinct()
-    lists = have.where(F.col("o") >= first).groupBy(group).agg(F.array_sort(F.collect_set("o")).alias("have"), F.max("o").alias("top"))
-    missing = F.array_except(F.sequence(F.lit(first).cast("long"), "top"), "have")
-    return lists.select(group, F.explode(F.slice(missing, 1, limit)).alias("missing"))
+    From neighbours in order: no more than ``limit`` ordinals of a gap are ever made, and none of the
+    ranges between. Gaps of a group are counted up in order, so those beyond the limit make none."""
+    have = seen.select(group, F.col(ordinal).cast("long").alias("o")).where(F.col("o") >= first).distinct()
+    in_order = Window.partitionBy(group).orderBy("o")
+    rows = have.withColumn("from", F.coalesce(F.lag("o").over(in_order) + 1, F.lit(first).cast("long"))).where("o > from")
+    rows = rows.withColumn("before", F.coalesce(F.sum(F.col("o") - F.col("from")).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    some = rows.where(F.col("before") < limit).withColumn("most", F.least(F.col("o") - F.col("from"), limit - F.col("before")))
+    return some.select(group, F.explode(F.sequence(F.col("from"), F.col("from") + F.col("most") - 1)).alias("missing"))
 
 
 def violations(counts: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from recordmill.functions import identity, sizes, states
 from recordmill.functions.validate import attribute_rules, errors, split_valid, url_allowed
-from recordmill.operators import config, ledger, metrics, ops, quality
+from recordmill.operators import commands, config, ledger, metrics, ops, quality
 from recordmill.operators.bundles import greedy, packed
 from recordmill.plans.planner import balanced_tiles, chunk_count, pinned_version, tiles
 
@@ -37,10 +37,10 @@ def test_states(spark):
 
 
 def test_rules(spark):
-    rows = spark.createDataFrame([("ok", "String", "1"), ("aws.", None, None)], "name string, kind string, value string")
+    rows = spark.createDataFrame([("ok", "String", "1"), (".dot..", "String", "1"), ("aws. ", None, None)], "name string, kind string, value string")
     good, bad = split_valid(rows, attribute_rules())
-    assert [r.name for r in good.collect()] == ["ok"] and bad.first().errors == ["NAME", "RESERVED", "KIND", "VALUE"]
-    assert rows.select(errors(attribute_rules())).count() == 2
+    assert [r.name for r in good.collect()] == ["ok", ".dot.."] and bad.first().errors == ["NAME", "RESERVED", "KIND", "VALUE"]
+    assert rows.select(errors(attribute_rules())).count() == 3
 
 
 def test_planner_agrees_with_readers(spark):
@@ -95,6 +95,53 @@ def test_quality_and_metrics(spark):
     assert metrics.percentile_by_group(empty, ["g"], "v", 0.95, "p").count() == 0
 
 
+def test_gaps_of_large_ordinals_and_limits(spark):
+    seen = spark.createDataFrame([("j", 3), ("j", 2_000_000_000), ("j", 2_000_000_002), ("k", 2), ("k", 2), ("n", None)], "job string, n long")
+    got = {}
+    for job, n in quality.gaps(seen, "job", "n", 1, 5).collect():
+        got.setdefault(job, []).append(n)
+    assert {k: sorted(v) for k, v in got.items()} == {"j": [1, 2, 4, 5, 6], "k": [1]}
+    assert quality.gaps(seen.limit(0), "job", "n", 1).count() == 0
+
+
+def test_percentile_of_many_values(spark):
+    df = spark.range(200_000).select((F.col("id") % 2).alias("g"), F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("v")).union(spark.range(50_000).selectExpr("7L as g", "id % 3 as v"))
+    got = {r.g: r.p for r in metrics.percentile_by_group(df, ["g"], "v", 0.95, "p").collect()}
+    rows = {}
+    for g, v in df.collect():
+        rows.setdefault(g, []).append(v)
+    assert got == {g: sorted(v)[int((len(v) - 1) * 0.95)] for g, v in rows.items()}
+    assert metrics.percentile_by_group(df.where("g = 7"), [], "v", 0.5, "p").first().p == 1
+
+
+def test_prefixes_of_repeated_objects_after_a_shuffle(spark):
+    configs = spark.createDataFrame([("b", "k1", "one"), ("b", "k", "any")], "bucket string, prefix string, name string")
+    objects = spark.range(2000).select(F.lit("b").alias("bucket"), F.concat(F.lit("k"), F.col("id") % 50).alias("key"), "id").repartition(7)
+    got = config.resolve(objects, configs).collect()
+    assert len(got) == 2000 and all(r.name == ("one" if r.key.startswith("k1") else "any") for r in got)
+
+
+def test_commands_on_chunks(spark):
+    t0 = datetime(2024, 1, 1)
+    kinds = [("acquire", 0), ("acquire", 0), ("complete", 2), ("fail", 1), ("start", 2), ("fail", 2), ("start", 3), ("start", 3), ("fail", 3), ("fail", 3), ("complete", 3), ("acquire", 0), ("nonsense", 0)]
+    rows = [("j", "c", t0 + timedelta(minutes=i), i, k, a, 5) for i, (k, a) in enumerate(kinds)] + [("j", "d", t0, 99, "start", 1, 0), ("j", "d", t0, 100, "complete", 1, 7)]
+    log = commands.chunk_log(spark.createDataFrame(rows[::-1], "job_id string, chunk_id string, at timestamp, event_id long, kind string, attempt int, records long"))
+    assert [r.outcome for r in log.where("chunk_id = 'c'").orderBy("event_id").collect()] == ["applied", "busy", "conflict", "applied", "applied", "applied", "applied", "conflict", "applied", "unchanged", "conflict", "alreadyCompleted", "conflict"]
+    assert {tuple(r) for r in commands.chunk_states(log).collect()} == {("j", "c", "FAILED", 6, 0, 4), ("j", "d", "COMPLETED", 2, 7, 0)}
+    manifest = spark.createDataFrame([("j", 2, True), ("k", 0, True), ("l", 1, False)], "job_id string, expected_chunks long, sealed boolean")
+    out = commands.reconciled(manifest, commands.chunk_states(log))
+    assert {r.job_id: r.status for r in out.collect()} == {"j": "FAILED", "k": "COMPLETED", "l": None}
+    assert commands.broken_counts(out).count() == 0
+
+
+def test_commands_on_jobs():
+    j = commands.Job()
+    steps = ["plan", "validate", "validate", "schedule", "plan", "validate", "schedule", "seal", "seal", "schedule", "schedule", "reject", "other"]
+    assert [commands.on_job(j, k) for k in steps] == ["conflict", "applied", "unchanged", "conflict", "applied", "unchanged", "conflict", "applied", "unchanged", "applied", "unchanged", "conflict", "conflict"]
+    j = commands.Job()
+    assert commands.on_job(j, "reject", "EMPTY_FILE", "no bytes") == "applied" and j.reason == "EMPTY_FILE: no bytes" and commands.on_job(j, "reject") == "unchanged"
+
+
 def test_conversations_keep_every_line(spark, tmp_path):
     from recordmill.catalog.scanning import LAYOUT, conversations, frame
 
