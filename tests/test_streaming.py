@@ -1,6 +1,9 @@
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 
-from recordmill.streaming.flows import with_quarantine
+from recordmill.operators import commands
+from recordmill.streaming.flows import chunk_stream, drained, with_quarantine
 
 
 def test_quarantine(spark, tmp_path):
@@ -11,3 +14,20 @@ def test_quarantine(spark, tmp_path):
     assert [r.id for r in spark.read.parquet(str(tmp_path / "good")).collect()] == [1]
     bad = spark.read.parquet(str(tmp_path / "bad")).orderBy("id").select("id", "reason", F.col("attempts_left"))
     assert [tuple(r) for r in bad.collect()] == [(2, "INVALID_UTF8", 2), (3, "INVALID_CONFIGURATION", 2)]
+
+
+def test_chunk_stream_folds_like_the_batch_and_ends_leases(spark, tmp_path):
+    t0 = datetime(2024, 1, 1)
+    schema = "job_id string, chunk_id string, at timestamp, event_id long, kind string, attempt int, records long"
+    kinds = ["acquire", "complete", "start", "fail", "start"]
+    rows = [("j", str(k % 3), t0 + timedelta(seconds=k), k, kinds[k % 5], 1 + k % 2, k) for k in range(40)]
+    for number, part in enumerate((rows[:25], rows[20:], [("z", "0", t0 + timedelta(hours=2), 99, "acquire", 0, 0)], [("z", "1", t0 + timedelta(hours=2), 100, "acquire", 0, 0)])):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"f{number}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
+    got = drained(chunk_stream(stream), "chunks").collect()
+    want = commands.chunk_log(spark.createDataFrame(rows, schema)).collect()
+    key = lambda r: (r.chunk_id, r.event_id)
+    mine = sorted([r for r in got if r.job_id == "j" and r.event_id is not None], key=key)
+    assert [(r.event_id, r.outcome, r.state, r.revision) for r in mine] == [(r.event_id, r.outcome, r.state, r.revision) for r in sorted(want, key=key)]
+    running = {r.chunk_id for r in commands.chunk_states(commands.chunk_log(spark.createDataFrame(rows, schema))).where("state = 'RUNNING'").collect()}
+    assert {r.chunk_id for r in got if r.outcome == "leaseExpired" and r.job_id == "j"} == running
