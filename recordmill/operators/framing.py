@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,19 +35,32 @@ class Layout:
 
 def line_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every line, and the start of the next. CR, LF and CRLF each end one line."""
-    ends = np.flatnonzero((data == LF) | (data == CR))
-    if len(ends):
-        pair = np.append((data[ends[:-1]] == CR) & (data[ends[1:]] == LF) & (np.diff(ends) == 1), False)
-        second = np.roll(pair, 1)
-        second[0] = False
-        ends, width = ends[~second], np.where(pair, 2, 1)[~second]
-    else:
-        width = np.zeros(0, np.int64)
-    after = ends + width
-    starts = np.append(0, after)
-    if starts[-1] == len(data):
-        return starts[:-1], ends, after
-    return starts, np.append(ends, len(data)), np.append(after, len(data))
+    _, starts, ends, after = lines_of(data, np.array([0, len(data)]))
+    return starts, ends, after
+
+
+def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of contents that lie one after another: the content, start and end of every line, and where
+    the next one starts. No line, and no CRLF, goes over the end of a content."""
+    at = np.flatnonzero((data == LF) | (data == CR))
+    owner = np.searchsorted(offsets, at, "right") - 1
+    pair = np.zeros(len(at), bool)
+    pair[:-1] = (data[at[:-1]] == CR) & (data[at[1:]] == LF) & (np.diff(at) == 1) & (np.diff(owner) == 0)
+    first = ~np.concatenate([[False], pair])[: len(at)]
+    at, owner, after = at[first], owner[first], (at + 1 + pair)[first]
+    starts = np.concatenate([offsets[:-1], after])
+    of = np.concatenate([np.arange(len(offsets) - 1), owner])
+    some = starts < offsets[of + 1]
+    starts, of = starts[some], of[some]
+    order = np.argsort(starts, kind="stable")
+    starts, of = starts[order], of[order]
+    k = np.searchsorted(at, starts)
+    ended = np.zeros(len(starts), bool)
+    inside = k < len(at)
+    ended[inside] = owner[k[inside]] == of[inside]
+    ends, nexts = offsets[of + 1].copy(), offsets[of + 1].copy()
+    ends[ended], nexts[ended] = at[k[ended]], after[k[ended]]
+    return of, starts, ends, nexts
 
 
 def utf8_ok(data: bytes) -> bool:
@@ -60,8 +74,16 @@ def utf8_ok(data: bytes) -> bool:
 def text_records(data: bytes, first_ordinal: int = 0, base: int = 0, max_bytes: int = 0, strict_end: bool = False, at_end: bool = True) -> pa.RecordBatch:
     """Lines as records. Longer ones than ``max_bytes``, invalid UTF-8 and, if ``strict_end``, an
     unterminated last line keep their place with a reason and no content."""
+    _, out = text_batch(data, np.array([0, len(data)]), max_bytes, strict_end and at_end)
+    ordinal, offset = (pa.array(out.column(i).to_numpy() + x) for i, x in ((0, first_ordinal), (1, base)))
+    return pa.RecordBatch.from_arrays([ordinal, offset, *out.columns[2:]], schema=RECORD_SCHEMA)
+
+
+def text_batch(data: bytes, offsets: np.ndarray, max_bytes: int = 0, strict_end: bool = False) -> tuple[np.ndarray, pa.RecordBatch]:
+    """The lines of all contents in one pass: the content of each, and the records, numbered and
+    placed within their content."""
     array = np.frombuffer(data, np.uint8)
-    starts, ends, after = line_bounds(array)
+    of, starts, ends, after = lines_of(array, offsets)
     n = len(starts)
     sizes = ends - starts
     reasons = np.full(n, None, object)
@@ -70,20 +92,24 @@ def text_records(data: bytes, first_ordinal: int = 0, base: int = 0, max_bytes:
     if max_bytes:
         valid &= sizes <= max_bytes
         reasons[sizes > max_bytes] = "OVERSIZED_RECORD"
-    if not utf8_ok(data):
+    # a character may be cut in two by the end of a content, and so look whole
+    begin = offsets[:-1][offsets[:-1] < offsets[1:]]
+    if not utf8_ok(data) or (array[begin] & 0xC0 == 0x80).any():
         for i in np.flatnonzero(valid):
             if not utf8_ok(data[starts[i] : ends[i]]):
                 valid[i], reasons[i] = False, "INVALID_UTF8"
-    if strict_end and at_end and n and not terminated[-1]:
-        valid[-1], reasons[-1] = False, "UNTERMINATED_RECORD"
+    if strict_end:
+        open_ = ~terminated
+        valid[open_], reasons[open_] = False, "UNTERMINATED_RECORD"
     keep = np.repeat(valid, sizes)
     inside = np.zeros(len(array) + 1, np.int8)
     np.add.at(inside, starts, 1)
     np.add.at(inside, ends, -1)
-    text = array[np.cumsum(inside[:-1]).astype(bool)][keep]
-    offsets = np.concatenate([[0], np.cumsum(np.where(valid, sizes, 0))])
-    raw = pa.LargeStringArray.from_buffers(n, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(text.tobytes()), None if valid.all() else pa.array(valid).buffers()[1]).cast(pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(np.arange(first_ordinal, first_ordinal + n)), pa.array(starts + base), raw, pa.array(reasons, pa.string()), pa.array(terminated)], schema=RECORD_SCHEMA)
+    text = array[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)][keep]
+    places = np.concatenate([[0], np.cumsum(np.where(valid, sizes, 0))])
+    raw = pa.LargeStringArray.from_buffers(n, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(text.tobytes()), None if valid.all() else pa.array(valid).buffers()[1]).cast(pa.string())
+    ordinal = np.arange(n) - np.searchsorted(of, of)
+    return of, pa.RecordBatch.from_arrays([pa.array(ordinal), pa.array(starts - offsets[of]), raw, pa.array(reasons, pa.string()), pa.array(terminated)], schema=RECORD_SCHEMA)
 
 
 def matches(line: bytes, fields: list[tuple[int, int, str]]) -> bool:
@@ -219,23 +245,41 @@ def framed(data: bytes, mode: str, *, layout: Layout | None = None, first_field:
     raise ValueError(f"no such mode: {mode}")
 
 
+#: Contents are framed together up to so many bytes.
+BATCH_BYTES = 8_000_000
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows up to about BATCH_BYTES of contents (the last column), one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    number = (np.cumsum(sizes) - 1) // BATCH_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):  # noqa: B905
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def frame(files: DataFrame, content: Column, keep: list[str], mode: str = "text", **options) -> DataFrame:
     """The columns of ``keep`` and ordinal, byte_offset, raw, reason, terminated of every record.
 
-    A projection: contents are framed where they are, without a shuffle. Null contents have none.
+    A projection: contents are framed where they are, without a shuffle; lines of many contents in
+    one pass. Null contents have none.
     """
     rows = files.select(*keep, content.cast("binary").alias("__content"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.num_columns - 1
-            for i in range(batch.num_rows):
-                data = batch.column(at)[i].as_py()
-                if not data:
-                    continue
-                out = framed(data, mode, **options)
-                same = pa.array(np.full(out.num_rows, i))
-                yield pa.RecordBatch.from_arrays([*[c.take(same) for c in batch.columns[:at]], *out.columns], names=[*keep, *RECORD_SCHEMA.names])
+            for part in slices(batch):
+                data = part.column(part.num_columns - 1)
+                if mode == "text":
+                    whole = pc.fill_null(data, b"")
+                    ends = np.cumsum(pc.binary_length(whole).to_numpy().astype(np.int64))
+                    which, out = text_batch(b"".join(whole.to_pylist()), np.concatenate([[0], ends]), options.get("max_bytes", 0), options.get("strict_end", False))
+                    found = [(which, out)]
+                else:
+                    found = ((np.full(out.num_rows, i), out) for i, x in enumerate(data.to_pylist()) if x for out in [framed(x, mode, **options)])
+                for which, out in found:
+                    yield pa.RecordBatch.from_arrays([*[c.take(pa.array(which)) for c in part.columns[:-1]], *out.columns], names=[*keep, *RECORD_SCHEMA.names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(run, f"{fields}, {RECORD}")

@@ -1,11 +1,12 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from recordmill.operators.framing import Layout, frame, json_elements, multiline_records, text_records
+from recordmill.operators.framing import Layout, frame, json_elements, multiline_records, text_batch, text_records
 from recordmill.sources.framed import FramedFiles
 
 
@@ -56,6 +57,16 @@ def test_json_elements(text, expected):
     assert found == expected
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.binary(max_size=20) | st.text(alphabet="aé\r\n", max_size=12).map(str.encode), max_size=6), st.booleans())
+def test_contents_framed_together_as_alone(contents, strict):
+    ends = np.cumsum([0, *map(len, contents)])
+    which, out = text_batch(b"".join(contents), ends, 5, strict)
+    alone = [text_records(c, max_bytes=5, strict_end=strict) for c in contents]
+    assert which.tolist() == [i for i, b in enumerate(alone) for _ in range(b.num_rows)]
+    assert out.to_pylist() == [r for b in alone for r in b.to_pylist()]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="ab é\r\n", max_size=60), st.integers(1, 20))
 def test_any_tiling_gives_the_same_lines(tmp_path_factory, text, target):
