@@ -157,14 +157,17 @@ def near_duplicates(docs: DataFrame, *, keep: tuple[str | Column, ...] = ("doc_i
     """
     aside, back = set_aside(docs, keep, ("class_id", "n_links", "n_linked_texts", "kept"))
     spark = docs.sparkSession
-    rows = docs.select(*aside, quoted(id_col).alias("__id"), text_of(text_col).alias("__text"), F.monotonically_increasing_id().alias("__uid"))
-    names = rows.columns[:-3]
+    # a kept text is written once, not beside itself
+    place = [i for i, c in enumerate(keep) if c == text_col] if all(isinstance(c, str) for c in keep) and dict(docs.dtypes).get(text_col) == "string" else []
+    text = f"__keep{place[0]}" if place else "__text"
+    rows = docs.select(*aside, quoted(id_col).alias("__id"), *([] if place else [text_of(text_col).alias("__text")]), F.monotonically_increasing_id().alias("__uid"))
+    names = [c for c in rows.columns if c.startswith("__keep")]
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.Table:
             digests, sizes, sigs = [], [], []
-            for text in batch.column(batch.num_columns - 2).to_pylist():
-                grams = ngram_set(text.encode(), ngram)
+            for x in batch.column(batch.schema.get_field_index(text)).to_pylist():
+                grams = ngram_set((x or "").encode(), ngram)
                 digests.append(hashlib.md5(grams.tobytes(), usedforsecurity=False).digest() if len(grams) else None)
                 sizes.append(len(grams))
                 sigs.append(signature(grams).tobytes() if len(grams) else None)
@@ -185,7 +188,7 @@ def near_duplicates(docs: DataFrame, *, keep: tuple[str | Column, ...] = ("doc_i
     roots = written(components(bands.join(heads, "key").where("uid <> head").select(F.col("uid").alias("u"), F.col("head").alias("v"))), "candidates")
     sizes = roots.groupBy("root").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK_TEXTS).cast("int"))
     dealt = roots.join(sizes, "root").select(F.col("root").alias("comp"), F.col("node").alias("uid"), "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
-    full = dealt.join(texts.select("uid", "copies", "sig"), "uid").join(signed.select(F.col("__uid").alias("uid"), F.col("__text").alias("text")), "uid")
+    full = dealt.join(texts.select("uid", "copies", "sig"), "uid").join(signed.select(F.col("__uid").alias("uid"), F.coalesce(F.col(text), F.lit("")).alias("text")), "uid")
     pairs = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "uid", "copies", "sig", "text")
     found = written(pairs.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(verify(ngram, threshold, tolerance), "comp long, uid long, links long, linked_docs long, root long"), "links")
     linked = found.groupBy("uid").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"), F.min("root").alias("root"), F.max("root").alias("other"), F.first("comp").alias("comp"))
@@ -193,8 +196,8 @@ def near_duplicates(docs: DataFrame, *, keep: tuple[str | Column, ...] = ("doc_i
         # what is connected through several blocks is joined once more
         whole = components(several.select(F.col("uid").alias("u"), F.col("root").alias("v")).where("u <> v"))
         linked = linked.join(whole.select(F.col("node").alias("uid"), F.col("root").alias("whole")), "uid", "left").withColumn("root", F.coalesce("whole", "root"))
-    text = texts.join(linked.select("uid", "links", "linked_docs", "root"), "uid", "left").select("digest", (F.coalesce("linked_docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_linked_texts"), F.coalesce("root", "uid").alias("class"))
-    slim = signed.select("__uid", "__id", "__digest").join(text, F.col("__digest") == F.col("digest"), "left").select("__uid", "__id", F.coalesce("class", "__uid").alias("__class"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_linked_texts", F.lit(0)).alias("n_linked_texts"))
+    groups = texts.join(linked.select("uid", "links", "linked_docs", "root"), "uid", "left").select("digest", (F.coalesce("linked_docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_linked_texts"), F.coalesce("root", "uid").alias("class"))
+    slim = signed.select("__uid", "__id", "__digest").join(groups, F.col("__digest") == F.col("digest"), "left").select("__uid", "__id", F.coalesce("class", "__uid").alias("__class"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_linked_texts", F.lit(0)).alias("n_linked_texts"))
     # as tables, so that a join may split a class or digest with very many rows
     slim = written(slim, "classes")
     first = written(slim.groupBy("__class").agg(F.min(F.struct("__id", "__uid")).alias("first"), F.count("*").alias("n")).where("n > 1").select("__class", "first"), "first-of-class")
