@@ -33,6 +33,9 @@ class Numbered:
     def of(self, name: str) -> str:
         return self.columns[self.names.index(name)]
 
+    def but_text(self) -> tuple[str, ...]:
+        return tuple(c for c in self.columns if c != self.of("text"))
+
     def back(self, found: DataFrame, text: str | None = None) -> DataFrame:
         """The documents' columns of ``found``; if a text is named it takes the place of theirs, and
         its length that of n_chars, where they have one."""
@@ -54,7 +57,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what passes the rules, without the lines that fail them."""
     rows = Numbered(docs)
-    return rows.back(assess(rows.docs, text_col=rows.of("text"), keep=tuple(rows.columns)).where("kept"), text="clean_text")
+    return rows.back(assess(rows.docs, text_col=rows.of("text"), keep=rows.but_text()).where("kept"), text="clean_text")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +70,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out passages of 50 words or more that occur twice, each time; documents stay, if need be empty."""
     rows = Numbered(docs)
-    found = remove_repeats(rows.docs, rule=Rule(50, "words"), keep=tuple(rows.columns), text_col=rows.of("text"))
+    found = remove_repeats(rows.docs, rule=Rule(50, "words"), keep=rows.but_text(), text_col=rows.of("text"))
     return rows.back(found, text="clean_text")
 
 
