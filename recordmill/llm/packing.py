@@ -18,6 +18,7 @@ from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ from recordmill.llm.common import arrow_map, quoted, text_of, written
 
 #: Python's split() cuts at these, the tokenizer's pattern keeps them as text.
 SEPARATORS = re.compile("[\x1c-\x1f]")
+WORD_LINES = regex.compile(f"\n|{WORD_LEVEL.pattern}")
 
 
 class WordEncoder:
@@ -46,8 +48,8 @@ class WordEncoder:
         self.words = Cache(self.encode_words)
 
     def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        odd = [i for i, x in enumerate(parts) if self.special.search(x)]
-        ids, sizes = self.encoder.encode([x.encode() for x in parts] if not odd else [b"" if self.special.search(x) else x.encode() for x in parts])
+        odd = [i for i, x in enumerate(parts) if self.special.search(x)] if self.special.search("\n".join(parts)) else []
+        ids, sizes = self.encoder.encode([b"" if x == "\n" else x.encode() for x in parts] if not odd else [b"" if x == "\n" or self.special.search(x) else x.encode() for x in parts])
         for i in odd:
             own = self.tk.encode(parts[i], add_special_tokens=False).ids
             ids = np.insert(ids, int(sizes[:i].sum()), own)
@@ -56,6 +58,13 @@ class WordEncoder:
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # the library lower-cases each character alone, so a capital sigma never becomes a final one
+        text = "\n".join(words)
+        if not self.special.search(text) and not SEPARATORS.search(text):
+            # all words at once, a line each; the ends of lines are parts without ids
+            parts = WORD_LINES.findall(normalize("NFC", text).replace("\u03a3", "\u03c3").lower() + "\n")
+            ids, sizes = self.parts.ids(parts)
+            ends = np.cumsum(sizes)[[i for i, x in enumerate(parts) if x == "\n"]]
+            return ids, np.diff(ends, prepend=0)
         return self.parts.of_lists([[x] if self.special.search(x) else WORD_LEVEL.findall(normalize("NFC", x).replace("\u03a3", "\u03c3").lower()) for x in words])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
