@@ -204,3 +204,19 @@ def near_duplicates(docs: DataFrame, *, keep: tuple[str | Column, ...] = ("doc_i
     alone = F.col("first").isNull()
     decided = slim.join(first, "__class", "left").select("__uid", F.when(alone, F.col("__id")).otherwise(F.col("first.__id")).alias("class_id"), "n_links", "n_linked_texts", (alone | (F.col("first.__uid") == F.col("__uid"))).alias("kept"))
     return back(signed.select(*[F.col(f"`{c}`") for c in names], "__uid").join(decided, "__uid").drop("__uid"))
+
+
+#: The query's rows: exact similarities of all texts that share a 5-gram, and what they connect.
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN NULL WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s FROM w
+), k AS (SELECT doc_id, s, CASE WHEN s IS NOT NULL THEN md5(array_to_string(s, chr(10))) END AS k FROM s
+), t AS (SELECT k, count(*) AS copies, any_value(len(s)) AS n, any_value(s) AS s FROM k WHERE k IS NOT NULL GROUP BY k
+), g AS (SELECT k, n, unnest(s) AS gram FROM t
+), pair AS (SELECT a.k AS u, b.k AS v FROM g a JOIN g b ON a.gram = b.gram AND a.k <> b.k GROUP BY a.k, b.k, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9
+), reach AS (SELECT k AS u, k AS v FROM t UNION SELECT reach.u, pair.v FROM reach JOIN pair ON reach.v = pair.u
+), linked AS (SELECT u, count(*) AS texts, sum(copies) AS docs FROM pair JOIN t ON pair.v = t.k GROUP BY u
+), class AS (SELECT u, min(doc_id) AS class_id FROM reach JOIN k ON reach.v = k.k GROUP BY u)
+SELECT k.doc_id, coalesce(class_id, k.doc_id) AS class_id, CAST(coalesce(docs, 0) + coalesce(copies, 1) - 1 AS BIGINT) AS n_links, CAST(coalesce(texts, 0) AS BIGINT) AS n_linked_texts, coalesce(class_id, k.doc_id) = k.doc_id AS kept
+FROM k LEFT JOIN t ON k.k = t.k LEFT JOIN linked ON k.k = linked.u LEFT JOIN class ON k.k = class.u
+"""

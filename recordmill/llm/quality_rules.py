@@ -15,17 +15,26 @@ from recordmill.llm.common import quoted, set_aside
 #: White space between words, symbols, phrases of boilerplate lines.
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
-BOILERPLATE = "cookie policy|accept (all )?cookies|enable javascript|privacy policy|terms of (use|service)|all rights reserved|click here|sign (in|up) (to|now)|log in to|subscribe (now|to our)|lorem ipsum|read more|share this"
+PHRASES = {
+    "de": "datenschutzerklärung|cookies akzeptieren|alle rechte vorbehalten|nutzungsbedingungen|hier klicken|weiterlesen|mehr erfahren|jetzt anmelden|newsletter abonnieren|javascript aktivieren",
+    "en": "cookie policy|accept (all )?cookies|enable javascript|privacy policy|terms of (use|service)|all rights reserved|click here|sign (in|up) (to|now)|log in to|subscribe (now|to our)|lorem ipsum|read more|share this",
+    "es": "política de privacidad|aceptar (las |todas las )?cookies|todos los derechos reservados|términos (de uso|y condiciones)|aviso legal|haga clic aquí|leer más|iniciar sesión|suscríbete|active javascript",
+    "fr": "politique de confidentialité|accepter (les |tous les )?cookies|tous droits réservés|conditions (générales|d.utilisation)|mentions légales|cliquez ici|lire la suite|en savoir plus|abonnez-vous|activez javascript",
+}
+BOILERPLATE = "|".join(PHRASES.values())
+MARK = r"[^\p{L}\p{M}\p{N}\x20\x09-\x0D]"
 #: A line fails beyond one symbol in so many characters, one run of marks, one separator.
 CHARS_PER_SYMBOL, CHARS_PER_RUN, CHARS_PER_SEPARATOR = 20, 20, 30
 BOILERPLATE_CHARS = 200
 
 
 def line_fails(line: Column) -> Column:
-    """punctuation: too many symbols or runs of marks, or all in capitals; navigation: items between
+    """punctuation: too many symbols or runs of marks, more marks than letters and digits, or all in
+    capitals; navigation: items between
     separators; boilerplate: a short line with a stock phrase. A line without a word passes."""
     n = F.length(line)
     punctuation = (F.regexp_count(line, F.lit(SYMBOLS)) * CHARS_PER_SYMBOL > n) | (F.regexp_count(line, F.lit(r"[!?]{2,}")) * CHARS_PER_RUN > n) | ((n >= 40) & (F.upper(line) == line) & (F.lower(line) != line))
+    punctuation |= F.regexp_count(line, F.lit(MARK)) * 2 > F.length(F.translate(line, " \t\n\x0b\x0c\r", ""))
     separators = F.regexp_count(line, F.lit(r"[\x20\x09][|»›•·>][\x20\x09]"))
     navigation = (separators >= 2) & (separators * CHARS_PER_SEPARATOR > n)
     boilerplate = (n <= BOILERPLATE_CHARS) & F.lower(line).rlike(BOILERPLATE)
@@ -97,6 +106,7 @@ WITH d AS (
   SELECT doc_id, l, regexp_matches(l, '[^\x20\x09-\x0D]') AS has_word,
     len(regexp_extract_all(l, '[#*$%&|<>]')) * 20 > length(l)
     OR len(regexp_extract_all(l, '[!?]{2,}')) * 20 > length(l)
+    OR len(regexp_extract_all(l, '__MARK__')) * 2 > length(regexp_replace(l, '[\x20\x09-\x0D]', '', 'g'))
     OR (length(l) >= 40 AND upper(l) = l AND lower(l) <> l)
     OR (len(regexp_extract_all(l, '[\x20\x09][|»›•·>][\x20\x09]')) >= 2 AND len(regexp_extract_all(l, '[\x20\x09][|»›•·>][\x20\x09]')) * 30 > length(l))
     OR (length(l) <= 200 AND regexp_matches(lower(l), '__BOILERPLATE__')) AS fails
@@ -117,4 +127,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= 0.5 AS kept
 FROM f
-""".replace("__BOILERPLATE__", BOILERPLATE)
+""".replace("__BOILERPLATE__", BOILERPLATE).replace("__MARK__", MARK)

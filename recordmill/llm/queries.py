@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordmill.llm import license_scan, quality_rules
+from recordmill.llm import license_scan, quality_rules, substring_dedup
+from recordmill.llm import near_duplicates as near_duplicates_module
 from recordmill.llm.bpe_codec import round_trip_digests
 from recordmill.llm.common import crc32_of, shared_folder
 from recordmill.llm.language_id import fit, identify
@@ -74,4 +75,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_multiprobe_neighbours, op2_token_counts, op3_license_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op6_bpe_codec, op7_suffix_array_dedup, op8_language_id, op9_lm_scoring, op10_quality_rules)}
-ORACLES: dict[str, str] = {"op3_license_scan": license_scan.ORACLE, "op10_quality_rules": quality_rules.ORACLE}
+ORACLES: dict[str, str] = {"op3_license_scan": license_scan.ORACLE, "op4_ngram_jaccard_join": near_duplicates_module.ORACLE, "op7_suffix_array_dedup": substring_dedup.ORACLE, "op10_quality_rules": quality_rules.ORACLE}

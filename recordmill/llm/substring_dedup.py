@@ -411,8 +411,10 @@ def repeated_spans(docs: DataFrame, rules: Sequence[Rule], *, keep: tuple[str |
     # most anchors occur once; what has none that comes again is done with
     again = written(all_.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "repeated-anchors")
     all_ = written(all_.join(again.hint("merge"), "gram", "left_semi"), "contexts-that-meet")
-    different = all_.groupBy(*KEY).agg(F.count("*").alias("n"), F.first("uid").alias("uid"), F.first("first").alias("first"), F.first("last").alias("last"), F.first("anchor").alias("anchor"))
+    # tables, so that their join may split an anchor with very many different contexts
+    different = written(all_.groupBy(*KEY).agg(F.count("*").alias("n"), F.first("uid").alias("uid"), F.first("first").alias("first"), F.first("last").alias("last"), F.first("anchor").alias("anchor")), "different-contexts")
     shared = different.groupBy("rule", "gram").agg(F.count("*").alias("c"), F.min("n").alias("least")).where("c > 1 and least = 1").select("rule", "gram", "c")
+    shared = written(shared, "shared-anchors")
     some = written(different.join(shared, ["rule", "gram"], "left").where("n > 1 or c is not null"), "shared-contexts")
     wanted = some.where("c is not null").groupBy("uid").agg(F.collect_list(F.struct(*KEY, "c", "first", "last", "anchor")).alias("wanted"))
     cut = arrow_map(wanted.join(slim, "uid").select("wanted", "text"), cut_contexts(rules), "rule byte, gram long, digest long, c long, anchor long, n long, bytes binary")
@@ -485,3 +487,22 @@ def remove_repeats(docs: DataFrame, *, rule: Rule = Rule(400), passages: Rule |
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-2])
     kinds = {"kept_sha256": "string", "clean_text": "string", "spans": "array<struct<start:bigint,end:bigint>>"}
     return back(arrow_map(source, make, fields + ", ".join(f"{k} {kinds.get(k, 'long')}" for k in RESULTS)))
+
+
+#: The query's rows: windows of 400 bytes and of 50 words by their digests, and the runs that they cover.
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), bytes AS (SELECT r, i, count(*) OVER (PARTITION BY h) AS n FROM (SELECT r, i, md5(array_slice(b, i, i + 399)) AS h FROM (SELECT r, b, unnest(generate_series(1, octet_length(b) - 399)) AS i FROM d WHERE octet_length(b) >= 400))
+), words AS (SELECT r, i, count(*) OVER (PARTITION BY h) AS n FROM (SELECT r, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT r, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d WHERE len(w) >= 50))
+), runs AS (
+  SELECT r, min(i) AS a, max(i) + 400 AS z FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 400 THEN 0 ELSE 1 END AS new FROM bytes WHERE n > 1)) GROUP BY r, g
+), passages AS (
+  SELECT r, min(i) AS a, max(i) + 50 AS z FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM words WHERE n > 1)) GROUP BY r, g
+), before AS (SELECT r, a, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 1) AS p, z FROM runs
+), gone AS (SELECT d.r, sum(z - a) AS n_removed, count(*) AS n_spans, string_agg(hex(array_slice(b, p, a - 1)), '' ORDER BY a) || hex(any_value(array_slice(b, last, octet_length(b)))) AS kept
+  FROM before JOIN d USING (r) JOIN (SELECT r, max(z) AS last FROM runs GROUP BY r) USING (r) GROUP BY d.r
+), found AS (SELECT r, count(*) AS n_passages, sum(z - a) AS n_passage_words FROM passages GROUP BY r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, CASE WHEN kept IS NULL THEN sha256(b) ELSE sha256(unhex(kept)) END AS kept_sha256,
+  CAST(coalesce(n_passages, 0) AS BIGINT) AS n_passages, CAST(coalesce(n_passage_words, 0) AS BIGINT) AS n_passage_words
+FROM d LEFT JOIN gone USING (r) LEFT JOIN found USING (r)
+"""
