@@ -1,11 +1,15 @@
+import os
 import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from recordmill.llm.neighbours import PROJECTIONS, SHARE, TABLES, WIDTH, exact, search, search_shard
 
+SF = "/root/testdata/sf0.01"
+
 
 def brute(rows, k):
     good = {i: np.array(v, float) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)}
@@ -52,3 +56,15 @@ def test_recall_of_mixed_norms():
     scores[which, which] = -np.inf
     recall = np.array([len(set(got[i]) & set(np.argsort(-scores[i])[:k].tolist())) / k for i in which.tolist()])
     assert recall.mean() >= 0.9 and recall[::3].mean() >= 0.9, (recall.mean(), recall[::3].mean())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the tables are not there")
+def test_recall_of_the_query_on_its_table(spark):
+    from recordmill.llm.queries import op1_multiprobe_neighbours
+
+    rows = {r.vec_id: r.embedding for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}
+    want, got = brute(list(rows.items()), 20), {}
+    for r in op1_multiprobe_neighbours(spark, SF).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == set(want)
+    assert sum(len(got[q] & {i for i, _ in want[q]}) for q in want) >= 0.9 * sum(map(len, want.values()))

@@ -14,9 +14,11 @@ from recordmill.llm.language_id import fit, identify, viterbi
 from recordmill.llm.license_scan import ORACLE as LICENCE_SQL
 from recordmill.llm.license_scan import corpus_path, scan
 from recordmill.llm.lm_scoring import score_documents
+from recordmill.llm.near_duplicates import ORACLE as NEAR_SQL
 from recordmill.llm.near_duplicates import near_duplicates
 from recordmill.llm.quality_rules import ORACLE as QUALITY_SQL
 from recordmill.llm.quality_rules import assess
+from recordmill.llm.substring_dedup import ORACLE as REPEATS_SQL
 from recordmill.llm.substring_dedup import Rule, remove_repeats
 from recordmill.llm.suffix_array import suffix_array
 
@@ -172,6 +174,56 @@ def test_language_model_against_plain_counts(docs, empty, held):
         assert r.base_score == pytest.approx(s.base_score) and r.score == pytest.approx(s.score, rel=1e-6)
 
 
+def interpolated_by_hand(held):
+    """(id, score) by plain counts of words and pairs, and the same expectation-maximisation on a
+    list of held-out tokens."""
+    crc = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7
+    texts = [(crc(d), [b"\n", *(t or "").encode().lower().split(), b"\n"]) for d, t in held]
+
+    def counted(use):
+        pairs = collections.Counter(p for c, w in texts if use(c) for p in zip(w, w[1:]))  # noqa: B905
+        words = collections.Counter()
+        for (_, b), n in pairs.items():
+            words[b] += n
+        return words, pairs, sum(words.values())
+
+    bucket = lambda n: min(math.ceil(math.log2(n + 1)), 31)
+    binned = lambda p: 10 ** -((min(max(math.floor(-10 * math.log10(p)), 0), 119) + 0.5) / 10) if p > 0 else 0.0
+    words, pairs, n = counted(lambda c: c not in (2, 3))
+    uniform = 1 / (len(words) + 1)
+    cells = collections.Counter()
+    for c, w in texts:
+        if c == 3:
+            for a, b in zip(w, w[1:]):  # noqa: B905
+                cells[bucket(words[a]), binned(pairs[a, b] / max(words[a], 1)), binned(words[b] / max(n, 1))] += 1
+    weights = {k: [1 / 3] * 3 for k in range(32)}
+    weights[0] = [0, 0.5, 0.5]
+    for _ in range(60):
+        mass = {k: [1e-3 * x for x in weights[k]] for k in weights}
+        for (k, p2, p1), m in cells.items():
+            terms = [weights[k][0] * p2, weights[k][1] * p1, weights[k][2] * uniform]
+            for i, x in enumerate(terms):
+                mass[k][i] += m * x / max(sum(terms), 1e-300)
+        weights = {k: [x / sum(m) for x in m] for k, m in mass.items()}
+    weights = {k: [max(x, 1e-9) for x in w] for k, w in weights.items()}
+    words, pairs, n = counted(lambda c: c != 2)
+    out = []
+    for (d, _), (_, w) in zip(held, texts, strict=True):
+        score = 0.0
+        for a, b in zip(w, w[1:]):  # noqa: B905
+            l2, l1, l0 = (x / sum(weights[bucket(words[a])]) for x in weights[bucket(words[a])])
+            score += math.log10(l2 * pairs[a, b] / max(words[a], 1) + l1 * words[b] / max(n, 1) + l0 / (len(words) + 1))
+        out.append((d, score))
+    return sorted(out, key=key)
+
+
+def test_interpolated_scores_by_hand(docs, held):
+    got = sorted([(r.doc_id, r.score) for r in score_documents(docs, batch_bytes=50_000).collect()], key=key)
+    want = interpolated_by_hand(held)
+    assert [d for d, _ in got] == [d for d, _ in want]
+    assert [s for _, s in got] == pytest.approx([s for _, s in want], rel=1e-6)
+
+
 @needs_tables
 def test_language_model_is_better_than_its_base(spark):
     r = score_documents(spark.read.parquet(f"{SF}/documents.parquet")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
@@ -193,6 +245,61 @@ def test_viterbi_is_the_best_path():
         at += n
 
 
+def language_by_hand(text, model, penalty=6.0):
+    """Language and score by a loop over words and their n-grams, and a plain Viterbi."""
+    from recordmill.llm.language_id import CELL_BITS, script
+
+    letter_runs = lambda w: "".join(c if c.isalpha() else " " for c in w).split()
+    words, letters = [letter_runs(w) for w in (text or "").lower().split()], []
+    best, back = np.zeros(len(model.languages)), []
+    for k, parts in enumerate(words):
+        data = (" " + " ".join(parts) + " ").encode()
+        grams = [data[i : i + n] for n in (1, 2, 3, 4) for i in range(len(data) - n + 1)]
+        grams = [g for g in grams if b" " not in g[1:-1] and not (len(g) < 3 and g.strip() == b"")]
+        letters.append(sum(map(len, parts)))
+        own = np.zeros(len(model.languages))
+        if grams:
+            cells = []
+            for g in grams:
+                value = len(g)
+                for byte in g:
+                    value = value << 8 | byte
+                cells.append((value * 0x9E3779B97F4A7C15 % 2**64) >> (64 - CELL_BITS))
+            own = model.log_p[cells].astype(float).mean(0) * min(letters[-1], 12)
+        if parts:
+            own = own - np.where(model.allowed[script(parts[0])], 0, 100)
+        came = [max(range(len(best)), key=lambda i: best[i] - penalty * (i != j)) for j in range(len(best))] if k else list(range(len(best)))  # noqa: B023
+        best = np.array([best[i] - (penalty * (i != j) if k else 0) for j, i in enumerate(came)]) + own
+        back.append(came)
+    if not sum(letters):
+        return "und", 0.0
+    at, share = int(best.argmax()), collections.Counter()
+    for k in range(len(words) - 1, -1, -1):
+        share[at] += letters[k]
+        at = back[k][at]
+    top = max(range(len(best)), key=lambda i: (share[i], -i))
+    return model.languages[top], share[top] / sum(letters)
+
+
+@needs_tables
+def test_language_id_by_hand(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 150")
+    model = fit(rows)
+    odd = spark.createDataFrame([("\u00bd \u00b2 \u2167 \u2460 12 !?",), ("\u00bd cup of flour",), ("x",), ("\u65e5\u672c \u0442\u0435\u043a\u0441\u0442 the und der",), (None,), ("",)], "text string")
+    texts = rows.select("text").union(odd)
+    for r in identify(texts, model, keep=("text",)).collect():
+        want = language_by_hand(r.text, model)
+        assert (r.lang_pred, r.score) == (want[0], pytest.approx(want[1], abs=1e-9)), r.text
+    only = identify(odd.limit(1), model).first()
+    assert (only.lang_pred, only.score, only.spans) == ("und", 0.0, [])
+
+
+def test_sample_holds_every_language(spark):
+    rows = spark.range(4000).select(F.lit(7).alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"), F.when(F.col("id") < 3, "rare").otherwise("often").alias("lang"))
+    model = fit(rows, sample_rows=100)
+    assert model.languages == ["often", "rare"]
+
+
 @needs_tables
 def test_language_id_on_held_out_texts(spark, docs, empty):
     rows = spark.read.parquet(f"{SF}/documents.parquet")
@@ -235,13 +342,17 @@ def test_quality_by_hand(docs, empty, held):
     for r in out:
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == quality_by_hand(r.text)
         assert not (r.kept and r.base_failed) and (r.clean_text is not None) == r.kept
+    lines = {"Datenschutzerkl\u00e4rung": False, "Cliquez ici pour la suite": False, "Todos los derechos reservados": False, "=== * ===": False, "Es war einmal ein K\u00f6nig.": True, "- - x - -": False}
+    base = " ".join(f"w{i}" for i in range(60))
+    got = {r.line: r.clean_text == base + "\n" + r.line for r in assess(docs.sparkSession.createDataFrame([(x, base + "\n" + x) for x in lines], "line string, text string"), keep=("line",)).collect()}
+    assert got == lines
     assert not any(r.kept for r in out if "%%%" in (r.text or "") or "MENU" in (r.text or ""))
     assert assess(empty).count() == 0
     assert assess(docs, keep=(F.col("doc_id"),)).where("kept").count() == sum(r.kept for r in out)
 
 
 @needs_tables
-@pytest.mark.parametrize(("sql", "run"), [(QUALITY_SQL, lambda d: assess(d, keep=(F.col("doc_id"),)).drop("lost_share", "clean_text")), (LICENCE_SQL, lambda d: scan(d, corpus_path()))])
+@pytest.mark.parametrize(("sql", "run"), [(NEAR_SQL, near_duplicates), (REPEATS_SQL, lambda d: remove_repeats(d, rule=Rule(400), passages=Rule(50, "words")).drop("clean_text", "spans")), (QUALITY_SQL, lambda d: assess(d, keep=(F.col("doc_id"),)).drop("lost_share", "clean_text")), (LICENCE_SQL, lambda d: scan(d, corpus_path()))])
 def test_against_sql(spark, sql, run):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
