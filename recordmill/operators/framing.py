@@ -8,7 +8,7 @@ between them, so there is no loop over records for text.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -148,26 +148,26 @@ def multiline_records(data: bytes, layout: Layout) -> Grouped:
     return Grouped([(i, a, sep.join(lines)) for i, a, lines in out], headers, trailers)
 
 
-def json_elements(data: bytes, first_field: str | None, max_bytes: int = 0) -> Iterator[tuple[int, bytes, str | None]]:
+def json_elements(data: bytes, first_field: str | None, max_bytes: int = 0) -> Generator[tuple[int, bytes, str | None], None, int]:
     """Offset, bytes and reason (or None) of the elements of a top-level array.
 
     Elements that are no object, or whose first key is another, are passed over; what does not parse
-    comes with a reason, and so does a document that is no array."""
+    comes with a reason, and so does a document that is no array. Returns where it stopped."""
     try:
         text = data.decode()
     except UnicodeDecodeError:
         yield 0, b"", "INVALID_UTF8"
-        return
+        return len(data)
     plain = len(text) == len(data)
     space = " \t\r\n"
     at, n = 0, len(text)
     while at < n and text[at] in space:
         at += 1
     if at == n:
-        return
+        return len(data)
     if text[at] != "[":
         yield 0, b"", "MALFORMED_JSON"
-        return
+        return len(data)
     at += 1
     offset_at = [0, 0]  # characters and bytes so far
 
@@ -183,7 +183,7 @@ def json_elements(data: bytes, first_field: str | None, max_bytes: int = 0) -> I
         while at < n and text[at] in space + ",":
             at += 1
         if at >= n or text[at] == "]":
-            return
+            return offset(at)
         start = at
         try:
             keys, at = decode(text, at)
@@ -199,6 +199,7 @@ def json_elements(data: bytes, first_field: str | None, max_bytes: int = 0) -> I
         except json.JSONDecodeError:
             at = resume(text, start)
             yield offset(start), b"", "MALFORMED_JSON"
+    return len(data)
 
 
 def resume(text: str, at: int) -> int:

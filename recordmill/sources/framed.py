@@ -4,8 +4,12 @@
     spark.read.format("framed_file").option("path", folder).option("mode", "text").load()
 
 A range reads on past its end until its last record is complete, and skips the record that began
-before it, so every tiling gives the same records. JSON files are one range each. A partition is one
-range, or with ``partitionBytes`` as many as hold so many bytes: small files don't make a task each.
+before it, so every tiling gives the same records. A JSON array is cut too where ``maxRecordBytes`` and
+``firstFieldName`` are given: a range then starts that many bytes early, drops what comes before the
+first element that is whole there, and keeps those that begin within it. Without them a JSON file is one
+range. A file whose size or time of change is no longer the planned one ends the read, and so does a
+border without a line break (or a break of the layout) within nine of the largest records. A partition is
+one range, or with ``partitionBytes`` as many as hold so many bytes: small files don't make a task each.
 The files' sizes are all that planning looks at. Paths are read by the Hadoop-free local file system or a
 mounted one; for other stores read ``binaryFile`` and use ``operators.framing.frame``.
 """
@@ -15,13 +19,14 @@ from __future__ import annotations
 import glob
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from recordmill.operators.framing import RECORD_SCHEMA, Layout, framed, line_bounds, matches, text_records
+from recordmill.operators.framing import RECORD_SCHEMA, Layout, framed, json_elements, line_bounds, matches, resume, text_records
 from recordmill.plans.planner import tiles
 
 SCHEMA = "path string, file_size long, chunk_id string, ordinal long, byte_offset long, raw string, reason string, terminated boolean"
@@ -29,8 +34,8 @@ BLOCK = 8 * 1024 * 1024
 
 
 class Range(InputPartition):
-    def __init__(self, path: str, size: int, chunk: int, start: int, end: int) -> None:
-        self.path, self.size, self.chunk, self.start, self.end = path, size, chunk, start, end
+    def __init__(self, path: str, size: int, chunk: int, start: int, end: int, changed: int) -> None:
+        self.path, self.size, self.chunk, self.start, self.end, self.changed = path, size, chunk, start, end, changed
 
 
 class Ranges(InputPartition):
@@ -55,8 +60,20 @@ def ends_line(data: bytes) -> bool:
     return bool(data) and data[-1] in b"\r\n"
 
 
-def line_start(f, at: int, size: int) -> int:
-    """The first line start at or after ``at``."""
+#: How many of the largest records a border may lie from the next break.
+OVERLAP = 9
+
+
+class BorderError(ValueError):
+    """No break near the border of a range: a record is longer than the limit says."""
+
+    def __init__(self, at: int, limit: int) -> None:
+        super().__init__(f"no record break within {limit} bytes of the border at byte {at}; a record may be longer than the limit")
+
+
+def line_start(f, at: int, size: int, limit: int = 0) -> int:
+    """The first line start at or after ``at``; an error if that is over ``limit`` bytes away."""
+    border = at
     if at == 0:
         return 0
     f.seek(at - 1)
@@ -70,9 +87,13 @@ def line_start(f, at: int, size: int) -> int:
         found = [i for i in (block.find(b"\n"), block.find(b"\r")) if i >= 0]
         if found:
             i = at + min(found)
+            if limit and i - border > limit:
+                raise BorderError(border, limit)
             f.seek(i)
             return i + (2 if f.read(2) == b"\r\n" else 1)
         at += len(block)
+        if limit and at - border > limit:
+            raise BorderError(border, limit)
     return size
 
 
@@ -93,6 +114,49 @@ def blocks_of_lines(f, start: int, stop: int) -> Iterator[tuple[int, bytes]]:
         rest, at = data[cut + 1 :], at + cut + 1
 
 
+def whole_characters(data: bytes) -> bytes:
+    """Without a last character that is cut in two."""
+    for k in range(1, min(4, len(data) + 1)):
+        if data[-k] >= 0xC0:
+            return data[:-k] if k < (2 if data[-k] < 0xE0 else 3 if data[-k] < 0xF0 else 4) else data
+        if data[-k] < 0x80:
+            break
+    return data
+
+
+def aligned(data: bytes, inside: bool, first_field: str, max_bytes: int) -> Iterator[tuple[int, bytes, str | None]]:
+    """The elements of a stretch of a JSON array as ``json_elements`` gives them. If it begins
+    ``inside`` the array, what comes before the first whole object with the field is dropped; should
+    that have been part of an element, its own array ends before that element does, and the next
+    whole object follows."""
+    if not inside:
+        yield from json_elements(data, first_field, max_bytes)
+        return
+    start = re.compile(rb"\{[ \t\r\n]*" + re.escape(json.dumps(first_field, ensure_ascii=False).encode()) + rb"[ \t\r\n]*:")
+    at = 0
+    while found := start.search(data, at):
+        at = found.start()
+        part = json_elements(b"[" + data[at:], first_field, max_bytes)
+        offset, raw, reason = next(part, (0, b"", "MALFORMED_JSON"))
+        if offset != 1 or reason == "MALFORMED_JSON":
+            at += 1
+            continue
+        yield at, raw, reason
+        for offset, raw, reason in (rest := Stopped(part)):
+            yield at + offset - 1, raw, reason
+        at = max(at + 1, at + rest.at - 1)
+
+
+class Stopped:
+    """A generator's items, and then what it returned."""
+
+    def __init__(self, items) -> None:
+        self.items, self.at = items, 0
+
+    def __iter__(self):
+        self.at = yield from self.items
+
+
 class FramedReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.mode = options.get("mode", "text")
@@ -116,9 +180,11 @@ class FramedReader(DataSourceReader):
     def ranges(self, paths: list[str]) -> list[Range]:
         out = []
         for p in paths:
-            size = os.path.getsize(p)
-            cut = [(0, size - 1)] * bool(size) if self.mode == "json" else tiles(size, self.target)
-            out += [Range(p, size, k, a, b) for k, (a, b) in enumerate(cut, 1)]
+            found = os.stat(p)
+            size = found.st_size
+            whole = self.mode == "json" and not (self.max_bytes and self.first_field)
+            cut = [(0, size - 1)] * bool(size) if whole else tiles(size, self.target)
+            out += [Range(p, size, k, a, b, found.st_mtime_ns) for k, (a, b) in enumerate(cut, 1)]
         return out
 
     def planned(self, paths: list[str]) -> list[Range] | list[Ranges]:
@@ -135,8 +201,11 @@ class FramedReader(DataSourceReader):
     def read_range(self, r: Range) -> Iterator[pa.RecordBatch]:
         n = 0
         with open(r.path, "rb") as f:
+            now = os.fstat(f.fileno())
+            if (now.st_size, now.st_mtime_ns) != (r.size, r.changed):
+                raise ValueError(f"{r.path} has changed since it was planned")
             if self.mode == "json":
-                batches = iter([framed(f.read(), "json", first_field=self.first_field, max_bytes=self.max_bytes)])
+                batches = self.elements(f, r)
             elif self.mode == "text":
                 batches = self.text(f, r)
             else:
@@ -147,8 +216,25 @@ class FramedReader(DataSourceReader):
                 n += b.num_rows
                 yield pa.RecordBatch.from_arrays([*same, ordinal, *b.columns[1:]], names=["path", "file_size", "chunk_id", *RECORD_SCHEMA.names])
 
+    def elements(self, f, r: Range) -> Iterator[pa.RecordBatch]:
+        if (r.start, r.end) == (0, r.size - 1):
+            yield framed(f.read(), "json", first_field=self.first_field, max_bytes=self.max_bytes)
+            return
+        begin = max(0, r.start - self.max_bytes)
+        f.seek(begin)
+        data = f.read(r.end + 1 + self.max_bytes - begin)
+        if begin + len(data) < r.size:
+            data = whole_characters(data)
+        rows = []
+        for at, raw, reason in aligned(data, begin > 0, self.first_field, self.max_bytes):
+            if r.start <= begin + at <= r.end:
+                cut = reason == "MALFORMED_JSON" and begin + len(data) < r.size and len(data) - at > self.max_bytes and resume(left := data[at:].decode(errors="replace"), 0) == len(left)
+                rows.append((0, begin + at, None if reason else raw.decode(), "OVERSIZED_RECORD" if cut else reason, True))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, RECORD_SCHEMA.types, strict=True)], schema=RECORD_SCHEMA)
+
     def text(self, f, r: Range) -> Iterator[pa.RecordBatch]:
-        start, stop = line_start(f, r.start, r.size), line_start(f, r.end + 1, r.size) if r.end + 1 < r.size else r.size
+        limit = OVERLAP * self.max_bytes
+        start, stop = line_start(f, r.start, r.size, limit), line_start(f, r.end + 1, r.size, limit) if r.end + 1 < r.size else r.size
         for at, data in blocks_of_lines(f, start, stop):
             yield text_records(data, base=at, max_bytes=self.max_bytes, strict_end=self.strict, at_end=at + len(data) == r.size)
 
@@ -163,9 +249,12 @@ class FramedReader(DataSourceReader):
             yield out.set_column(1, "byte_offset", pa.array(out.column(1).to_numpy() + start))
 
     def next_break(self, f, at: int, size: int) -> int:
+        limit = OVERLAP * self.max_bytes
         for base, data in blocks_of_lines(f, at, size):
             starts, ends, _ = line_bounds(np.frombuffer(data, np.uint8))
             for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+                if limit and base + a - at > limit:
+                    raise BorderError(at, limit)
                 if matches(data[a:b], self.layout.breaks):
                     return base + a
         return size

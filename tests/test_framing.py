@@ -1,3 +1,4 @@
+import json
 import random
 
 import numpy as np
@@ -80,6 +81,43 @@ def test_any_tiling_gives_the_same_lines(tmp_path_factory, text, target):
     assert got == [(a, b) for a, b, _ in lines(data)]
 
 
+def test_json_tiling(tmp_path):
+    from recordmill.sources.framed import FramedReader
+
+    rng = random.Random(8)
+    item = lambda i: {"id": i, "text": "é{[\"" * rng.randrange(4), "kids": [{"id": -k} for k in range(rng.randrange(3))]}
+    parts = [json.dumps(item(i), ensure_ascii=False) for i in range(120)]
+    parts[50], parts[60], parts[70] = '{"id":1:2}', '{"other":1,"id":2}', "17"
+    data = ("[" + ",\n ".join(parts) + "]").encode()
+    (tmp_path / "f").write_bytes(data)
+
+    def read(target):
+        reader = FramedReader({"path": str(tmp_path / "f"), "mode": "json", "firstfieldname": "id", "maxrecordbytes": "150", "targetchunkbytes": str(target)})
+        return [(x["byte_offset"], x["raw"], x["reason"]) for r in reader.partitions() for b in reader.read(r) for x in b.to_pylist()]
+
+    whole = read(10**6)
+    assert len(whole) == 118 and sum(x[2] is not None for x in whole) == 1
+    for target in (60, 200, 1000):
+        assert read(target) == whole, target
+
+
+def test_borders_without_a_break_and_changed_files(tmp_path):
+    from recordmill.sources.framed import BorderError, FramedReader
+
+    (tmp_path / "f").write_bytes(b"ab\n" * 20 + b"x" * 500 + b"\nab\n")
+    reader = FramedReader({"path": str(tmp_path / "f"), "targetchunkbytes": "100", "maxrecordbytes": "10"})
+    with pytest.raises(BorderError):
+        [b for r in reader.partitions() for b in reader.read(r)]
+    lines_ = FramedReader({"path": str(tmp_path / "f"), "mode": "multi-line", "layout": '{"breaks": [[0, 1, "Q"]]}', "targetchunkbytes": "100", "maxrecordbytes": "10"})
+    with pytest.raises(BorderError):
+        [b for r in lines_.partitions() for b in lines_.read(r)]
+    reader = FramedReader({"path": str(tmp_path / "f"), "targetchunkbytes": "100"})
+    parts = reader.partitions()
+    (tmp_path / "f").write_bytes(b"ab\n" * 20)
+    with pytest.raises(ValueError, match="has changed"):
+        list(reader.read(parts[0]))
+
+
 def test_multiline_tiling(tmp_path):
     from recordmill.sources.framed import FramedReader
 
