@@ -60,13 +60,13 @@ def crc32_of(name: str) -> Column:
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))
 
 
-def arrow_map(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None]], schema: str) -> DataFrame:
-    """mapInArrow with a function made once per task; batches of more than some MB are cut first."""
+def arrow_map(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None]], schema: str, most: int = 4_000_000) -> DataFrame:
+    """mapInArrow with a function made once per task; batches of more than ``most`` bytes are cut first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = fn()
         for batch in batches:
-            for part in small(batch):
+            for part in small(batch, most):
                 out = step(part)
                 if out is not None:
                     yield from out.to_batches() if isinstance(out, pa.Table) else [out]

@@ -8,17 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordmill.llm import license_scan, quality_rules, substring_dedup
+from recordmill.llm import fill_middle, license_scan, minhash_dedup, quality_rules, substring_dedup
 from recordmill.llm import near_duplicates as near_duplicates_module
 from recordmill.llm.bpe_codec import round_trip_digests
 from recordmill.llm.common import crc32_of, shared_folder
+from recordmill.llm.fill_middle import fill_in_middle, restored
 from recordmill.llm.language_id import fit, identify
 from recordmill.llm.license_scan import corpus_path, scan
 from recordmill.llm.lm_scoring import score_documents
+from recordmill.llm.minhash_dedup import minhash_components
 from recordmill.llm.near_duplicates import near_duplicates
 from recordmill.llm.neighbours import search
 from recordmill.llm.packing import pack
 from recordmill.llm.quality_rules import assess
+from recordmill.llm.spelling import variants
 from recordmill.llm.substring_dedup import Rule, remove_repeats
 from recordmill.llm.token_counts import count_tokens, store_counts
 from recordmill.shipping import ship
@@ -74,5 +77,31 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(table(spark, sf_dir, "documents"), keep=(F.col("doc_id"),)).drop("lost_share", "clean_text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_multiprobe_neighbours, op2_token_counts, op3_license_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op6_bpe_codec, op7_suffix_array_dedup, op8_language_id, op9_lm_scoring, op10_quality_rules)}
-ORACLES: dict[str, str] = {"op3_license_scan": license_scan.ORACLE, "op4_ngram_jaccard_join": near_duplicates_module.ORACLE, "op7_suffix_array_dedup": substring_dedup.ORACLE, "op10_quality_rules": quality_rules.ORACLE}
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_components(table(spark, sf_dir, "documents"), ngram=3, percent=85)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"), min_chars=6, min_count=5, ratio=5, modulus=199)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = restored(fill_in_middle(table(spark, sf_dir, "documents"), seed=42))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        *(op1_multiprobe_neighbours, op2_token_counts, op3_license_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op6_bpe_codec, op7_suffix_array_dedup),
+        *(op8_language_id, op9_lm_scoring, op10_quality_rules, op11_minhash_near_dedup, op12_spelling_variants, op13_fill_in_middle),
+    )
+}
+ORACLES: dict[str, str] = {
+    "op3_license_scan": license_scan.ORACLE,
+    "op4_ngram_jaccard_join": near_duplicates_module.ORACLE,
+    "op7_suffix_array_dedup": substring_dedup.ORACLE,
+    "op10_quality_rules": quality_rules.ORACLE,
+    "op11_minhash_near_dedup": minhash_dedup.ORACLE,
+    "op13_fill_in_middle": fill_middle.ORACLE,
+}
