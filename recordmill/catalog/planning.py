@@ -12,7 +12,7 @@ from recordmill.plans.planner import balanced_tiles, chunk_count, effective, nom
 from recordmill.plans.requests import checked, manifest, planned, with_controls
 
 MAX_CHUNK, TARGET = 64 * 1024 * 1024, 16 * 1024 * 1024
-_COUNT = f"CASE WHEN size < 5242880 THEN 1 ELSE greatest(least((size + {TARGET} - 1) // {TARGET}, size // 5242880), (size + {MAX_CHUNK} - 1) // {MAX_CHUNK}) END"
+_COUNT = f"CASE WHEN size < 5242880 THEN 1 ELSE least(greatest((size + {TARGET} - 1) // {TARGET}, (size + {MAX_CHUNK} - 1) // {MAX_CHUNK}), size // 5242880) END"
 _PLANNED = f"(SELECT *, CAST({_COUNT} AS BIGINT) AS chunk_count FROM {B} WHERE size > 0)"
 _TILED = f"(SELECT object_id, bucket, key, size, k, size * k // chunk_count AS start_byte, size * (k + 1) // chunk_count - 1 AS end_byte FROM (SELECT *, unnest(range(0, chunk_count)) AS k FROM {_PLANNED}))"
 
@@ -21,11 +21,27 @@ def _planned(spark: SparkSession, sf: str) -> DataFrame:
     return large_objects(spark, sf).withColumn("chunk_count", chunk_count(F.col("size"), F.lit(MAX_CHUNK), F.lit(TARGET)))
 
 
-@query(f"SELECT object_id, chunk_count, CAST(CASE WHEN size < 5242880 THEN 1 ELSE greatest(least(100, size // 5242880), (size + {MAX_CHUNK} - 1) // {MAX_CHUNK}) END AS BIGINT) AS default_count FROM {_PLANNED}")
+@query(f"SELECT object_id, chunk_count, CAST(CASE WHEN size < 5242880 THEN 1 ELSE least(greatest(100, (size + {MAX_CHUNK} - 1) // {MAX_CHUNK}), size // 5242880) END AS BIGINT) AS default_count FROM {_PLANNED}")
 def chunk_counts(spark: SparkSession, sf: str) -> DataFrame:
     return _planned(spark, sf).where("chunk_count is not null").select("object_id", "chunk_count", chunk_count(F.col("size"), F.lit(MAX_CHUNK), F.lit(0)).alias("default_count"))
 
 
+#: Largest chunks and targets on both sides of 5 MiB; zero is none given.
+_MAXIMA = [(4 * 1024**2, 0), (5242880, 0), (5242880, 6 * 1024**2), (7 * 1024**2, 0), (7 * 1024**2, 1), (MAX_CHUNK, TARGET), (0, 0), (0, 300 * 1024**2)]
+_MAXIMA_SQL = "(SELECT mx, tg, CASE WHEN mx > 0 THEN mx ELSE 67108864 END AS lim FROM (VALUES " + ", ".join(f"({m}, {t})" for m, t in _MAXIMA) + ") AS v(mx, tg))"
+
+
+@query(f"""SELECT object_id, CAST(mx AS BIGINT) AS max_chunk, CAST(tg AS BIGINT) AS target, CASE WHEN size = 0 THEN 'EMPTY' WHEN size >= 5242880 AND lim < 5242880 THEN 'CHUNK_MINIMUM' END AS error,
+  CAST(CASE WHEN size = 0 THEN 0 WHEN size < 5242880 THEN 1 WHEN lim < 5242880 THEN 0 ELSE least(greatest(CASE WHEN tg > 0 THEN (size + tg - 1) // tg ELSE 100 END, (size + lim - 1) // lim), size // 5242880) END AS BIGINT) AS chunk_count FROM {B}, {_MAXIMA_SQL}""")
+def chunk_count_limits(spark: SparkSession, sf: str) -> DataFrame:
+    """Every object under several largest chunks and targets, and why it has no count."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).cast("long").alias("max_chunk"), F.lit(t).cast("long").alias("target")) for m, t in _MAXIMA])).alias("m")
+    rows = large_objects(spark, sf).select("object_id", "size", pairs).select("object_id", "size", "m.*")
+    count = chunk_count(F.col("size"), F.col("max_chunk"), F.col("target"))
+    error = F.when(F.col("size") == 0, "EMPTY").when(count.isNull(), "CHUNK_MINIMUM")
+    return rows.select("object_id", "max_chunk", "target", error.alias("error"), F.coalesce(count, F.lit(0)).alias("chunk_count"))
+
+
 @query(f"SELECT object_id, lpad(CAST(k + 1 AS VARCHAR), 8, '0') AS chunk_id, CAST(start_byte AS BIGINT) AS start_byte, CAST(end_byte AS BIGINT) AS end_byte FROM {_TILED}")
 def tile_text(spark: SparkSession, sf: str) -> DataFrame:
     return balanced_tiles(_planned(spark, sf)).select("object_id", "chunk_id", "start_byte", "end_byte")
@@ -144,10 +160,15 @@ def validate_chunks(spark: SparkSession, sf: str) -> DataFrame:
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as requests for their objects, of which some ask for what is not there or not allowed."""
     n = F.col("object_id")
+    field = lambda start: F.array(F.struct(F.lit(start).alias("start"), F.lit(1).alias("length"), F.lit("U").alias("value")))
+    none = F.array().cast("array<struct<start:int,length:int,value:string>>")
+    largest = lambda wide, usual: F.when(n % 13 == 0, 0).when(n % 11 == 0, 900_000_000_000_000).when(n % 7 == 0, wide).otherwise(usual).cast("long")
     return large_objects(spark, sf).select(
-        F.concat(F.lit("x"), F.floor(n / 4).cast("string")).alias("execution_id"), F.when(n % 31 == 0, "0").otherwise("1").alias("schema_version"), F.when(n % 29 == 0, "").otherwise(F.col("bucket")).alias("bucket"), F.when(n % 23 == 0, F.concat("key", F.lit("?"))).otherwise(F.col("key")).alias("key"),
+        F.concat(F.lit("x"), F.floor(n / 2).cast("string")).alias("execution_id"), F.when(n % 31 == 0, "0").otherwise("1").alias("schema_version"), F.when(n % 29 == 0, "").otherwise(F.col("bucket")).alias("bucket"), F.when(n % 23 == 0, F.concat("key", F.lit("?"))).otherwise(F.col("key")).alias("key"),
         F.when(n % 3 == 0, "v1").when(n % 3 == 1, "null").otherwise("").alias("version_id"), F.when(n % 5 == 0, F.concat(F.lit("e"), n.cast("string"))).when(n % 17 == 0, "old").otherwise("").alias("etag"),
-        F.when(n % 19 == 0, "csv").when(n % 4 == 1, "json").otherwise("text").alias("data_type"), (n % 4 * 1000).cast("long").alias("max_record_bytes"), F.when(n % 13 == 0, 0).otherwise(1000).cast("long").alias("json_max_element_bytes"), "object_id",
+        F.when(n % 19 == 0, "csv").when(n % 4 == 1, "json").when(n % 4 == 3, "multi-line").otherwise("text").alias("data_type"), (n % 4 * 1000).cast("long").alias("max_record_bytes"),
+        F.when(n % 43 == 0, "").otherwise("id").alias("json_first_field"), largest(10_000, 1000).alias("json_max_element_bytes"), largest(2000, 500).alias("lines_max_record_bytes"),
+        F.when(n % 41 == 0, none).otherwise(field(0)).alias("break_fields"), F.when(n % 37 == 1, field(-1)).otherwise(none).alias("include_fields"), none.alias("ignore_fields"), "object_id",
     )
 
 
@@ -157,25 +178,29 @@ def _heads(spark: SparkSession, sf: str) -> DataFrame:
     return large_objects(spark, sf).select("bucket", "key", F.lit("v1").alias("version_id"), F.concat(F.lit("e"), n.cast("string")).alias("etag"), F.when(n % 37 == 0, 0).otherwise(F.col("size")).alias("size"), F.lit(True).alias("current"))
 
 
-PLAN = {"max_chunk_bytes": MAX_CHUNK}
-_REQUEST = f"""(SELECT object_id, 'x' || (object_id // 4) AS execution_id, dt AS data_type, size, mrb, jmb, CASE WHEN object_id % 31 = 0 THEN 'REQUEST' WHEN object_id % 29 = 0 THEN 'FILE' WHEN dt = 'csv' THEN 'TYPE' WHEN object_id % 23 = 0 THEN 'NOT_FOUND' WHEN object_id % 5 <> 0 AND object_id % 17 = 0 THEN 'CHANGED'
-  WHEN size > 400000000 THEN 'FILE_BYTES' WHEN size = 0 THEN 'EMPTY' WHEN dt = 'text' AND mrb = 0 AND size > {MAX_CHUNK} THEN 'NOT_SPLITTABLE' WHEN dt = 'json' AND jmb = 0 THEN 'LAYOUT' END AS error
-  FROM (SELECT object_id, CASE WHEN object_id % 19 = 0 THEN 'csv' WHEN object_id % 4 = 1 THEN 'json' ELSE 'text' END AS dt, object_id % 4 * 1000 AS mrb, CASE WHEN object_id % 13 = 0 THEN 0 ELSE 1000 END AS jmb, CASE WHEN object_id % 37 = 0 THEN 0 ELSE size END AS size FROM {B}))"""
-_CHUNKS = f"""(SELECT execution_id, object_id, size, unnest(range(0, n)) AS k, n, dt FROM (SELECT *, data_type AS dt, CASE WHEN data_type = 'text' AND mrb = 0 THEN 1 WHEN data_type = 'text' THEN CASE WHEN size < 5242880 THEN 1 ELSE greatest(least((size + {TARGET} - 1) // {TARGET}, size // 5242880), (size + {MAX_CHUNK} - 1) // {MAX_CHUNK}) END
-  ELSE (size - 1) // 50000000 + 1 END AS n FROM {_REQUEST} WHERE error IS NULL))"""
-
-
-@query(f"SELECT object_id, error FROM {_REQUEST}")
-def plan_requests(spark: SparkSession, sf: str) -> DataFrame:
-    return checked(_requests(spark, sf), _heads(spark, sf), max_file_bytes=400_000_000, **PLAN).select("object_id", "error")
+PLAN = {"max_chunk_bytes": MAX_CHUNK, "records_per_chunk": 50_000}
+#: The checks of a type follow those of every object: its layout, then its bytes, then its tiles.
+_REQUEST = f"""(SELECT object_id, 'x' || (object_id // 2) AS execution_id, dt AS data_type, size, mrb, big, CASE WHEN object_id % 31 = 0 THEN 'REQUEST' WHEN object_id % 29 = 0 THEN 'FILE' WHEN dt = 'csv' THEN 'TYPE' WHEN object_id % 23 = 0 THEN 'NOT_FOUND' WHEN object_id % 5 <> 0 AND object_id % 17 = 0 THEN 'CHANGED'
+  WHEN size > 400000000 THEN 'FILE_BYTES'
+  WHEN dt = 'json' THEN CASE WHEN big < 1 OR object_id % 43 = 0 THEN 'LAYOUT' WHEN size = 0 THEN 'EMPTY' WHEN tile > 9223372036854775807 THEN 'OVERFLOW' WHEN tile > {MAX_CHUNK} THEN 'CHUNK_BYTES' END
+  WHEN dt = 'multi-line' THEN CASE WHEN big < 1 OR object_id % 41 = 0 OR object_id % 37 = 1 THEN 'LAYOUT' WHEN size = 0 THEN 'EMPTY' WHEN tile > 9223372036854775807 THEN 'OVERFLOW' WHEN tile > {MAX_CHUNK} THEN 'CHUNK_BYTES' END
+  WHEN size = 0 THEN 'EMPTY' WHEN mrb = 0 AND size > {MAX_CHUNK} THEN 'NOT_SPLITTABLE' END AS error
+  FROM (SELECT *, CAST(big AS HUGEINT) * 50000 AS tile FROM (SELECT object_id, size, dt, object_id % 4 * 1000 AS mrb, CASE WHEN object_id % 13 = 0 THEN 0 WHEN object_id % 11 = 0 THEN 900000000000000 WHEN object_id % 7 = 0 THEN CASE dt WHEN 'json' THEN 10000 ELSE 2000 END ELSE CASE dt WHEN 'json' THEN 1000 ELSE 500 END END AS big
+  FROM (SELECT object_id, CASE WHEN object_id % 19 = 0 THEN 'csv' WHEN object_id % 4 = 1 THEN 'json' WHEN object_id % 4 = 3 THEN 'multi-line' ELSE 'text' END AS dt, CASE WHEN object_id % 37 = 0 THEN 0 ELSE size END AS size FROM {B}))))"""
+_CHUNKS = f"""(SELECT execution_id, object_id, size, unnest(range(0, n)) AS k, n, dt, tile FROM (SELECT *, data_type AS dt, CAST(big AS HUGEINT) * 50000 AS tile, CAST(CASE WHEN data_type <> 'text' THEN (size - 1) // (CAST(big AS HUGEINT) * 50000) + 1 WHEN mrb = 0 THEN 1 ELSE {_COUNT} END AS BIGINT) AS n FROM {_REQUEST} WHERE error IS NULL))"""
 
 
 def _plan(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     rows = checked(_requests(spark, sf), _heads(spark, sf), max_file_bytes=400_000_000, **PLAN)
-    return rows, planned(rows.where("error is null"), target_chunk_bytes=TARGET, records_per_chunk=50_000, **PLAN)
+    return rows, planned(rows.where("error is null"), target_chunk_bytes=TARGET, **PLAN)
 
 
-@query(f"SELECT object_id, lpad(CAST(k + 1 AS VARCHAR), 8, '0') AS chunk_id, CAST(CASE WHEN dt = 'json' THEN k * 50000000 ELSE size * k // n END AS BIGINT) AS start_byte, CAST(CASE WHEN dt = 'json' THEN least((k + 1) * 50000000, size) ELSE size * (k + 1) // n END - 1 AS BIGINT) AS end_byte FROM {_CHUNKS}")
+@query(f"SELECT object_id, error FROM {_REQUEST}")
+def plan_requests(spark: SparkSession, sf: str) -> DataFrame:
+    return _plan(spark, sf)[0].select("object_id", "error")
+
+
+@query(f"SELECT object_id, lpad(CAST(k + 1 AS VARCHAR), 8, '0') AS chunk_id, CAST(CASE WHEN dt <> 'text' THEN k * tile ELSE size * k // n END AS BIGINT) AS start_byte, CAST(CASE WHEN dt <> 'text' THEN least((k + 1) * tile, size) ELSE size * (k + 1) // n END - 1 AS BIGINT) AS end_byte FROM {_CHUNKS}")
 def plan_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return _plan(spark, sf)[1].select("object_id", "chunk_id", "start_byte", "end_byte")
 
@@ -183,17 +208,19 @@ def plan_chunks(spark: SparkSession, sf: str) -> DataFrame:
 _GOOD = f"(SELECT execution_id FROM {_REQUEST} GROUP BY execution_id HAVING count(error) = 0)"
 
 
+def _asked(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """With one execution that asks for nothing."""
+    return rows.select("execution_id", "key", "error").union(spark.createDataFrame([("none", None, None)], "execution_id string, key string, error string"))
+
+
 @query(f"SELECT g.execution_id, CAST(count(c.k) AS BIGINT) AS expected_chunks, count(c.k) = 0 AS complete_only FROM {_GOOD} g LEFT JOIN {_CHUNKS} c ON g.execution_id = c.execution_id GROUP BY 1 UNION ALL SELECT 'none', CAST(0 AS BIGINT), true")
 def plan_manifests(spark: SparkSession, sf: str) -> DataFrame:
-    """With one execution that asks for nothing."""
     rows, chunks = _plan(spark, sf)
-    none = spark.createDataFrame([("none", None)], "execution_id string, error string")
-    return manifest(rows.select("execution_id", "error").union(none), chunks).select("execution_id", "expected_chunks", "complete_only")
+    return manifest(_asked(spark, rows), chunks).select("execution_id", "expected_chunks", "complete_only")
 
 
 @query(f"SELECT execution_id, lpad(CAST(k + 1 AS VARCHAR), 8, '0') AS chunk_id, CAST(NULL AS VARCHAR) AS control FROM {_CHUNKS} WHERE execution_id IN (SELECT * FROM {_GOOD}) UNION ALL SELECT 'none', NULL, 'COMPLETE'")
 def plan_messages(spark: SparkSession, sf: str) -> DataFrame:
     rows, chunks = _plan(spark, sf)
-    none = spark.createDataFrame([("none", None)], "execution_id string, error string")
-    sealed = manifest(rows.select("execution_id", "error").union(none), chunks)
+    sealed = manifest(_asked(spark, rows), chunks)
     return with_controls(chunks.join(sealed.select("execution_id"), "execution_id", "left_semi").select("execution_id", "chunk_id"), sealed)

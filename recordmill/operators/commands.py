@@ -18,7 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordmill.functions.states import JOB
+
 MAX_ATTEMPTS = 3
+EARLY = ("RECEIVED", "VALIDATING", "PLANNING")
 ENDED = ("COMPLETED", "FAILED")
 
 
@@ -121,6 +124,50 @@ def folded(commands: DataFrame, key: list[str], order: list[str], arguments: lis
     return rows.mapInArrow(run, fields + ", ".join(f"{c} {kind}" for c, kind in {"outcome": "string", **state}.items()))
 
 
+#: An admission is held so long before another delivery may take it over.
+LEASE_US = 15 * 60 * 1_000_000
+
+
+@dataclass
+class Admitted:
+    """A job by its file id: null state before the first delivery; ``owner`` is the event that holds it."""
+
+    state: str | None = None
+    lease_us: int = 0
+    revision: int = 0
+    owner: int | None = None
+
+
+def on_admission(a: Admitted, kind: str, at_us: int, event_id: int, lease_us: int = LEASE_US) -> str:
+    """deliver: acquired if the job is new, or waits in an early state whose lease has run out (which
+    starts another); alreadyCompleted if it has ended; else busy. Any other kind is the state that the
+    owner moves the job to."""
+    if kind == "deliver":
+        if a.state is None:
+            a.state = "RECEIVED"
+        elif not JOB.get(a.state):
+            return "alreadyCompleted"
+        elif a.state not in EARLY or a.lease_us > at_us:
+            return "busy"
+        else:
+            a.revision += 1
+        a.lease_us, a.owner = at_us + lease_us, event_id
+        return "acquired"
+    if a.state is None:
+        return "unknown"
+    if kind not in JOB.get(a.state, []):
+        return "unchanged" if kind == a.state else "conflict"
+    a.state = kind
+    a.revision += 1
+    return "applied"
+
+
+def admission_log(commands: DataFrame, lease_us: int = LEASE_US) -> DataFrame:
+    """commands: file_id, at_us, event_id, kind -> with outcome, state, revision and owner after each."""
+    step = lambda a, kind, at, event: on_admission(a, kind, at, event, lease_us)
+    return folded(commands, ["file_id"], ["at_us", "event_id"], ["kind", "at_us", "event_id"], Admitted, step, {"state": "string", "revision": "int", "owner": "long"})
+
+
 CHUNK_STATE = {"state": "string", "revision": "int", "records": "long"}
 
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordmill.functions.validate import Limits, errors, global_limit_rules
+
 #: A configuration table of more rows is joined by prefix instead of being broadcast.
 BROADCAST_ROWS = 10_000
 
@@ -17,6 +19,24 @@ def read_configs(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true").json(path)
 
 
+LIMITS_SCHEMA = "maxFileBytes bigint, maxChunkBytes bigint, maxEventBytes int, maxBatchSize int, inputTypes map<string, struct<maxFileBytes: bigint, maxRecordBytes: bigint>>"
+
+
+def read_limits(spark: SparkSession, path: str) -> Limits:
+    """The one JSON document of limits that no configuration may exceed. More or fewer documents, or
+    one that breaks a rule, is an error that names the rules."""
+    names = {"maxFileBytes": "max_file_bytes", "maxChunkBytes": "max_chunk_bytes", "maxEventBytes": "max_event_bytes", "maxBatchSize": "max_batch_size"}
+    of = F.transform_values("inputTypes", lambda _, v: F.struct(v["maxFileBytes"].alias("max_file_bytes"), v["maxRecordBytes"].alias("max_record_bytes")))
+    rows = read_configs(spark, path, LIMITS_SCHEMA).withColumnsRenamed(names).withColumn("input_types", of)
+    found = rows.withColumn("broken", errors(global_limit_rules())).limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"{path} holds {'no' if not found else 'more than one'} document of limits")
+    if found[0].broken:
+        raise ValueError(f"{path} breaks {', '.join(found[0].broken)}")
+    r = found[0]
+    return Limits(*(r[n] for n in names.values()), {t: (v.max_file_bytes, v.max_record_bytes) for t, v in r.input_types.items()})
+
+
 def resolve(objects: DataFrame, configs: DataFrame, how: str = "inner") -> DataFrame:
     """Each object with the configuration of its bucket whose prefix is the longest that its key has.
 

@@ -48,3 +48,20 @@ def alarms(events: DataFrame, at: str, breach: Column, threshold: int, width: st
         earlier = counts.select((F.col("window_start") + F.expr(f"INTERVAL {width}") * k).alias("window_start"))
         before = before.join(earlier, "window_start", "left_semi")
     return before.select("window_start", "n")
+
+
+def run_totals(scenarios: DataFrame, letters: DataFrame) -> DataFrame:
+    """One row for a run: its scenarios and their records, and what lies in each dead-letter queue.
+
+    scenarios: name, records; letters: queue (intake, chunk or completion), a row for each message."""
+    totals = scenarios.agg(F.countDistinct("name").alias("scenario_count"), F.coalesce(F.sum("records"), F.lit(0)).cast("long").alias("total_records"))
+    of = lambda q: F.count_if(F.col("queue") == q).alias(f"{q}_dlq_count")
+    return totals.join(F.broadcast(letters.agg(of("intake"), of("chunk"), of("completion"))))  # one row each
+
+
+def report_matrix(reports: DataFrame) -> DataFrame:
+    """The cases of all reports, each once, in order of memory and stage, with the memory sizes that
+    occur, sorted. reports: memory, stage and more."""
+    cases = reports.distinct()
+    sizes = cases.agg(F.array_sort(F.collect_set("memory")).alias("memory_sizes"))  # as many as there are sizes
+    return cases.join(F.broadcast(sizes)).orderBy("memory", "stage")

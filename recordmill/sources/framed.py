@@ -3,39 +3,40 @@
     spark.dataSource.register(FramedFiles)
     spark.read.format("framed_file").option("path", folder).option("mode", "text").load()
 
-A range reads on past its end until its last record is complete, and skips the record that began
-before it, so every tiling gives the same records. A JSON array is cut too where ``maxRecordBytes`` and
-``firstFieldName`` are given: a range then starts that many bytes early, drops what comes before the
-first element that is whole there, and keeps those that begin within it. Without them a JSON file is one
-range. A file whose size or time of change is no longer the planned one ends the read, and so does a
-border without a line break (or a break of the layout) within nine of the largest records. A partition is
-one range, or with ``partitionBytes`` as many as hold so many bytes: small files don't make a task each.
-The files' sizes are all that planning looks at. Paths are read by the Hadoop-free local file system or a
-mounted one; for other stores read ``binaryFile`` and use ``operators.framing.frame``.
+A range of text or of multi-line records reads on past its end until its last record is complete, and
+skips the record that began before it, so every tiling gives the same records. A JSON file is one range
+here, read in blocks; ``operators.json_split.json_records`` reads large ones in parallel. A file that is
+not the planned one any more ends the read, and so does a border without a line break (or a break of
+the layout) within nine of the largest records. A partition is one range, or with ``partitionBytes``
+as many as hold so many bytes: small files don't make a task each. The files' sizes are all that
+planning looks at. Paths are those of ``sources.ranges``: mounted files, or a store that pyarrow knows.
 """
 
 from __future__ import annotations
 
-import glob
 import json
-import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from recordmill.operators.framing import RECORD_SCHEMA, Layout, framed, json_elements, line_bounds, matches, resume, text_records
+from recordmill.operators.framing import RECORD_SCHEMA, Layout, framed, line_bounds, matches, text_records
+from recordmill.operators.json_split import Entry, Growing, elements
 from recordmill.plans.planner import tiles
+from recordmill.sources.ranges import Pinned, listed, opened
 
 SCHEMA = "path string, file_size long, chunk_id string, ordinal long, byte_offset long, raw string, reason string, terminated boolean"
 BLOCK = 8 * 1024 * 1024
 
 
 class Range(InputPartition):
-    def __init__(self, path: str, size: int, chunk: int, start: int, end: int, changed: int) -> None:
-        self.path, self.size, self.chunk, self.start, self.end, self.changed = path, size, chunk, start, end, changed
+    def __init__(self, file: Pinned, chunk: int, start: int, end: int) -> None:
+        self.file, self.chunk, self.start, self.end = file, chunk, start, end
+
+    @property
+    def size(self) -> int:
+        return self.file.size
 
 
 class Ranges(InputPartition):
@@ -114,49 +115,6 @@ def blocks_of_lines(f, start: int, stop: int) -> Iterator[tuple[int, bytes]]:
         rest, at = data[cut + 1 :], at + cut + 1
 
 
-def whole_characters(data: bytes) -> bytes:
-    """Without a last character that is cut in two."""
-    for k in range(1, min(4, len(data) + 1)):
-        if data[-k] >= 0xC0:
-            return data[:-k] if k < (2 if data[-k] < 0xE0 else 3 if data[-k] < 0xF0 else 4) else data
-        if data[-k] < 0x80:
-            break
-    return data
-
-
-def aligned(data: bytes, inside: bool, first_field: str, max_bytes: int) -> Iterator[tuple[int, bytes, str | None]]:
-    """The elements of a stretch of a JSON array as ``json_elements`` gives them. If it begins
-    ``inside`` the array, what comes before the first whole object with the field is dropped; should
-    that have been part of an element, its own array ends before that element does, and the next
-    whole object follows."""
-    if not inside:
-        yield from json_elements(data, first_field, max_bytes)
-        return
-    start = re.compile(rb"\{[ \t\r\n]*" + re.escape(json.dumps(first_field, ensure_ascii=False).encode()) + rb"[ \t\r\n]*:")
-    at = 0
-    while found := start.search(data, at):
-        at = found.start()
-        part = json_elements(b"[" + data[at:], first_field, max_bytes)
-        offset, raw, reason = next(part, (0, b"", "MALFORMED_JSON"))
-        if offset != 1 or reason == "MALFORMED_JSON":
-            at += 1
-            continue
-        yield at, raw, reason
-        for offset, raw, reason in (rest := Stopped(part)):
-            yield at + offset - 1, raw, reason
-        at = max(at + 1, at + rest.at - 1)
-
-
-class Stopped:
-    """A generator's items, and then what it returned."""
-
-    def __init__(self, items) -> None:
-        self.items, self.at = items, 0
-
-    def __iter__(self):
-        self.at = yield from self.items
-
-
 class FramedReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.mode = options.get("mode", "text")
@@ -172,27 +130,19 @@ class FramedReader(DataSourceReader):
             for name in ("breaks", "includes", "ignores"):
                 setattr(self.layout, name, [tuple(x) for x in getattr(self.layout, name)])
 
-    def files(self) -> list[str]:
-        path = self.path.removeprefix("file://")
-        found = sorted(glob.glob(os.path.join(path, "*")) if os.path.isdir(path) else glob.glob(path))
-        return [p for p in found if os.path.isfile(p) and not os.path.basename(p).startswith(("_", "."))]
-
-    def ranges(self, paths: list[str]) -> list[Range]:
+    def ranges(self, files: list[Pinned]) -> list[Range]:
         out = []
-        for p in paths:
-            found = os.stat(p)
-            size = found.st_size
-            whole = self.mode == "json" and not (self.max_bytes and self.first_field)
-            cut = [(0, size - 1)] * bool(size) if whole else tiles(size, self.target)
-            out += [Range(p, size, k, a, b, found.st_mtime_ns) for k, (a, b) in enumerate(cut, 1)]
+        for p in files:
+            cut = [(0, p.size - 1)] * bool(p.size) if self.mode == "json" else tiles(p.size, self.target)
+            out += [Range(p, k, a, b) for k, (a, b) in enumerate(cut, 1)]
         return out
 
-    def planned(self, paths: list[str]) -> list[Range] | list[Ranges]:
-        ranges = self.ranges(paths)
+    def planned(self, files: list[Pinned]) -> list[Range] | list[Ranges]:
+        ranges = self.ranges(files)
         return grouped_ranges(ranges, self.partition_bytes) if self.partition_bytes else ranges
 
     def partitions(self) -> list[Range] | list[Ranges]:
-        return self.planned(self.files())
+        return self.planned(listed(self.path))
 
     def read(self, part: Range | Ranges) -> Iterator[pa.RecordBatch]:
         for r in part.ranges if isinstance(part, Ranges) else [part]:
@@ -200,37 +150,24 @@ class FramedReader(DataSourceReader):
 
     def read_range(self, r: Range) -> Iterator[pa.RecordBatch]:
         n = 0
-        with open(r.path, "rb") as f:
-            now = os.fstat(f.fileno())
-            if (now.st_size, now.st_mtime_ns) != (r.size, r.changed):
-                raise ValueError(f"{r.path} has changed since it was planned")
-            if self.mode == "json":
-                batches = self.elements(f, r)
-            elif self.mode == "text":
-                batches = self.text(f, r)
-            else:
-                batches = self.grouped(f, r)
+        with opened(r.file) as f:
+            batches = {"json": self.elements, "text": self.text}.get(self.mode, self.grouped)(f, r)
             for b in batches:
-                same = [pa.array([x] * b.num_rows, t) for x, t in ((r.path, pa.string()), (r.size, pa.int64()), (f"{r.chunk:08d}", pa.string()))]
+                same = [pa.array([x] * b.num_rows, t) for x, t in ((r.file.path, pa.string()), (r.size, pa.int64()), (f"{r.chunk:08d}", pa.string()))]
                 ordinal = pa.array(np.arange(n, n + b.num_rows))
                 n += b.num_rows
                 yield pa.RecordBatch.from_arrays([*same, ordinal, *b.columns[1:]], names=["path", "file_size", "chunk_id", *RECORD_SCHEMA.names])
 
     def elements(self, f, r: Range) -> Iterator[pa.RecordBatch]:
-        if (r.start, r.end) == (0, r.size - 1):
-            yield framed(f.read(), "json", first_field=self.first_field, max_bytes=self.max_bytes)
-            return
-        begin = max(0, r.start - self.max_bytes)
-        f.seek(begin)
-        data = f.read(r.end + 1 + self.max_bytes - begin)
-        if begin + len(data) < r.size:
-            data = whole_characters(data)
-        rows = []
-        for at, raw, reason in aligned(data, begin > 0, self.first_field, self.max_bytes):
-            if r.start <= begin + at <= r.end:
-                cut = reason == "MALFORMED_JSON" and begin + len(data) < r.size and len(data) - at > self.max_bytes and resume(left := data[at:].decode(errors="replace"), 0) == len(left)
-                rows.append((0, begin + at, None if reason else raw.decode(), "OVERSIZED_RECORD" if cut else reason, True))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, RECORD_SCHEMA.types, strict=True)], schema=RECORD_SCHEMA)
+        rows, held = [], 0
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, RECORD_SCHEMA.types, strict=True)], schema=RECORD_SCHEMA)
+        for at, raw, reason in elements(Growing(f, 0, min(BLOCK, r.size), r.size), Entry(), r.size, self.first_field, self.max_bytes):
+            rows.append((0, at, None if reason else raw.decode(), reason, True))
+            held += len(raw)
+            if held > BLOCK:
+                yield batch()
+                rows, held = [], 0
+        yield batch()
 
     def text(self, f, r: Range) -> Iterator[pa.RecordBatch]:
         limit = OVERLAP * self.max_bytes
@@ -261,21 +198,41 @@ class FramedReader(DataSourceReader):
 
 
 class FramedStreamReader(FramedReader, DataSourceStreamReader):
-    """New files since the last trigger; the offset is the list's length in name order."""
+    """Files that were not there at the last trigger, whatever their names.
+
+    An offset holds the newest time of change and the files (name and time) of the ``maxFileAge``
+    seconds before it, a week unless set; older ones are taken to be seen, but for the first trigger,
+    which reads all. A file that changes is a new one. So the offset grows with the files of that
+    time only, and one that comes late is read as long as it is not older."""
+
+    def __init__(self, options: dict) -> None:
+        super().__init__(options)
+        self.age = int(float(options.get("maxfileage", options.get("maxFileAge", 7 * 86_400))) * 1e9)
 
     def initialOffset(self) -> dict:  # noqa: N802
-        return {"files": 0}
+        return {"newest": None, "seen": []}
 
     def latestOffset(self) -> dict:  # noqa: N802
-        return {"files": len(self.files())}
+        files = listed(self.path)
+        newest = max((int(p.version) for p in files), default=None)
+        return {"newest": newest, "seen": sorted(_name(p) for p in files if int(p.version) >= newest - self.age)}
 
     def partitions(self, start: dict, end: dict) -> list[Range] | list[Ranges]:
-        return self.planned(self.files()[start["files"] : end["files"]])
+        before, after = set(start["seen"]), set(end["seen"])
+        old = lambda p, offset: offset["newest"] is not None and int(p.version) < offset["newest"] - self.age
+        new = [p for p in listed(self.path) if not (old(p, start) or _name(p) in before) and (old(p, end) or _name(p) in after)]
+        if missing := after - before - {_name(p) for p in new}:
+            raise ValueError(f"files have gone or changed since they were planned: {sorted(missing)[:3]}")
+        return self.planned(new)
 
     def commit(self, end: dict) -> None:
         pass
 
 
+def _name(file: Pinned) -> str:
+    return f"{file.path}@{file.version}"
+
+
 class FramedFiles(DataSource):
     @classmethod
     def name(cls) -> str:

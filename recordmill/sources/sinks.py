@@ -1,4 +1,4 @@
-"""Sinks: reports as JSON lines, records by route, the outbox."""
+"""Sinks: reports as JSON lines, records by route, files."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from recordmill.sources.ranges import mounted
 
 
 def write_report(df: DataFrame, path: str, key: str | None = None) -> None:
@@ -31,8 +32,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_files(df: DataFrame, path: str, name: str = "name", content: str = "content") -> None:
     """Each row's content as a file of that name below a mounted folder, written by the tasks. A file
-    appears whole or not at all, so a task that runs again only repeats it. Null contents have none."""
-    root = path.removeprefix("file://")
+    appears whole or not at all, so a task that runs again only repeats it. Null contents have none; of
+    rows with one name any one's content stays. A path of another scheme than file: is an error."""
+    root = mounted(path)
+    if root is None:
+        raise ValueError(f"{path} is no mounted folder")
 
     def write(rows) -> None:
         for file, data in rows:
@@ -45,10 +49,3 @@ def write_files(df: DataFrame, path: str, name: str = "name", content: str = "co
 
     rows = df.select(name, df[content].cast("binary"))
     rows.where(rows[content].isNotNull()).foreachPartition(write)
-
-
-def publish_pending(outbox: DataFrame, delivered_path: str, sink_path: str, key: str = "completion_id") -> None:
-    """Writes what is not delivered yet, then marks it. A crash in between repeats events, whose ids
-    let readers drop them."""
-    outbox.write.mode("append").parquet(sink_path)
-    outbox.select(key, F.current_timestamp().alias("delivered_at")).write.mode("append").parquet(delivered_path)

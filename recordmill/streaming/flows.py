@@ -1,42 +1,15 @@
-"""Streams of files to envelopes, deduplication, the state machine, and quarantine."""
+"""Streams of files to envelopes, deduplication and quarantine."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from recordmill.functions.states import REASONS
-from recordmill.operators.commands import Chunk, on_chunk
 from recordmill.operators.envelope import envelopes
 from recordmill.operators.framing import frame
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="recordmill-")
-    return f"{base.rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
-
-
-def drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """All that is there now, through a file sink and its checkpoint, as a table."""
-    spark = stream.sparkSession
-    out, mark = folder(spark, name), folder(spark, f"{name}-checkpoint")
-    q = stream.writeStream.format("parquet").outputMode(mode).option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
-
-
 def enveloped_stream(documents: DataFrame) -> DataFrame:
     """A stream of documents to one of enveloped lines; the same projection as in batch."""
     key = F.concat("source", F.lit("/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
@@ -50,95 +23,18 @@ def dedupe_stream(events: DataFrame, key: str, at: str, within: str = "365 days"
     return events.withWatermark(at, within).dropDuplicatesWithinWatermark([key])
 
 
-def state_stream(log: DataFrame) -> DataFrame:
-    """job_id, state, events after each trigger: the latest event by (at, event_id) decides, so that
-    any order of arrival ends in the same state."""
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        at, event, state, n = held.get if held.exists else (-1, -1, "", 0)
-        for b in batches:
-            n += len(b)
-            micros = b["at_us"]
-            last = b.loc[b.assign(m=micros).sort_values(["m", "event_id"]).index[-1]]
-            if (int(last["at_us"]), int(last["event_id"])) > (at, event):
-                at, event, state = int(last["at_us"]), int(last["event_id"]), str(last["state"])
-        held.update((at, event, state, n))
-        yield pd.DataFrame({"job_id": [key[0]], "state": [state], "events": [n]})
-
-    rows = log.select("job_id", "event_id", F.unix_micros("at").alias("at_us"), "state")
-    return rows.groupBy("job_id").applyInPandasWithState(step, "job_id long, state string, events long", "at_us long, event_id long, state string, n long", "append", GroupStateTimeout.NoTimeout)
-
-
-#: The store that timers and several state variables need.
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-class ChunkProcessor(StatefulProcessor):
-    """The state of one chunk: commands are folded by ``on_chunk`` in order of (at, event_id) within a
-    batch, each event once. A chunk that runs past its lease without a command gives a row of its own."""
-
-    def __init__(self, lease_ms: int) -> None:
-        self.lease_ms = lease_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getValueState("chunk", "state string, attempt int, revision int, records long, seen array<long>")
-
-    def chunk(self) -> tuple[Chunk, set[int]]:
-        if not self.held.exists():
-            return Chunk(), set()
-        *c, seen = self.held.get()
-        return Chunk(*c), set(seen)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        commands = pd.concat(list(rows)).sort_values(["at_us", "event_id"])
-        (c, seen), out, last = self.chunk(), [], 0
-        for r in commands.itertuples():
-            if r.event_id in seen:
-                continue
-            seen.add(int(r.event_id))
-            outcome = on_chunk(c, r.kind, int(r.attempt), int(r.records))
-            out.append((*key, int(r.event_id), outcome, c.state, c.revision))
-            last = max(last, int(r.at_us) // 1000)
-        self.held.update((c.state, c.attempt, c.revision, c.records, sorted(seen)))
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if c.state == "RUNNING":
-            self.handle.registerTimer(last + self.lease_ms)
-        yield pd.DataFrame(out, columns=["job_id", "chunk_id", "event_id", "outcome", "state", "revision"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        c, _ = self.chunk()
-        yield pd.DataFrame([(*key, None, "leaseExpired", c.state, c.revision)] if c.state == "RUNNING" else [], columns=["job_id", "chunk_id", "event_id", "outcome", "state", "revision"])
-
-    def close(self) -> None:
-        pass
-
-
-def chunk_stream(commands: DataFrame, lease: str = "15 minutes", late: str = "0 seconds") -> DataFrame:
-    """commands as in ``chunk_log`` -> job_id, chunk_id, event_id, outcome, state and revision after
-    each, and a row with outcome leaseExpired (no event) for a chunk that ran past its lease by the
-    watermark. Ids are numbers or text. The event ids of a chunk, of which a few attempts make few, are
-    remembered with its state."""
-    spark = commands.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    kinds = {f.name: f.dataType.simpleString() for f in commands.schema.fields}
-    rows = commands.withWatermark("at", late).select("job_id", "chunk_id", "event_id", "at", F.unix_micros("at").alias("at_us"), "kind", "attempt", "records")
-    ms = int(pd.Timedelta(lease).total_seconds() * 1000)
-    schema = f"job_id {kinds['job_id']}, chunk_id {kinds['chunk_id']}, event_id long, outcome string, state string, revision int"
-    return rows.groupBy("job_id", "chunk_id").transformWithStateInPandas(ChunkProcessor(ms), schema, "append", "EventTime")
-
-
-def with_quarantine(stream: DataFrame, good: str, bad: str, mark: str, max_attempts: int = 3):
-    """A stream with a ``reason`` column: accepted rows go to one table, rejected ones to another with
-    the number of their attempt. Both writes are of one micro-batch, named by its id, so that a batch
-    that is tried again replaces what it wrote."""
+def with_quarantine(stream: DataFrame, good: str, bad: str, mark: str):
+    """A stream with a ``reason`` column: accepted rows go to one table, rejected ones to another.
+    Both writes are of one micro-batch, computed once and named by its id, so that a batch that is tried
+    again replaces what it wrote. Messages that may yet succeed belong to ``streaming.redelivery``."""
     if "reason" not in stream.columns:
         raise ValueError("a reason column is needed")
 
     def each(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
         batch.where("reason is null").drop("reason").write.mode("overwrite").parquet(f"{good}/batch={number}")
         known = F.when(F.col("reason").isin(REASONS), F.col("reason")).otherwise("INVALID_CONFIGURATION")
-        batch.where("reason is not null").withColumn("reason", known).withColumn("attempts_left", F.lit(max_attempts - 1)).write.mode("overwrite").parquet(f"{bad}/batch={number}")
+        batch.where("reason is not null").withColumn("reason", known).write.mode("overwrite").parquet(f"{bad}/batch={number}")
+        batch.unpersist()
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", mark).trigger(availableNow=True).start()

@@ -1,9 +1,17 @@
+import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
-from recordmill.operators import commands
-from recordmill.streaming.flows import chunk_stream, drained, with_quarantine
+from recordmill.operators import commands, metrics, quality
+from recordmill.sources.framed import FramedFiles
+from recordmill.streaming.flows import with_quarantine
+from recordmill.streaming.ledgers import admission_stream, alarm_stream, chunk_stream, completion_stream, gap_stream
+from recordmill.streaming.runs import fed, folder, started
+
+T0 = datetime(2024, 1, 1)
+COMMANDS = "job_id string, chunk_id string, at timestamp, event_id long, kind string, attempt int, records long"
 
 
 def test_quarantine(spark, tmp_path):
@@ -12,22 +20,139 @@ def test_quarantine(spark, tmp_path):
     q = with_quarantine(stream, str(tmp_path / "good"), str(tmp_path / "bad"), str(tmp_path / "mark"))
     q.awaitTermination()
     assert [r.id for r in spark.read.parquet(str(tmp_path / "good")).collect()] == [1]
-    bad = spark.read.parquet(str(tmp_path / "bad")).orderBy("id").select("id", "reason", F.col("attempts_left"))
-    assert [tuple(r) for r in bad.collect()] == [(2, "INVALID_UTF8", 2), (3, "INVALID_CONFIGURATION", 2)]
+    bad = spark.read.parquet(str(tmp_path / "bad")).orderBy("id").select("id", "reason")
+    assert [tuple(r) for r in bad.collect()] == [(2, "INVALID_UTF8"), (3, "INVALID_CONFIGURATION")]
+
 
+def outcomes(rows):
+    return sorted((r.chunk_id, r.event_id, r.outcome, r.state, r.revision) for r in rows if r.event_id is not None)
 
-def test_chunk_stream_folds_like_the_batch_and_ends_leases(spark, tmp_path):
-    t0 = datetime(2024, 1, 1)
-    schema = "job_id string, chunk_id string, at timestamp, event_id long, kind string, attempt int, records long"
+
+def test_chunk_stream_folds_like_the_batch_and_ends_leases(spark):
     kinds = ["acquire", "complete", "start", "fail", "start"]
-    rows = [("j", str(k % 3), t0 + timedelta(seconds=k), k, kinds[k % 5], 1 + k % 2, k) for k in range(40)]
-    for number, part in enumerate((rows[:25], rows[20:], [("z", "0", t0 + timedelta(hours=2), 99, "acquire", 0, 0)], [("z", "1", t0 + timedelta(hours=2), 100, "acquire", 0, 0)])):
-        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"f{number}"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
-    got = drained(chunk_stream(stream), "chunks").collect()
-    want = commands.chunk_log(spark.createDataFrame(rows, schema)).collect()
-    key = lambda r: (r.chunk_id, r.event_id)
-    mine = sorted([r for r in got if r.job_id == "j" and r.event_id is not None], key=key)
-    assert [(r.event_id, r.outcome, r.state, r.revision) for r in mine] == [(r.event_id, r.outcome, r.state, r.revision) for r in sorted(want, key=key)]
-    running = {r.chunk_id for r in commands.chunk_states(commands.chunk_log(spark.createDataFrame(rows, schema))).where("state = 'RUNNING'").collect()}
+    rows = [("j", str(k % 3), T0 + timedelta(seconds=k), k, kinds[k % 5], 1 + k % 2, k) for k in range(40)]
+    far = [("z", str(k), T0 + timedelta(hours=2 + k), 99 + k, "acquire", 0, 0) for k in range(2)]
+    df = spark.createDataFrame(rows + far, COMMANDS)
+    slices = F.when(F.col("event_id") < 22, 0).when(F.col("event_id") < 99, 1).when(F.col("event_id") == 99, 2).otherwise(3)
+    got = fed(df, slices, 4, chunk_stream, "chunks", F.col("event_id") % 4 == 0).collect()
+    log = commands.chunk_log(spark.createDataFrame(rows, COMMANDS))
+    assert outcomes([r for r in got if r.job_id == "j"]) == outcomes(log.collect())
+    running = {r.chunk_id for r in commands.chunk_states(log).where("state = 'RUNNING'").collect()}
     assert {r.chunk_id for r in got if r.outcome == "leaseExpired" and r.job_id == "j"} == running
+
+
+def test_late_commands_are_kept_and_redeliveries_move_no_lease(spark):
+    at = lambda m: T0 + timedelta(minutes=m)
+    first = [("a", "0", at(60), 1, "acquire", 0, 0), ("b", "0", at(60), 2, "acquire", 0, 0)]
+    second = [("c", "0", at(54), 3, "acquire", 0, 0)]  # six minutes behind the others
+    third = [("d", "0", at(62), 4, "acquire", 0, 0)]
+    last = [("e", "0", at(63), 5, "acquire", 0, 0)]
+    df = spark.createDataFrame(first + second + third + last, COMMANDS)
+    slices = F.when(F.col("event_id") < 3, 0).otherwise(F.col("event_id") - 2)
+    # every command comes twice
+    got = fed(df, slices, 4, chunk_stream, "late", F.lit(True)).collect()
+    assert sorted(r.event_id for r in got if r.event_id) == [1, 2, 3, 4, 5] and all(r.outcome == "applied" for r in got if r.event_id)
+    assert [r for r in got if r.outcome == "leaseExpired"] == []
+
+
+ADMIT = "file_id string, at_us long, event_id long, kind string"
+
+
+def admissions(n=300):
+    rng = random.Random(4)
+    kinds = ["deliver"] * 6 + ["VALIDATING", "PLANNING", "PROCESSING", "COMPLETED", "FAILED", "RECEIVED"]
+    return [(f"f{rng.randrange(25)}", k * 90_000_000, k, rng.choice(kinds)) for k in range(n)]
+
+
+def test_admission_stream_is_the_batch_fold(spark):
+    df = spark.createDataFrame(admissions(), ADMIT)
+    got = fed(df, F.floor(F.col("event_id") / 100), 3, admission_stream, "admission", F.col("event_id") % 3 == 0)
+    want = commands.admission_log(df).collect()
+    key = lambda r: (r.event_id, r.outcome, r.state, r.revision, r.owner)
+    assert sorted(map(key, got.where("event_id is not null").collect()), key=str) == sorted(map(key, want), key=str)
+    assert {"acquired", "busy", "alreadyCompleted", "unknown", "applied", "conflict"} <= {r.outcome for r in want}
+    assert any(r.outcome == "acquired" and r.revision > 0 for r in want)
+
+
+def test_admission_leases_run_out_on_the_clock(spark):
+    df = spark.createDataFrame([("f", 0, 1, "deliver"), ("g", 0, 2, "deliver"), ("g", 1, 3, "FAILED"), ("h", 0, 4, "deliver")], ADMIT)
+    slices = F.when(F.col("file_id") == "h", 1).otherwise(0)
+    got = fed(df, slices, 2, lambda s: admission_stream(s, lease_us=1000), "leases").where("outcome = 'leaseExpired'").collect()
+    assert [(r.file_id, r.state) for r in got if r.file_id != "h"] == [("f", "RECEIVED")]
+
+
+RESULTS = "job_id long, chunk_id string, ordinal long, status string, records_read long, records_published long, records_rejected long, records_ignored long, expected_chunks long, sealed boolean"
+
+
+def test_one_intent_for_each_job(spark):
+    rows = []
+    for job in range(12):
+        for chunk in range(3):
+            status = "FAILED" if (job, chunk) == (4, 1) else "RETRY_PENDING" if job == 5 else "COMPLETED"
+            rows += [(job, str(chunk), 10 * chunk, status, 7, 6, job % 2, 0, None, None), (job, str(chunk), 10 * chunk + 5, "COMPLETED", 99, 99, 9, 9, None, None)][: 1 if job == 5 else 2]
+        rows.append((job, None, 12, None, None, None, None, None, 4 if job == 6 else 3, job != 7))
+        rows.append((job, None, 21, None, None, None, None, None, 3, True))
+    df = spark.createDataFrame(rows, RESULTS)
+    make = lambda s: completion_stream(s.where("chunk_id is not null"), s.where("expected_chunks is not null"))
+    got = {r.job_id: r for r in fed(df, F.floor(F.col("ordinal") / 10), 3, make, "intents", F.lit(True)).collect()}
+    assert fed(df, F.lit(0), 1, make, "intents-once").count() == len(got)
+    assert sorted(got) == [0, 1, 2, 3, 4, 7, 8, 9, 10, 11]
+    assert (got[0].status, got[0].result, got[0].records_read, got[0].records_rejected) == ("COMPLETED", "SUCCESS", 21, 0)
+    assert (got[1].result, got[1].records_rejected) == ("WITH_REJECTIONS", 3)
+    assert (got[4].status, got[4].result, got[4].completed, got[4].failed, got[4].records_read) == ("FAILED", None, 2, 1, 14)
+
+
+def test_gaps_are_known_after_each_trigger(spark):
+    rng = random.Random(2)
+    rows = [(g, rng.randrange(1, 60), k) for k, g in enumerate(rng.choices("ab", k=120))]
+    df = spark.createDataFrame(rows, "g string, o long, k long")
+    got = {(r.group, r.trigger): (r.n_missing, r.missing) for r in fed(df, F.floor(F.col("k") / 40), 3, lambda s: gap_stream(s, "g", "o", 1, 10), "gaps", F.col("k") % 5 == 0).collect()}
+    for trigger in (1, 2, 3):
+        upto = df.where(F.col("k") < 40 * trigger)
+        want = {}
+        for r in quality.gaps(upto, "g", "o", 1, 10).collect():
+            want.setdefault(r.group if "group" in r else r.g, []).append(r.missing)
+        for g in "ab":
+            assert got[g, trigger][1] == sorted(want.get(g, []))
+            seen = {o for x, o, k in rows if x == g and k < 40 * trigger}
+            assert got[g, trigger][0] == max(seen) - len(seen)
+
+
+def test_alarms_of_two_periods_in_a_row(spark):
+    rng = random.Random(3)
+    rows = [(k, T0 + timedelta(seconds=30 * k), rng.random() < 0.5) for k in range(400)] + [(400, T0 + timedelta(days=2), False)]
+    df = spark.createDataFrame(rows, "k int, at timestamp, bad boolean")
+    got = fed(df, F.floor(F.col("k") / 134), 3, lambda s: alarm_stream(s, "at", F.col("bad"), 5, "300 seconds", 2), "alarms")
+    want = metrics.alarms(df, "at", F.col("bad"), 5, "300 seconds", 2)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 3
+
+
+def test_files_are_read_once_whatever_their_names(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    spark.dataSource.register(FramedFiles)
+    out, mark = folder(spark, "files"), folder(spark, "files-checkpoint")
+    for names in (["b", "c"], ["a"], [], ["d", "aa"]):
+        for name in names:
+            (tmp_path / "in" / name).write_text(f"{name}-1\n{name}-2\n")
+        started(spark.readStream.format("framed_file").option("path", str(tmp_path / "in")).load(), out, mark).awaitTermination()
+    assert sorted(r.raw for r in spark.read.parquet(out).collect()) == [f"{n}-{k}" for n in ("a", "aa", "b", "c", "d") for k in (1, 2)]
+
+
+@pytest.mark.parametrize("age", [1, 7 * 86_400])
+def test_offsets_of_files(tmp_path, age):
+    import os
+
+    from recordmill.sources.framed import FramedStreamReader
+
+    reader = FramedStreamReader({"path": str(tmp_path), "maxfileage": str(age)})
+    put = lambda name, at: ((tmp_path / name).write_text("x\n"), os.utime(tmp_path / name, (at, at)))
+    names = lambda parts: sorted(p.file.path.rsplit("/", 1)[1] for p in parts)
+    start = reader.initialOffset()
+    put("b", 1000), put("c", 1010)
+    one = reader.latestOffset()
+    assert names(reader.partitions(start, one)) == ["b", "c"] and len(one["seen"]) == (1 if age == 1 else 2)
+    put("a", 1009.5), put("old", 5)
+    two = reader.latestOffset()
+    assert names(reader.partitions(one, two)) == (["a"] if age == 1 else ["a", "old"])
+    put("b", 1020)
+    assert names(reader.partitions(two, reader.latestOffset())) == ["b"]
