@@ -7,10 +7,11 @@ bucket, and each is linked to the least text of its bucket only: a star, so cand
 than bands x texts. They are confirmed on the full sets.
 
 What a star's centre does not settle has an exact way. After the components of the confirmed links,
-only buckets that still hold several components are looked through: their texts are dealt in blocks of
-bounded bytes, pairs of blocks compare the signatures of texts of different components, drop a pair
-once it is improbable that it reaches the threshold, and confirm the rest on the sets. A pair is
-looked at in the first bucket that it shares.
+only buckets that still hold several components are looked through: their texts are dealt in blocks,
+pairs of blocks compare the signatures (a byte a bin, so equal bins are never missed) of texts of
+different components, and drop a pair once it is improbable that it reaches the threshold. Texts with a
+pair left are fetched, dealt in blocks of bounded bytes and confirmed on the sets. A pair is looked at
+in the first bucket that it shares.
 """
 
 from __future__ import annotations
@@ -29,11 +30,11 @@ from pyspark.sql import functions as F
 from recordmill.llm.common import arrow_map, quoted, set_aside, small, text_of, written
 from recordmill.llm.components import components
 
-#: 40 bands of 8 bins: a pair at 0.85 shares none with a probability of 3e-6.
-BANDS, PER_BAND = 40, 8
+#: 28 bands of 6 bins: a pair at 0.85 shares none with a probability of 2e-6.
+BANDS, PER_BAND = 28, 6
 BINS = BANDS * PER_BAND
-#: Texts of a bucket are dealt in blocks of about so many bytes.
-BLOCK_BYTES = 4_000_000
+#: Texts of a bucket are dealt in blocks of about so many bytes, signatures and stars of so many rows.
+BLOCK_BYTES, BLOCK_ROWS = 4_000_000, 4000
 TOLERANCE = 1e-6
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -94,75 +95,95 @@ def least_matches(threshold: float, tolerance: float, at: tuple[int, ...]) -> di
     return out
 
 
+def band_keys(sig: np.ndarray) -> list[int]:
+    return [xxhash.xxh64_intdigest(part.tobytes(), seed=i) - 2**63 for i, part in enumerate(sig.reshape(BANDS, PER_BAND))]
+
+
 def confirm(ngram: int, percent: int):
-    """Pairs u, v with both texts -> those that are linked. Pairs come in any order; the sets of a few
-    hundred texts are kept, by bytes."""
-
-    def step_of():
-        held: dict[int, np.ndarray] = {}
-        size = 0
-
-        def shingles(uid: int, text: str) -> np.ndarray:
-            nonlocal size
-            if uid not in held:
-                found = shingle_set(text.encode(), ngram)
-                if size + found.nbytes > BLOCK_BYTES:
-                    held.clear()
-                    size = 0
-                held[uid] = found
-                size += found.nbytes
-            return held[uid]
-
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            u, v, a, b = (c.to_pylist() for c in batch.columns)
-            keep = []
-            for i, (x, y) in enumerate(zip(u, v, strict=True)):
-                s, t = shingles(y, b[i]), shingle_set(a[i].encode(), ngram)
-                common = 0
-                if 100 * min(len(s), len(t)) >= percent * max(len(s), len(t)):
-                    common = len(np.intersect1d(s, t, assume_unique=True))
-                keep.append(100 * common >= percent * (len(s) + len(t) - common) and x != y)
-            return batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+    """Rows head, part, uid, text, in order of (head, part), a head's own text first -> u, v of the texts
+    that are linked to their head. A task holds the head's set and one text's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, centre = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            for part in small(batch):
+                u, v = [], []
+                for head, _, uid, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    grams = shingle_set(text.encode(), ngram)
+                    if uid == head:
+                        now, centre = head, grams
+                    elif head == now and 100 * min(len(grams), len(centre)) >= percent * max(len(grams), len(centre)):
+                        common = len(np.intersect1d(grams, centre, assume_unique=True))
+                        if 100 * common >= percent * (len(grams) + len(centre) - common):
+                            u.append(uid)
+                            v.append(head)
+                yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return run
 
-        return step
 
-    return step_of
+def confirmed(edges: DataFrame, texts: DataFrame, ngram: int, percent: int) -> DataFrame:
+    """edges: uid, head; texts: uid, text -> the edges u, v whose texts are similar enough. A text goes
+    to its heads, and a head to each part of its star; a part has about BLOCK_ROWS texts, which are
+    streamed."""
+    parts = written(edges.groupBy("head").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts")), "star-parts")
+    members = edges.join(parts, "head").select("head", F.pmod(F.xxhash64("uid"), "parts").cast("int").alias("part"), "uid")
+    heads = parts.select("head", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("head").alias("uid"))
+    # the same plan at every size: a broadcast of small stars would hide what texts cost
+    rows = written(members.union(heads), "star-members").hint("merge").join(texts, "uid").select("head", "part", "uid", "text")
+    dealt = rows.repartition("head", "part").sortWithinPartitions("head", "part", (F.col("uid") == F.col("head")).desc())
+    return dealt.mapInArrow(confirm(ngram, percent), "u long, v long")
 
 
-def compared(ngram: int, percent: int):
-    """Rows key, i, j, band, block, uid, root, sig, text, in order of (key, i, j): pairs of blocks of a bucket
-    -> u, v for each text that is linked to one of another component there, a forest of these links."""
+def likely(sigs: np.ndarray, keys: np.ndarray, comp: np.ndarray, side: np.ndarray, band: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each text the later ones of another component (and of the other side, where there are two)
+    that may be similar to it, without those that share a bucket of an earlier band."""
     need = least_matches(percent / 100, TOLERANCE, tuple(range(PER_BAND * 4, BINS + 1, PER_BAND * 4)))
+    two = side.any() and not side.all()
+    for a in range(len(sigs) - 1):
+        left = np.arange(a + 1, len(sigs))
+        left = left[(comp[left] != comp[a]) & ((side[left] != side[a]) if two else True)]
+        matches, done = np.zeros(len(left), np.int64), 0
+        for upto, least in need.items():
+            matches = matches + (sigs[left, done:upto] == sigs[a, done:upto]).sum(1)
+            on = matches >= least
+            left, matches, done = left[on], matches[on], upto
+            if not len(left):
+                break
+        if band and len(left):
+            left = left[~(keys[left, :band] == keys[a, :band]).any(1)]
+        if len(left):
+            yield a, left
+
+
+def compared(ngram: int, percent: int, with_text: bool):
+    """Rows key, i, j, band, block, uid, root, sig, keys (and text), in order of (key, i, j): pairs of
+    blocks of a bucket. Without texts -> key, uid of those that may be similar to one of another
+    component; with texts -> u, v of those that are, a forest of these links."""
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
-        _, i, j, band = rows[0][:4]
+        key, i, j, band = rows[0][:4]
         n = len(rows)
         uid, comp = np.array([r[5] for r in rows]), np.array([r[6] for r in rows])
-        side = np.array([int(r[4] == j) for r in rows])
-        sigs = np.stack([np.frombuffer(r[7], np.uint32) for r in rows])
-        bands = sigs.reshape(n, BANDS, PER_BAND)[:, :band]
-        sets: list[np.ndarray | None] = [None] * n
+        side = np.array([int(i != j and r[4] == j) for r in rows])
+        sigs, keys = np.stack([np.frombuffer(r[7], np.uint8) for r in rows]), np.array([r[8] for r in rows])
+        pairs = likely(sigs, keys, comp, side, band, percent)
+        if not with_text:
+            hit = np.zeros(n, bool)
+            for a, left in pairs:
+                hit[a] = True
+                hit[left] = True
+            return pa.RecordBatch.from_pydict({"key": pa.array([key] * int(hit.sum()), pa.int64()), "uid": pa.array(uid[hit], pa.int64())})
+        sets: dict[int, np.ndarray] = {}
         _, root = np.unique(comp, return_inverse=True)
 
         def grams(k: int) -> np.ndarray:
-            if sets[k] is None:
-                sets[k] = shingle_set(rows[k][8].encode(), ngram)
+            if k not in sets:
+                sets[k] = shingle_set(rows[k][9].encode(), ngram)
             return sets[k]
 
         u, v = [], []
-        for a in range(n - 1):
-            left = np.arange(a + 1, n)
-            if i != j:
-                left = left[side[left] != side[a]]
-            left = left[comp[left] != comp[a]]
-            matches, done = np.zeros(len(left), np.int64), 0
-            for upto, least in need.items():
-                matches = matches + (sigs[left, done:upto] == sigs[a, done:upto]).sum(1)
-                left, matches, done = left[matches >= least], matches[matches >= least], upto
-                if not len(left):
-                    break
-            if band and len(left):  # those that shared an earlier bucket were compared there
-                left = left[~(bands[left] == bands[a]).all(2).any(1)]
+        for a, left in pairs:
             for b in left.tolist():
                 if root[a] == root[b]:
                     continue
@@ -189,20 +210,26 @@ def compared(ngram: int, percent: int):
     return run
 
 
-def unsettled(bands: DataFrame, texts: DataFrame, comps: DataFrame, ngram: int, percent: int) -> DataFrame:
+def in_blocks(rows: DataFrame, sizes: DataFrame, *more: str) -> DataFrame:
+    """Rows of a bucket, each in all pairs of its block with another; sizes: key, blocks."""
+    dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("uid"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "band", "block", "uid", "root", "sig", "keys", *more)
+    return pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "uid")
+
+
+def unsettled(bands: DataFrame, signs: DataFrame, texts: DataFrame, comps: DataFrame, ngram: int, percent: int) -> DataFrame:
     """Links between texts of different components that share a bucket. bands: uid, band, key;
-    texts: uid, sig, text; comps: node, root."""
+    signs: uid, sig, keys; texts: uid, text; comps: node, root."""
     rooted = bands.join(comps.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     open_ = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-    rows = written(rooted.join(open_, "key", "left_semi"), "open-buckets")
-    if rows.isEmpty():
-        return rows.select(F.col("uid").alias("u"), F.col("uid").alias("v"))
-    here = texts.join(rows.select("uid").distinct(), "uid", "left_semi")
-    full = written(rows.join(here, "uid").withColumn("bytes", F.octet_length("text") + F.lit(4 * BINS)), "open-texts")
+    rows = written(rooted.join(open_, "key", "left_semi").hint("merge").join(signs, "uid"), "open-buckets")
+    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    flagged = written(in_blocks(rows, sizes).mapInArrow(compared(ngram, percent, False), "key long, uid long"), "open-pairs")
+    if flagged.isEmpty():
+        return flagged.select(F.col("uid").alias("u"), F.col("uid").alias("v"))
+    full = written(rows.join(flagged.distinct(), ["key", "uid"], "left_semi").join(texts, "uid").withColumn("bytes", F.octet_length("text") + F.lit(12 * BINS)), "open-texts")
     sizes = full.groupBy("key").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
-    dealt = full.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("uid"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "band", "block", "uid", "root", "sig", "text")
-    return pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "uid").mapInArrow(compared(ngram, percent), "u long, v long")
+    return in_blocks(full, sizes, "text").mapInArrow(compared(ngram, percent, True), "u long, v long")
 
 
 def minhash_components(docs: DataFrame, *, keep: tuple[str | Column, ...] = ("doc_id",), id_col: str = "doc_id", text_col: str = "text", ngram: int = 3, percent: int = 85) -> DataFrame:
@@ -221,36 +248,36 @@ def minhash_components(docs: DataFrame, *, keep: tuple[str | Column, ...] = ("do
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.Table:
-            digests, sizes, sigs = [], [], []
+            digests, sizes, keys, sigs = [], [], [], []
             for x in batch.column(batch.schema.get_field_index("__text")).to_pylist():
                 grams = shingle_set(x.encode(), ngram)
                 digests.append(hashlib.md5(grams.tobytes(), usedforsecurity=False).digest() if len(grams) else None)
                 sizes.append(len(grams))
-                sigs.append(signature(grams).tobytes() if len(grams) else None)
+                sig = signature(grams) if len(grams) else None
+                keys.append(None if sig is None else band_keys(sig))
+                sigs.append(None if sig is None else sig.astype(np.uint8).tobytes())
             t = pa.Table.from_batches([batch])
-            for name, values, kind in (("__digest", digests, pa.binary()), ("n_shingles", sizes, pa.int64()), ("__sig", sigs, pa.binary())):
+            for name, values, kind in (("__digest", digests, pa.binary()), ("n_shingles", sizes, pa.int64()), ("__keys", keys, pa.list_(pa.int64())), ("__sig", sigs, pa.binary())):
                 t = t.append_column(name, pa.array(values, kind))
             return t
 
         return step
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", __digest binary, n_shingles long, __sig binary"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", __digest binary, n_shingles long, __keys array<long>, __sig binary"
     signed = written(arrow_map(rows, make, schema), "signed")
     equal = signed.where("__digest is not null").groupBy(F.col("__digest").alias("digest")).agg(F.min("__uid").alias("uid"), F.min("__id").alias("least"))
     equal = written(equal, "equal-sets")
-    texts = written(equal.select("uid").join(signed.select(F.col("__uid").alias("uid"), F.col("__sig").alias("sig"), F.col("__text").alias("text")), "uid"), "texts")
-    key = lambda i: F.xxhash64(F.substring("sig", i * (4 * PER_BAND) + 1, F.lit(4 * PER_BAND)), i)
-    bands = written(texts.select("uid", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), key)).alias("band", "key")), "bands")
-    heads = bands.groupBy("key").agg(F.min("uid").alias("head"), F.max("uid").alias("last")).where("head <> last").select("key", "head")
-    # as tables, so that the joins may split a centre with very many texts
-    heads = written(heads, "centres")
+    texts = signed.select(F.col("__uid").alias("uid"), F.col("__text").alias("text"))
+    one = signed.select(F.col("__uid").alias("uid"), "__keys").join(equal.select("uid"), "uid", "left_semi")
+    bands = one.select("uid", F.posexplode("__keys").alias("band", "key"))
+    # as tables, so that the joins may split a bucket with very many texts
+    heads = written(bands.groupBy("key").agg(F.min("uid").alias("head"), F.max("uid").alias("last")).where("head <> last").select("key", "head"), "centres")
     shared = written(bands.join(heads, "key").select("uid", "band", "key", "head"), "shared-buckets")
-    edges = written(shared.where("uid <> head").select(F.col("uid").alias("u"), F.col("head").alias("v")).distinct(), "stars")
-    of = lambda name, text: texts.select(F.col("uid").alias(name), F.col("text").alias(text))
-    both = written(edges.join(of("u", "a"), "u"), "star-texts").join(of("v", "b"), "v").select("u", "v", "a", "b")
-    links = written(arrow_map(both, confirm(ngram, percent), "u long, v long"), "links")
+    edges = written(shared.where("uid <> head").select("uid", "head").distinct(), "stars")
+    links = written(confirmed(edges, texts, ngram, percent), "links")
     comps = written(components(links), "star-components")
-    more = written(unsettled(shared.select("uid", "band", "key"), texts, comps, ngram, percent), "more-links")
+    signs = signed.select(F.col("__uid").alias("uid"), F.col("__sig").alias("sig"), F.col("__keys").alias("keys"))
+    more = written(unsettled(shared.select("uid", "band", "key"), signs, texts, comps, ngram, percent), "more-links")
     if not more.isEmpty():
         comps = written(components(links.union(more)), "components")
     rooted = equal.join(comps.select(F.col("node").alias("uid"), "root"), "uid", "left").select("digest", "least", F.coalesce("root", "uid").alias("root"))

@@ -169,6 +169,7 @@ def edited(rng, words, n):
 def test_minhash_components_near_the_threshold(spark, monkeypatch, block):
     """Copies of copies: links that no star of a bucket's least text would find."""
     monkeypatch.setattr(minhash_dedup, "BLOCK_BYTES", block)
+    monkeypatch.setattr(minhash_dedup, "BLOCK_ROWS", block // 4000)
     rng, made = random.Random(3), []
     for g in range(25):
         words = [f"g{g}w{k}" for k in range(rng.choice([8, 20, 60, 300]))]
