@@ -13,7 +13,9 @@ from recordmill.operators import commands, ledger, ops, quality
 NOW = "2024-06-30 00:00:00"
 _FIRST = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY job_id, number % 3 ORDER BY number) AS r FROM {L} WHERE status = 'COMPLETED') WHERE r = 1)"
 _ROLLUP = f"(SELECT job_id, count(*) AS chunks, count(*) FILTER (status = 'COMPLETED') AS completed, count(*) FILTER (status = 'FAILED') AS failed, CAST(coalesce(sum(records_read) FILTER (status = 'COMPLETED'), 0) AS BIGINT) AS records_read, CAST(coalesce(sum(records_rejected) FILTER (status = 'COMPLETED'), 0) AS BIGINT) AS records_rejected FROM {L} GROUP BY job_id)"
-_DONE = f"(SELECT *, CASE WHEN completed + failed >= chunks THEN CASE WHEN failed > 0 THEN 'FAILED' ELSE 'COMPLETED' END ELSE 'PROCESSING' END AS status, CASE WHEN completed + failed >= chunks AND failed = 0 THEN CASE WHEN records_rejected > 0 THEN 'WITH_REJECTIONS' ELSE 'SUCCESS' END END AS result FROM {_ROLLUP})"
+_SEALED = f"(SELECT job_id, count(*) + CASE WHEN job_id % 7 = 0 THEN 1 ELSE 0 END AS expected, job_id % 5 <> 0 AS sealed FROM {L} GROUP BY job_id)"
+_OVER = "sealed AND completed + failed >= expected"
+_DONE = f"(SELECT r.*, CASE WHEN {_OVER} THEN CASE WHEN failed > 0 THEN 'FAILED' ELSE 'COMPLETED' END ELSE 'PROCESSING' END AS status, CASE WHEN {_OVER} AND failed = 0 THEN CASE WHEN records_rejected > 0 THEN 'WITH_REJECTIONS' ELSE 'SUCCESS' END END AS result FROM {_ROLLUP} r JOIN {_SEALED} m ON r.job_id = m.job_id)"
 
 
 def _now() -> Column:
@@ -51,19 +53,26 @@ def retry_policy(spark: SparkSession, sf: str) -> DataFrame:
     return results(spark, sf).where("status = 'FAILED'").select("job_id", "chunk_id", "attempt", ledger.after_failure(F.col("attempt"), 3).alias("next_state"))
 
 
+def _ended(spark: SparkSession, sf: str) -> DataFrame:
+    """Jobs by their manifests: every seventh waits for a chunk more, every fifth is not sealed."""
+    chunks = results(spark, sf)
+    plans = chunks.groupBy("job_id").agg((F.count("*") + F.when(F.col("job_id") % 7 == 0, 1).otherwise(0)).alias("expected_chunks")).withColumn("sealed", F.col("job_id") % 5 != 0)
+    return ledger.reconcile(plans, ledger.rollup(chunks))
+
+
 @query(f"SELECT job_id, status, result FROM {_DONE}")
 def job_terminal_status(spark: SparkSession, sf: str) -> DataFrame:
-    return ledger.reconcile(ledger.rollup(results(spark, sf))).select("job_id", "status", "result")
+    return _ended(spark, sf).select("job_id", "status", "result")
 
 
 @query(f"SELECT job_id, status, result, sha256(job_id || '/completion/1') AS completion_id FROM {_DONE} WHERE status <> 'PROCESSING'")
 def completion_events(spark: SparkSession, sf: str) -> DataFrame:
-    return ledger.completions(ledger.reconcile(ledger.rollup(results(spark, sf)))).select("job_id", "status", "result", "completion_id")
+    return ledger.completions(_ended(spark, sf)).select("job_id", "status", "result", "completion_id")
 
 
 @query(f"SELECT job_id, sha256(job_id || '/completion/1') AS completion_id FROM {_DONE} WHERE status <> 'PROCESSING' AND job_id % 3 <> 0")
 def outbox_pending(spark: SparkSession, sf: str) -> DataFrame:
-    outbox = ledger.completions(ledger.reconcile(ledger.rollup(results(spark, sf))))
+    outbox = ledger.completions(_ended(spark, sf))
     delivered = results(spark, sf).where("job_id % 3 = 0").select(completion_id("job_id", F.lit(1)).alias("completion_id"))
     return ledger.pending(outbox, delivered).select("job_id", "completion_id")
 

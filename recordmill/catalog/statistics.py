@@ -80,7 +80,7 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
 def stream_state_machine(spark: SparkSession, sf: str) -> DataFrame:
     """Events in three slices, in no order of time, a third of them twice."""
     log = state_log(spark, sf).select("job_id", "event_id", "at", "state")
-    out = fed(log, F.pmod(F.xxhash64("event_id"), F.lit(3)), 3, state_stream, "states", F.col("event_id") % 3 == 0)
+    out = fed(log, F.pmod(F.xxhash64("event_id"), F.lit(3)), 3, state_stream, "states", F.col("event_id") % 3 == 0, clocked=True)
     return out.groupBy("job_id").agg(F.max_by("state", "events").alias("state"), F.max("events").alias("events"))
 
 

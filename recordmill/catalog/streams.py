@@ -54,7 +54,7 @@ def admission_commands(spark: SparkSession, sf: str) -> DataFrame:
 def stream_admission(spark: SparkSession, sf: str) -> DataFrame:
     """The same rows as a stream; a third of the deliveries comes again a slice later."""
     rows = _admissions(spark, sf)
-    out = fed(rows, in_time(rows, "at_us"), SLICES, lambda s: admission_stream(s, LEASE_US), "admission", F.col("event_id") % 3 == 0)
+    out = fed(rows, in_time(rows, "at_us"), SLICES, lambda s: admission_stream(s, LEASE_US), "admission", F.col("event_id") % 3 == 0, clocked=True)
     return out.where("event_id is not null").withColumn("owner", F.coalesce("owner", F.lit(-1)))
 
 
@@ -77,7 +77,7 @@ def stream_completion_intents(spark: SparkSession, sf: str) -> DataFrame:
     rows = lines.unionByName(jobs, allowMissingColumns=True)
     slices = F.when(F.col("chunk_id").isNull(), F.col("job_id") % SLICES).otherwise(F.least(F.floor((F.col("ordinal") - 1) / 2), F.lit(SLICES - 1)))
     make = lambda s: completion_stream(s.where("chunk_id is not null"), s.where("chunk_id is null"))
-    return fed(rows, slices, SLICES, make, "intents", F.lit(True)).drop("records_ignored")
+    return fed(rows, slices, SLICES, make, "intents", F.lit(True), clocked=True).drop("records_ignored")
 
 
 # ---- publishing

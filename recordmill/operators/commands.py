@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.functions.states import JOB
@@ -199,6 +199,11 @@ def first_snapshot(snapshots: DataFrame, snapshot: str, at: str = "at", tie: str
     return snapshots.groupBy("job_id").agg(F.min_by(snapshot, F.struct(at, tie)).alias(snapshot))
 
 
+def ended(sealed: Column, completed: Column, failed: Column, expected: Column) -> Column:
+    """The one rule by which a job ends: its manifest is sealed, and as many chunks as it names have."""
+    return F.coalesce(sealed & (completed + failed >= expected), F.lit(False))
+
+
 def reconciled(manifest: DataFrame, chunks: DataFrame) -> DataFrame:
     """manifest: job_id, expected_chunks, sealed; chunks: job_id, chunk_id, state, records. One row
     per job: its counts, and its status once it is sealed and as many chunks as expected have ended
@@ -206,9 +211,9 @@ def reconciled(manifest: DataFrame, chunks: DataFrame) -> DataFrame:
     of = lambda s: F.count_if(F.col("state") == s)
     counts = chunks.groupBy("job_id").agg(of("RUNNING").alias("running"), of("RETRY_PENDING").alias("retry_pending"), of("COMPLETED").alias("completed"), of("FAILED").alias("failed"), F.sum(F.when(F.col("state") == "COMPLETED", F.col("records")).otherwise(0)).cast("long").alias("records"))
     rows = manifest.join(counts, "job_id", "left").na.fill(0, ["running", "retry_pending", "completed", "failed", "records"])
-    ended = F.col("sealed") & (F.col("completed") + F.col("failed") >= F.col("expected_chunks"))
+    over = ended(*map(F.col, ("sealed", "completed", "failed", "expected_chunks")))
     pending = F.col("expected_chunks") - F.col("running") - F.col("retry_pending") - F.col("completed") - F.col("failed")
-    return rows.withColumn("pending", pending).withColumn("status", F.when(ended, F.when(F.col("failed") > 0, "FAILED").otherwise("COMPLETED")))
+    return rows.withColumn("pending", pending).withColumn("status", F.when(over, F.when(F.col("failed") > 0, "FAILED").otherwise("COMPLETED")))
 
 
 def broken_counts(reconciled_jobs: DataFrame) -> DataFrame:

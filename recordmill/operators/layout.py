@@ -17,8 +17,14 @@ def write_clustered(df: DataFrame, path: str, *keys: str, files: int | None = No
     """A table clustered by ``keys``, the first of which has bloom filters for ``distinct`` values a
     row group. Equal keys may go to several files, so a hot one is no single task's. Fails if it is there."""
     dealt = df.repartitionByRange(*([files] if files else []), *keys, F.xxhash64(*df.columns)) if len(df.columns) > len(keys) else df.repartitionByRange(*([files] if files else []), *keys)
+    conf, kind = df.sparkSession.conf, "spark.sql.parquet.outputTimestampType"
+    before = conf.get(kind)
     w = dealt.sortWithinPartitions(*keys).write.option("parquet.block.size", row_group_bytes).option("parquet.page.row.count.limit", 10_000)
-    w.option(f"parquet.bloom.filter.enabled#{keys[0]}", "true").option(f"parquet.bloom.filter.expected.ndv#{keys[0]}", distinct).parquet(path)
+    try:
+        conf.set(kind, "TIMESTAMP_MICROS")  # the default has no statistics
+        w.option(f"parquet.bloom.filter.enabled#{keys[0]}", "true").option(f"parquet.bloom.filter.expected.ndv#{keys[0]}", distinct).parquet(path)
+    finally:
+        conf.set(kind, before)
 
 
 def partition_of(spark: SparkSession, path: str, pk: str, prefix: str = "") -> DataFrame:

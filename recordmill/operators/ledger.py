@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from recordmill.functions.identity import completion_id
 from recordmill.functions.states import JOB, job_result, terminal
+from recordmill.operators.commands import ended
 
 
 def current(log: DataFrame, key: str = "job_id", state: str = "state", at: str = "at", tie: str = "event_id") -> DataFrame:
@@ -60,11 +61,14 @@ def after_failure(attempt: Column, max_attempts: int = 3) -> Column:
     return F.when(attempt < max_attempts, "RETRY_PENDING").otherwise("FAILED")
 
 
-def reconcile(jobs: DataFrame) -> DataFrame:
-    """Status and result of jobs of which all chunks have ended; the others are open."""
-    ended = F.col("completed") + F.col("failed") >= F.col("chunks")
+def reconcile(manifest: DataFrame, jobs: DataFrame) -> DataFrame:
+    """manifest: job_id, expected_chunks, sealed; jobs as from ``rollup``. Status and result of each job of
+    the manifest, with its counters; those that have not ended are open, also if nothing came yet."""
+    counters = [c for c in jobs.columns if c != "job_id"]
+    rows = manifest.join(jobs, "job_id", "left").na.fill(0, counters)
+    over = ended(*map(F.col, ("sealed", "completed", "failed", "expected_chunks")))
     status, result = job_result(F.col("failed"), F.col("records_rejected"))
-    return jobs.withColumn("status", F.when(ended, status).otherwise("PROCESSING")).withColumn("result", F.when(ended, result))
+    return rows.withColumn("status", F.when(over, status).otherwise("PROCESSING")).withColumn("result", F.when(over, result))
 
 
 def completions(reconciled: DataFrame, version: int = 1) -> DataFrame:

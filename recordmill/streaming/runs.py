@@ -27,9 +27,17 @@ def stateful(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def started(stream: DataFrame, out: str, mark: str, mode: str = "append"):
-    """The stream into a Parquet table, over what is there now."""
-    return stream.writeStream.format("parquet").outputMode(mode).option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start()
+def started(stream: DataFrame, out: str, mark: str, mode: str = "append", clocked: bool = False):
+    """The stream into a Parquet table, over what is there now. A stream with timers on the clock
+    (``clocked``) would go on with triggers without data for ever; here it ends with its data, and timers
+    that are due fire with the next."""
+    conf, idle = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(idle)
+    conf.set(idle, "false" if clocked else before)
+    try:
+        return stream.writeStream.format("parquet").outputMode(mode).option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start()
+    finally:
+        conf.set(idle, before)
 
 
 def drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -40,7 +48,7 @@ def drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def fed(rows: DataFrame, slice_of: Column, slices: int, make: Callable[[DataFrame], DataFrame], name: str, repeat: Column | None = None) -> DataFrame:
+def fed(rows: DataFrame, slice_of: Column, slices: int, make: Callable[[DataFrame], DataFrame], name: str, repeat: Column | None = None, clocked: bool = False) -> DataFrame:
     """``rows`` written slice by slice (``slice_of``: 0 to slices - 1) and, after each, the stream that
     ``make`` builds on them, started anew from its checkpoint: one slice a trigger, and a restart
     between any two. Rows for which ``repeat`` holds are delivered again with the next slice."""
@@ -54,5 +62,5 @@ def fed(rows: DataFrame, slice_of: Column, slices: int, make: Callable[[DataFram
             here = here | ((F.col("__slice") == k - 1) & repeat)
         numbered.where(here).drop("__slice").write.parquet(f"{source}/slice-{k}")
         stream = make(spark.readStream.schema(schema).parquet(f"{source}/*"))
-        started(stream, out, mark).awaitTermination()
+        started(stream, out, mark, clocked=clocked).awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)

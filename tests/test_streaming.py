@@ -11,6 +11,17 @@ from recordmill.streaming.ledgers import admission_stream, alarm_stream, chunk_s
 from recordmill.streaming.runs import fed, folder, started
 
 T0 = datetime(2024, 1, 1)
+
+
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """A state store and a worker for each partition of each trigger take longer than these rows."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 COMMANDS = "job_id string, chunk_id string, at timestamp, event_id long, kind string, attempt int, records long"
 
 
@@ -66,7 +77,7 @@ def admissions(n=300):
 
 def test_admission_stream_is_the_batch_fold(spark):
     df = spark.createDataFrame(admissions(), ADMIT)
-    got = fed(df, F.floor(F.col("event_id") / 100), 3, admission_stream, "admission", F.col("event_id") % 3 == 0)
+    got = fed(df, F.floor(F.col("event_id") / 100), 3, admission_stream, "admission", F.col("event_id") % 3 == 0, clocked=True)
     want = commands.admission_log(df).collect()
     key = lambda r: (r.event_id, r.outcome, r.state, r.revision, r.owner)
     assert sorted(map(key, got.where("event_id is not null").collect()), key=str) == sorted(map(key, want), key=str)
@@ -77,7 +88,7 @@ def test_admission_stream_is_the_batch_fold(spark):
 def test_admission_leases_run_out_on_the_clock(spark):
     df = spark.createDataFrame([("f", 0, 1, "deliver"), ("g", 0, 2, "deliver"), ("g", 1, 3, "FAILED"), ("h", 0, 4, "deliver")], ADMIT)
     slices = F.when(F.col("file_id") == "h", 1).otherwise(0)
-    got = fed(df, slices, 2, lambda s: admission_stream(s, lease_us=1000), "leases").where("outcome = 'leaseExpired'").collect()
+    got = fed(df, slices, 2, lambda s: admission_stream(s, lease_us=1000), "leases", clocked=True).where("outcome = 'leaseExpired'").collect()
     assert [(r.file_id, r.state) for r in got if r.file_id != "h"] == [("f", "RECEIVED")]
 
 
@@ -94,8 +105,8 @@ def test_one_intent_for_each_job(spark):
         rows.append((job, None, 21, None, None, None, None, None, 3, True))
     df = spark.createDataFrame(rows, RESULTS)
     make = lambda s: completion_stream(s.where("chunk_id is not null"), s.where("expected_chunks is not null"))
-    got = {r.job_id: r for r in fed(df, F.floor(F.col("ordinal") / 10), 3, make, "intents", F.lit(True)).collect()}
-    assert fed(df, F.lit(0), 1, make, "intents-once").count() == len(got)
+    got = {r.job_id: r for r in fed(df, F.floor(F.col("ordinal") / 10), 3, make, "intents", F.lit(True), clocked=True).collect()}
+    assert fed(df, F.lit(0), 1, make, "intents-once", clocked=True).count() == len(got)
     assert sorted(got) == [0, 1, 2, 3, 4, 7, 8, 9, 10, 11]
     assert (got[0].status, got[0].result, got[0].records_read, got[0].records_rejected) == ("COMPLETED", "SUCCESS", 21, 0)
     assert (got[1].result, got[1].records_rejected) == ("WITH_REJECTIONS", 3)
