@@ -223,12 +223,13 @@ def unsettled(bands: DataFrame, signs: DataFrame, texts: DataFrame, comps: DataF
     rooted = bands.join(comps.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     open_ = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
     rows = written(rooted.join(open_, "key", "left_semi").hint("merge").join(signs, "uid"), "open-buckets")
-    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    # as tables, so that the joins may split a bucket with very many texts
+    sizes = written(rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")), "open-sizes")
     flagged = written(in_blocks(rows, sizes).mapInArrow(compared(ngram, percent, False), "key long, uid long"), "open-pairs")
     if flagged.isEmpty():
         return flagged.select(F.col("uid").alias("u"), F.col("uid").alias("v"))
     full = written(rows.join(flagged.distinct(), ["key", "uid"], "left_semi").join(texts, "uid").withColumn("bytes", F.octet_length("text") + F.lit(12 * BINS)), "open-texts")
-    sizes = full.groupBy("key").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
+    sizes = written(full.groupBy("key").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks")), "text-sizes")
     return in_blocks(full, sizes, "text").mapInArrow(compared(ngram, percent, True), "u long, v long")
 
 

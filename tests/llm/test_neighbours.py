@@ -68,3 +68,30 @@ def test_recall_of_the_query_on_its_table(spark):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     assert set(got) == set(want)
     assert sum(len(got[q] & {i for i, _ in want[q]}) for q in want) >= 0.9 * sum(map(len, want.values()))
+
+
+def brute_neighbours(rows, k):
+    """Inner products in double precision, ties by id, each row once; NaN last."""
+    rows = {(i, tuple(v)) for i, v in rows}
+    out = []
+    for i, v in rows:
+        if i % 20:
+            continue
+        with np.errstate(all="ignore"):
+            scored = [((np.array(w) * np.array(v)).sum() + 0.0, j) for j, w in rows if j != i]
+        best = sorted(scored, key=lambda x: (np.isnan(x[0]), 0 if np.isnan(x[0]) else -x[0], x[1]))[:k]
+        out += [(i, rank, j, repr(float(s))) for rank, (s, j) in enumerate(best, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("factor", [1.0, 1e-200, 1e21, 1e200])
+def test_repeated_rows_and_extreme_values(spark, factor):
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(size=6) * factor).tolist()) for i in range(120)]
+    df = spark.createDataFrame(rows * 25, "vec_id long, embedding array<double>").repartition(3)
+    got = exact(df, F.col("vec_id") % 20 == 0, k=20, shard_rows=50)
+    assert sorted((r.query_id, r.rank, r.vec_id, repr(r.score)) for r in got.collect()) == brute_neighbours(rows, 20)
+    found = search(df, F.col("vec_id") % 20 == 0, k=20, shard_rows=500)
+    assert found.count() == 6 * 20
+    ids = lambda df: {(r.query_id, r.vec_id) for r in df.collect()}
+    assert len(ids(found) & ids(got)) >= (0.8 if factor in (1.0, 1e21) else 0) * 120  # beyond, products are equal or none
