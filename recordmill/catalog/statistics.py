@@ -9,7 +9,7 @@ from recordmill.catalog.base import E, O, STATES, lines_sql, objects, query, sta
 from recordmill.catalog.ledgers import _STEPS, chunk_command_columns
 from recordmill.functions import sizes
 from recordmill.operators import metrics
-from recordmill.sources.fixtures import fixed_width
+from recordmill.sources.fixtures import write_fixed
 from recordmill.sources.sinks import write_files
 from recordmill.streaming.flows import dedupe_stream, enveloped_stream
 from recordmill.streaming.ledgers import chunk_stream, state_stream
@@ -55,10 +55,13 @@ def alarm_windows(spark: SparkSession, sf: str) -> DataFrame:
     return out.select((F.unix_seconds("window_start") / 3600).cast("long").alias("hour"), "n")
 
 
-@query("SELECT CAST(1000 AS BIGINT) AS records, CAST(100000 AS BIGINT) AS bytes, '00000001' AS first, '00001000' AS last")
+@query("SELECT count(*) AS records, CAST(count(*) * 100 AS BIGINT) AS bytes, '00000001' AS first, lpad(CAST(count(*) AS VARCHAR), 8, '0') AS last FROM orders")
 def fixed_file_generate(spark: SparkSession, sf: str) -> DataFrame:
-    rows = fixed_width(spark, 1000, 100)
-    return rows.agg(F.count("*").alias("records"), F.sum(F.octet_length("value") + 1).alias("bytes"), F.min(F.substring("value", 1, 8)).alias("first"), F.max(F.substring("value", 1, 8)).alias("last"))
+    """As many lines as there are orders, written as files, by their manifest and their content."""
+    out = folder(spark, "fixed")
+    made = write_fixed(spark, out, table(spark, sf, "orders").count(), 100)
+    lines = spark.read.text(out).agg(F.min(F.substring("value", 1, 8)).alias("first"), F.max(F.substring("value", 1, 8)).alias("last"))
+    return made.agg(F.sum("records").cast("long").alias("records"), F.sum("size_bytes").cast("long").alias("bytes")).join(F.broadcast(lines))
 
 
 @query(f"SELECT doc_id, event_id, byte_offset FROM (SELECT l.doc_id, byte_offset, sha256(l.doc_id || '/' || sha256(sha256(bucket || '/' || key || '/' || version_id || '/' || etag || '/' || size) || '/' || byte_offset)) AS event_id FROM {lines_sql(O)} l JOIN {O} o ON l.doc_id = o.doc_id)")

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordmill.functions.identity import completion_token
 from recordmill.functions.states import JOB
 
 MAX_ATTEMPTS = 3
@@ -168,14 +169,16 @@ def admission_log(commands: DataFrame, lease_us: int = LEASE_US) -> DataFrame:
     return folded(commands, ["file_id"], ["at_us", "event_id"], ["kind", "at_us", "event_id"], Admitted, step, {"state": "string", "revision": "int", "owner": "long"})
 
 
-CHUNK_STATE = {"state": "string", "revision": "int", "records": "long"}
+CHUNK_STATE = {"state": "string", "attempt": "int", "revision": "int", "records": "long"}
 
 
 def chunk_log(commands: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """commands: job_id, chunk_id, at, event_id, kind, attempt, records -> with outcome, state and
-    revision after each; ``records`` are those of the command, counted once it is applied."""
-    rows = commands.withColumnRenamed("records", "offered")
-    return folded(rows, ["job_id", "chunk_id"], ["at", "event_id"], ["kind", "attempt", "offered"], Chunk, lambda c, *a: on_chunk(c, *a, max_attempts), CHUNK_STATE)
+    """commands: job_id, chunk_id, at, event_id, kind, attempt, records -> with outcome, and state, attempt,
+    revision and records after each; what a command says itself is in ``asked`` and ``offered``. A
+    running chunk has the ``token`` of who holds it, another one for each attempt."""
+    rows = commands.withColumnsRenamed({"records": "offered", "attempt": "asked"})
+    log = folded(rows, ["job_id", "chunk_id"], ["at", "event_id"], ["kind", "asked", "offered"], Chunk, lambda c, *a: on_chunk(c, *a, max_attempts), CHUNK_STATE)
+    return log.withColumn("token", F.when(F.col("state") == "RUNNING", completion_token("job_id", "chunk_id", "attempt", F.lit(0))))
 
 
 def chunk_states(log: DataFrame) -> DataFrame:

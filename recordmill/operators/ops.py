@@ -17,6 +17,12 @@ def get_job(jobs: DataFrame, job_id) -> DataFrame:
     return jobs.where(F.col("job_id") == job_id)
 
 
+def summaries(jobs: DataFrame) -> DataFrame:
+    """Jobs as they are shown: what a job lacks is an empty text, a zero or false; times stay null."""
+    kinds = {"string": "", "bigint": 0, "int": 0, "double": 0.0, "boolean": False}
+    return jobs.withColumns({c: F.coalesce(F.col(c), F.lit(kinds[t]).cast(t)) for c, t in jobs.dtypes if t in kinds})
+
+
 def by_receipt(jobs: DataFrame, receipts: DataFrame) -> DataFrame:
     """Receipts with their jobs."""
     return receipts.join(jobs, "job_id")

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from recordmill.sources.ranges import mounted
 
@@ -27,7 +30,18 @@ def write_by_route(df: DataFrame, path: str, route: str = "route") -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("sep", ";").option("header", "true").csv(path)
+    """Files with a header, semicolons between fields, and the mark by which spreadsheets know UTF-8."""
+    names = ";".join(df.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = True
+        for b in batches:
+            if head:
+                yield pa.RecordBatch.from_pydict({"value": ["\ufeff" + names]})
+            head = False
+            yield b
+
+    df.select(F.to_csv(F.struct("*"), {"sep": ";"}).alias("value")).mapInArrow(run, "value string").write.mode("overwrite").text(path)
 
 
 def write_files(df: DataFrame, path: str, name: str = "name", content: str = "content") -> None:
