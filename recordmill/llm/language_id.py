@@ -171,6 +171,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
     blocks of a text and going back through them gives the exact best path.
     """
     kinds = scores.shape[1]
+    label = np.min_scalar_type(-kinds)  # one byte up to 128 languages
     blocks = -(-sizes // BLOCK)
     first = np.cumsum(blocks) - blocks
     word = np.arange(len(scores)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -181,7 +182,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
     n = len(s)
     v = np.broadcast_to(np.where(np.eye(kinds, dtype=bool), 0, -penalty).astype(np.float32), (n, kinds, kinds))
     v = v + s[:, 0, None, :]
-    jump, source = np.zeros((BLOCK, n, kinds, kinds), bool), np.zeros((BLOCK, n, kinds), np.int8)
+    jump, source = np.zeros((BLOCK, n, kinds, kinds), bool), np.zeros((BLOCK, n, kinds), label)
     for t in range(1, BLOCK):
         source[t] = v.argmax(2)
         top = v.max(2, keepdims=True) - penalty
@@ -205,7 +206,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
         after[at] = last[:live]
         before[at] = came[k][np.arange(live), last[:live]]
         last[:live] = before[at]
-    out, now, rows = np.zeros((n, BLOCK), np.int8), after.copy(), np.arange(n)
+    out, now, rows = np.zeros((n, BLOCK), label), after.copy(), np.arange(n)
     for t in range(BLOCK - 1, 0, -1):
         out[:, t] = now
         now = np.where(jump[t, rows, before, now], source[t, rows, before], now)
