@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -13,8 +14,8 @@ ROOT = Path(__file__).resolve().parent.parent
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Sends the package to the executors, unless they have it from PYTHONPATH or the folder."""
-    known = [*os.environ.get("PYTHONPATH", "").split(":"), os.getcwd()]
+    """Sends the package to the executors. Only workers of a local master have the driver's own path."""
+    known = [*os.environ.get("PYTHONPATH", "").split(":"), os.getcwd()] if re.match(r"local(\[|$)", spark.conf.get("spark.master", "")) else []
     if str(ROOT) not in known and not getattr(spark.sparkContext, "_recordmill_shipped", False):
         path = Path(tempfile.mkdtemp(prefix="recordmill-")) / "recordmill.zip"
         with zipfile.ZipFile(path, "w") as z:
