@@ -27,7 +27,8 @@ from recordmill.llm.components import components
 BANDS, PER_BAND = 24, 4
 HASHES = BANDS * PER_BAND
 STEP = 16
-BLOCK_TEXTS = 1000
+#: A block of a component holds about so many texts and bytes at most.
+BLOCK_TEXTS, BLOCK_BYTES = 1000, 8_000_000
 
 _rng = np.random.default_rng(20240607)
 A = _rng.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -181,12 +182,13 @@ def near_duplicates(docs: DataFrame, *, keep: tuple[str | Column, ...] = ("doc_i
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", __digest binary, __sig binary"
     signed = written(arrow_map(rows, make, schema), "signatures")
     texts = signed.where("__digest is not null").groupBy("__digest").agg(F.min("__uid").alias("uid"), F.count("*").alias("copies")).select("uid", "copies", F.col("__digest").alias("digest"))
-    texts = written(texts.join(signed.select(F.col("__uid").alias("uid"), F.col("__sig").alias("sig")), "uid"), "texts")
+    texts = written(texts.join(signed.select(F.col("__uid").alias("uid"), F.col("__sig").alias("sig"), F.octet_length(text).alias("bytes")), "uid"), "texts")
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.substring("sig", i * (4 * PER_BAND) + 1, F.lit(4 * PER_BAND)), i))
     bands = texts.select("uid", F.explode(band).alias("key"))
     heads = bands.groupBy("key").agg(F.min("uid").alias("head"), F.max("uid").alias("last")).where("head <> last")
     roots = written(components(bands.join(heads, "key").where("uid <> head").select(F.col("uid").alias("u"), F.col("head").alias("v"))), "candidates")
-    sizes = roots.groupBy("root").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK_TEXTS).cast("int"))
+    weighed = roots.join(texts.select(F.col("uid").alias("node"), "bytes"), "node")
+    sizes = written(weighed.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")), "component-sizes")
     dealt = roots.join(sizes, "root").select(F.col("root").alias("comp"), F.col("node").alias("uid"), "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
     full = dealt.join(texts.select("uid", "copies", "sig"), "uid").join(signed.select(F.col("__uid").alias("uid"), F.coalesce(F.col(text), F.lit("")).alias("text")), "uid")
     pairs = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "uid", "copies", "sig", "text")

@@ -66,10 +66,11 @@ def test_near_duplicates_equal_brute_force(docs, empty, held):
     assert near_duplicates(empty).count() == 0
 
 
-def test_near_duplicates_of_a_large_group(spark, monkeypatch):
+@pytest.mark.parametrize(("limit", "value"), [("BLOCK_TEXTS", 40), ("BLOCK_BYTES", 30_000)])
+def test_near_duplicates_of_a_large_group(spark, monkeypatch, limit, value):
     import recordmill.llm.near_duplicates as m
 
-    monkeypatch.setattr(m, "BLOCK_TEXTS", 40)
+    monkeypatch.setattr(m, limit, value)
     common = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join(["alone" + str(i) if k == 7 + i % 90 else w for k, w in enumerate(common)])) for i in range(150)]
     out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
