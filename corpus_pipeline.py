@@ -47,7 +47,9 @@ class Numbered:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents of which one language has a third of the letters at least: texts with a quoted
-    passage in another language stay."""
+    passage in another language stay. Null texts, and those without a letter, go; equal shares go to
+    the language first in the alphabet; if no row has a language, none is learnt and all go; an empty
+    table stays one."""
     rows = Numbered(docs)
     model = fit(rows.docs, text_col=rows.of("text"), lang_col=rows.of("lang"), id_col=rows.of("doc_id"), sample_rows=20_000)
     found = identify(rows.docs, model, text_col=rows.of("text"), keep=tuple(rows.columns))
@@ -55,27 +57,32 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps what passes the rules, without the lines that fail them."""
+    """Keeps what passes the rules, without the lines that fail them. Null and empty texts go; repeated
+    rows fare alike; an empty table stays one."""
     rows = Numbered(docs)
     return rows.back(assess(rows.docs, text_col=rows.of("text"), keep=rows.but_text()).where("kept"), text="clean_text")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group with 5-gram Jaccard similarities of 0.8 or more."""
+    """Keeps one document of each group with 5-gram Jaccard similarities of 0.8 or more: the one with the
+    least id (null first), of several with that id any one. Texts without a word are alone and stay; an
+    empty table stays one."""
     rows = Numbered(docs)
     found = near_duplicates(rows.docs, keep=tuple(rows.columns), id_col=rows.of("doc_id"), text_col=rows.of("text"), ngram=5, threshold=0.8)
     return rows.back(found.where("kept"))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out passages of 50 words or more that occur twice, each time; documents stay, if need be empty."""
+    """Takes out passages of 50 words or more that occur twice, each time; documents stay, if need be
+    empty, null texts as empty ones. Repeated rows are each other's repeats; an empty table stays one."""
     rows = Numbered(docs)
     found = remove_repeats(rows.docs, rule=Rule(50, "words"), keep=rows.but_text(), text_col=rows.of("text"))
     return rows.back(found, text="clean_text")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deals the tokens of all documents to sequences of 2048."""
+    """Deals the tokens of all documents to sequences of 2048. Null texts are empty, of one token; repeated
+    ids have pieces of their own; longer texts are cut; an empty table gives no piece."""
     rows = Numbered(docs)
     return pack(rows.docs, public_tokenizers.path("word_bpe_49k.json"), id_col=rows.of("doc_id"), text_col=rows.of("text"), capacity=2048, end_id=0).drop("row")
 
