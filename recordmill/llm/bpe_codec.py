@@ -110,7 +110,8 @@ def decode_documents(encoded: DataFrame, tokenizer: str, *, id_col: str = "doc_i
 
 def round_trip_digests(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes and decodes in one pass, so that
-    neither ids nor decoded texts leave the task."""
+    neither ids nor decoded texts leave the task. Null texts are empty ones, of no token; repeated rows
+    and null ids each give a row; an empty table gives none; other columns are ignored."""
 
     def digests(c: Codec, doc, _, ids: list[np.ndarray]) -> dict[str, list]:
         return {

@@ -36,7 +36,8 @@ def op1_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two calls with one cache: the second finds what the first has stored of half of the documents."""
+    """Two calls with one cache: the second finds what the first has stored of half of the documents.
+    That shows the cache at work and saves nothing here, as each run begins a new one."""
     docs, path, cache = table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), shared_folder(spark, "token-counts")
     store_counts(docs.where(F.pmod(crc32_of("doc_id"), F.lit(2)) == 0), path, cache)
     return count_tokens(docs, path, cache=cache, limit=4096)
