@@ -171,7 +171,7 @@ def test_minhash_components_near_the_threshold(spark, monkeypatch, block):
     monkeypatch.setattr(minhash_dedup, "BLOCK_BYTES", block)
     monkeypatch.setattr(minhash_dedup, "BLOCK_ROWS", block // 4000)
     rng, made = random.Random(3), []
-    for g in range(25):
+    for g in range(12):
         words = [f"g{g}w{k}" for k in range(rng.choice([8, 20, 60, 300]))]
         for _ in range(14):
             made.append(" ".join(words))
