@@ -45,7 +45,7 @@ def in_blocks(data, cuts, **more):
 @pytest.mark.parametrize("broken", [False, True])
 def test_any_tiling_gives_the_whole_files_elements(broken):
     rng = random.Random(11)
-    for _ in range(40):
+    for _ in range(25):
         data = document(rng, broken)
         whole = in_blocks(data, [])
         if not broken:
