@@ -1,23 +1,24 @@
 """The ledger as streams: admission with leases, chunks, completion of jobs, gaps, alarms.
 
-Each keyed operator keeps the state of one key and folds commands with the functions that fold a table
-(``operators.commands``), in order of time within a trigger. A delivery that comes again is known by
-its event id, which is kept as an entry of its own for a bounded time.
+Each operator keeps the states of keys, in buckets (``streaming.buckets``), and folds commands with the
+functions that fold a table (``operators.commands``), in order of time within a trigger. A delivery that
+comes again is known by its event id, which is kept for a bounded time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from recordmill.functions.identity import completion_id
 from recordmill.functions.states import job_result
 from recordmill.operators.commands import LEASE_US, Admitted, Chunk, on_admission, on_chunk
+from recordmill.streaming.buckets import BUCKETS, Bucketed, in_buckets
 from recordmill.streaming.runs import stateful
 
 DAY_MS = 86_400_000
@@ -27,111 +28,87 @@ def millis(duration: str) -> int:
     return int(pd.Timedelta(duration).total_seconds() * 1000)
 
 
-class Once:
-    """Event ids of a key, an entry each; with a lifetime they are forgotten on the clock."""
+class AdmissionProcessor(Bucketed):
+    """Jobs by their file ids. A time on the clock tells of a lease that ran out with no delivery."""
 
-    def __init__(self, handle: StatefulProcessorHandle, ttl_ms: int | None = None) -> None:
-        self.map = handle.getMapState("seen", "event_id long", "one boolean", ttlDurationMs=ttl_ms)
+    timed = ids = True
 
-    def new(self, event_id: int) -> bool:
-        if self.map.containsKey((event_id,)):
-            return False
-        self.map.updateValue((event_id,), (True,))
-        return True
+    def __init__(self, width: int, lease_us: int, retention_ms: int) -> None:
+        super().__init__(width, retention_ms)
+        self.lease_us = lease_us
 
+    def ordered(self, rows: list[tuple]) -> list[tuple]:
+        return sorted(rows, key=lambda r: (r[1], r[0]))
 
-class AdmissionProcessor(StatefulProcessor):
-    """One job by its file id. A timer on the clock tells of a lease that ran out with no delivery."""
-
-    def __init__(self, lease_us: int, retention_ms: int) -> None:
-        self.lease_us, self.retention_ms = lease_us, retention_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getValueState("job", "state string, lease_us long, revision int, owner long", ttlDurationMs=self.retention_ms)
-        self.once = Once(handle, self.retention_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        job = Admitted(*self.held.get()) if self.held.exists() else Admitted()
+    def change(self, key: tuple, held: tuple | None, came, clock: int, out: list[tuple]) -> tuple | None:
+        *state, due = held or (*vars(Admitted()).values(), None)
+        job = Admitted(*state)
         before = job.lease_us
-        for r in sorted(rows, key=lambda r: (r.at_us, r.event_id)):
-            if self.once.new(r.event_id):
-                outcome = on_admission(job, r.kind, r.at_us, r.event_id, self.lease_us)
-                yield Row(file_id=key[0], event_id=r.event_id, outcome=outcome, state=job.state, revision=job.revision, owner=job.owner)
+        for event_id, at_us, kind in came:
+            outcome = on_admission(job, kind, at_us, event_id, self.lease_us)
+            out.append((*key, event_id, outcome, job.state, job.revision, job.owner))
         if job.state is None:
-            return
-        self.held.update((job.state, job.lease_us, job.revision, job.owner))
+            return None
         if job.lease_us != before:
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.lease_us // 1000)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        if self.held.exists():
-            state, _, revision, owner = self.held.get()
-            if state in ("RECEIVED", "VALIDATING", "PLANNING"):
-                yield Row(file_id=key[0], event_id=None, outcome="leaseExpired", state=state, revision=revision, owner=owner)
+            due = clock + self.lease_us // 1000
+        return job.state, job.lease_us, job.revision, job.owner, due
 
-    def close(self) -> None:
-        pass
+    def due(self, key: tuple, held: tuple, clock: int, out: list[tuple]) -> tuple[tuple, bool]:
+        state, lease_us, revision, owner, _ = held
+        if state in ("RECEIVED", "VALIDATING", "PLANNING"):
+            out.append((*key, None, "leaseExpired", state, revision, owner))
+        return (state, lease_us, revision, owner, None), False
 
 
-def admission_stream(commands: DataFrame, lease_us: int = LEASE_US, retention: str = "90 days") -> DataFrame:
+def admission_stream(commands: DataFrame, lease_us: int = LEASE_US, retention: str = "90 days", buckets: int = BUCKETS) -> DataFrame:
     """commands as in ``admission_log`` -> file_id, event_id, outcome, state, revision, owner after each.
 
     Whether a lease has run out is decided by the time of the delivery that asks, so the rows are those
     of the batch fold. Besides, a job whose lease passes on the clock, in an early state, gives a row
     with outcome leaseExpired and no event. A job is forgotten ``retention`` after its last change."""
     stateful(commands.sparkSession)
-    kind = dict(commands.dtypes)["file_id"]
-    rows = commands.select("file_id", "at_us", "event_id", "kind")
-    return rows.groupBy("file_id").transformWithState(AdmissionProcessor(lease_us, millis(retention)), f"file_id {kind}, event_id long, outcome string, state string, revision int, owner long", "append", "ProcessingTime")
+    rows = commands.select("file_id", F.col("event_id").cast("long").alias("event_id"), "at_us", "kind")
+    return in_buckets(rows, ["file_id"], lambda n: AdmissionProcessor(n, lease_us, millis(retention)), "event_id long, outcome string, state string, revision int, owner long", "ProcessingTime", buckets)
 
 
-class ChunkProcessor(StatefulProcessor):
-    """The state of one chunk and the time of its last command, from which its lease runs. One timer, by
-    the watermark: first for the lease of a running chunk, then to forget the event ids."""
+class ChunkProcessor(Bucketed):
+    """The state of a chunk and the time of its last command, from which its lease runs. The time it
+    waits for, by the watermark, is first that of the lease of a running chunk, then to forget the event ids."""
 
-    def __init__(self, lease_ms: int, remember_ms: int) -> None:
-        self.lease_ms, self.remember_ms = lease_ms, remember_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getValueState("chunk", "state string, attempt int, revision int, records long, last_ms long")
-        self.once = Once(handle)
-
-    def timer(self, at: int, watermark: int) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(max(at, watermark + 1))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        *c, last = self.held.get() if self.held.exists() else (*vars(Chunk()).values(), 0)
-        chunk, new = Chunk(*c), False
-        for r in sorted(rows, key=lambda r: (r.at_us, r.event_id)):
-            if self.once.new(r.event_id):
-                new, last = True, max(last, r.at_us // 1000)
-                outcome = on_chunk(chunk, r.kind, r.attempt, r.records)
-                yield Row(job_id=key[0], chunk_id=key[1], event_id=r.event_id, outcome=outcome, state=chunk.state, revision=chunk.revision)
-        if new:  # a redelivery alone moves no lease
-            self.held.update((chunk.state, chunk.attempt, chunk.revision, chunk.records, last))
-            self.timer(last + (self.lease_ms if chunk.state == "RUNNING" else self.remember_ms), timerValues.getCurrentWatermarkInMs())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        state, _, revision, _, last = self.held.get()
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        if state == "RUNNING" and at < last + self.remember_ms:
-            yield Row(job_id=key[0], chunk_id=key[1], event_id=None, outcome="leaseExpired", state=state, revision=revision)
-        if at >= last + self.remember_ms:
-            self.once.map.clear()
-        else:
-            self.timer(last + self.remember_ms, at)
-
-    def close(self) -> None:
-        pass
+    timed = ids = True
 
+    def __init__(self, width: int, lease_ms: int, remember_ms: int) -> None:
+        super().__init__(width)
+        self.lease_ms, self.remember_ms = lease_ms, remember_ms
 
-def chunk_stream(commands: DataFrame, lease: str = "15 minutes", late: str = "0 seconds", remember: str = "15 days") -> DataFrame:
+    def clock(self, timers) -> int:
+        return timers.getCurrentWatermarkInMs()
+
+    def ordered(self, rows: list[tuple]) -> list[tuple]:
+        return sorted(rows, key=lambda r: (r[1], r[0]))
+
+    def change(self, key: tuple, held: tuple | None, came, clock: int, out: list[tuple]) -> tuple | None:
+        if not came:  # a redelivery alone moves no lease
+            return None
+        *c, last, _ = held or (*vars(Chunk()).values(), 0, None)
+        chunk = Chunk(*c)
+        for event_id, at_us, kind, attempt, records in came:
+            last = max(last, at_us // 1000)
+            outcome = on_chunk(chunk, kind, attempt, records)
+            out.append((*key, event_id, outcome, chunk.state, chunk.revision))
+        due = max(last + (self.lease_ms if chunk.state == "RUNNING" else self.remember_ms), clock + 1)
+        return chunk.state, chunk.attempt, chunk.revision, chunk.records, last, due
+
+    def due(self, key: tuple, held: tuple, clock: int, out: list[tuple]) -> tuple[tuple, bool]:
+        *c, last, at = held
+        state, _, revision, _ = c
+        over = at >= last + self.remember_ms
+        if state == "RUNNING" and not over:
+            out.append((*key, None, "leaseExpired", state, revision))
+        return (*c, last, None if over else max(last + self.remember_ms, clock + 1)), over
+
+
+def chunk_stream(commands: DataFrame, lease: str = "15 minutes", late: str = "0 seconds", remember: str = "15 days", buckets: int = BUCKETS) -> DataFrame:
     """commands as in ``chunk_log`` -> job_id, chunk_id, event_id, outcome, state and revision after
     each, and a row with outcome leaseExpired (no event) for a chunk that ran past its lease by the
     watermark, ``late`` behind the newest command of any chunk. Late commands are folded when they
@@ -139,101 +116,81 @@ def chunk_stream(commands: DataFrame, lease: str = "15 minutes", late: str = "0
     ids are remembered for ``remember`` (more than the lease) after a chunk's last command; redelivered
     ones neither count nor move a lease."""
     stateful(commands.sparkSession)
-    kinds = dict(commands.dtypes)
-    rows = commands.withWatermark("at", late).select("job_id", "chunk_id", "event_id", F.unix_micros("at").alias("at_us"), "kind", "attempt", "records")
-    schema = f"job_id {kinds['job_id']}, chunk_id {kinds['chunk_id']}, event_id long, outcome string, state string, revision int"
-    return rows.groupBy("job_id", "chunk_id").transformWithState(ChunkProcessor(millis(lease), millis(remember)), schema, "append", "EventTime")
-
+    rows = commands.withWatermark("at", late).select("job_id", "chunk_id", F.col("event_id").cast("long").alias("event_id"), F.unix_micros("at").alias("at_us"), "kind", "attempt", "records")
+    out = "event_id long, outcome string, state string, revision int"
+    return in_buckets(rows, ["job_id", "chunk_id"], lambda n: ChunkProcessor(n, millis(lease), millis(remember)), out, "EventTime", buckets)
 
-class JobState(StatefulProcessor):
-    """The latest state of one job by (time, event id), and how many different events it had."""
 
-    def __init__(self, remember_ms: int) -> None:
-        self.remember_ms = remember_ms
+class JobState(Bucketed):
+    """The latest state of a job by (time, event id), and how many different events it had."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("job", "at_us long, event_id long, state string, events long")
-        self.once = Once(handle, self.remember_ms)
+    ids = True
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        at, event, state, n = self.held.get() if self.held.exists() else (None, None, None, 0)
-        for r in rows:
-            if self.once.new(r.event_id):
-                n += 1
-                if at is None or (r.at_us, r.event_id) > (at, event):
-                    at, event, state = r.at_us, r.event_id, r.state
-        if n:
-            self.held.update((at, event, state, n))
-            yield Row(job_id=key[0], state=state, events=n)
+    def __init__(self, width: int, remember_ms: int) -> None:
+        super().__init__(width, ids_ms=remember_ms)
 
-    def close(self) -> None:
-        pass
+    def change(self, key: tuple, held: tuple | None, came, clock: int, out: list[tuple]) -> tuple | None:
+        at, event, state, n = held or (None, None, None, 0)
+        for event_id, at_us, to in came:
+            n += 1
+            if at is None or (at_us, event_id) > (at, event):
+                at, event, state = at_us, event_id, to
+        if not n:
+            return None
+        out.append((*key, state, n))
+        return at, event, state, n
 
 
-def state_stream(log: DataFrame, remember: str = "15 days") -> DataFrame:
+def state_stream(log: DataFrame, remember: str = "15 days", buckets: int = BUCKETS) -> DataFrame:
     """log: job_id, event_id, at, state -> job_id, state, events after each trigger that brings any: the
     latest event decides, so any order of arrival ends in the same state, and one that comes again
     within ``remember`` is not counted again."""
     stateful(log.sparkSession)
-    kind = dict(log.dtypes)["job_id"]
-    rows = log.select("job_id", "event_id", F.unix_micros("at").alias("at_us"), "state")
-    return rows.groupBy("job_id").transformWithState(JobState(millis(remember)), f"job_id {kind}, state string, events long", "append", "ProcessingTime")
+    rows = log.select("job_id", F.col("event_id").cast("long").alias("event_id"), F.unix_micros("at").alias("at_us"), "state")
+    return in_buckets(rows, ["job_id"], lambda n: JobState(n, millis(remember)), "state string, events long", "ProcessingTime", buckets)
 
 
 COUNTERS = ("records_read", "records_published", "records_rejected", "records_ignored")
 
 
-class FirstEnd(StatefulProcessor):
+class FirstEnd(Bucketed):
     """The first end of a chunk; later ones are redeliveries and count for nothing."""
 
-    def __init__(self, remember_ms: int) -> None:
-        self.remember_ms = remember_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.ended = handle.getValueState("ended", "status string", ttlDurationMs=self.remember_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        if self.ended.exists():
-            return
-        ends = [r for r in rows if r.status in ("COMPLETED", "FAILED")]
-        if ends:
-            r = min(ends, key=lambda r: r.ordinal)
-            self.ended.update((r.status,))
-            done = r.status == "COMPLETED"
-            yield Row(job_id=key[0], expected_chunks=None, sealed=None, completed=int(done), failed=int(not done), **{c: int(r[c] or 0) if done else 0 for c in COUNTERS})
-
-    def close(self) -> None:
-        pass
-
-
-class JobCounters(StatefulProcessor):
-    """Counters of one job, its manifest, and whether its intent has been written."""
-
-    def __init__(self, retention_ms: int) -> None:
-        self.retention_ms = retention_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("job", "expected_chunks long, sealed boolean, completed long, failed long, " + ", ".join(f"{c} long" for c in COUNTERS) + ", written boolean", ttlDurationMs=self.retention_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        expected, sealed, completed, failed, *counts, written = self.held.get() if self.held.exists() else (None, False, 0, 0, *[0] * len(COUNTERS), False)
-        for r in rows:
-            if r.expected_chunks is not None:
+    def gather(self, came, row: tuple) -> None:
+        """row: ordinal, status, counters. The first by ordinal is kept."""
+        if not came:
+            came.append(row)
+        elif row[0] < came[0][0]:
+            came[0] = row
+
+    def change(self, key: tuple, held: tuple | None, came, clock: int, out: list[tuple]) -> tuple | None:
+        if held:
+            return None
+        _, status, *counts = came[0]
+        done = status == "COMPLETED"
+        out.append((*key, None, None, int(done), int(not done), *[int(n or 0) if done else 0 for n in counts]))
+        return (status,)
+
+
+class JobCounters(Bucketed):
+    """Counters of a job, its manifest, and whether its intent has been written."""
+
+    def change(self, key: tuple, held: tuple | None, came, clock: int, out: list[tuple]) -> tuple | None:
+        expected, sealed, completed, failed, *counts, written = held or (None, False, 0, 0, *[0] * len(COUNTERS), False)
+        for new_expected, new_sealed, new_completed, new_failed, *new in came:
+            if new_expected is not None:
                 if not sealed:  # the first sealed manifest holds
-                    expected, sealed = r.expected_chunks, bool(r.sealed)
+                    expected, sealed = new_expected, bool(new_sealed)
             else:
-                completed, failed = completed + r.completed, failed + r.failed
-                counts = [n + r[c] for n, c in zip(counts, COUNTERS, strict=True)]
+                completed, failed = completed + new_completed, failed + new_failed
+                counts = [n + m for n, m in zip(counts, new, strict=True)]
         ready = sealed and not written and completed + failed >= expected
-        self.held.update((expected, sealed, completed, failed, *counts, written or ready))
         if ready:
-            yield Row(job_id=key[0], expected_chunks=expected, completed=completed, failed=failed, **dict(zip(COUNTERS, counts, strict=True)))
-
-    def close(self) -> None:
-        pass
+            out.append((*key, expected, completed, failed, *counts))
+        return expected, sealed, completed, failed, *counts, written or ready
 
 
-def completion_stream(results: DataFrame, manifests: DataFrame, retention: str = "90 days") -> DataFrame:
+def completion_stream(results: DataFrame, manifests: DataFrame, retention: str = "90 days", buckets: int = BUCKETS) -> DataFrame:
     """results: job_id, chunk_id, ordinal, status and the counters; manifests: job_id, expected_chunks,
     sealed. One intent for each job as soon as its sealed manifest is met: job_id, expected_chunks,
     completed, failed, the counters of completed chunks, status, result and completion_id.
@@ -241,14 +198,13 @@ def completion_stream(results: DataFrame, manifests: DataFrame, retention: str =
     Two stateful operators in a row: the first end of each chunk (by ``ordinal`` within a trigger), then
     the counters of each job. Results and manifests may come in any order, and again."""
     stateful(results.sparkSession)
-    job = dict(results.dtypes)["job_id"]
-    fields = f"job_id {job}, expected_chunks long, sealed boolean, completed long, failed long, " + ", ".join(f"{c} long" for c in COUNTERS)
-    ends = results.select("job_id", "chunk_id", "ordinal", "status", *COUNTERS).groupBy("job_id", "chunk_id").transformWithState(FirstEnd(millis(retention)), fields, "append", "ProcessingTime")
+    fields = "expected_chunks long, sealed boolean, completed long, failed long, " + ", ".join(f"{c} long" for c in COUNTERS)
+    over = results.where(F.col("status").isin("COMPLETED", "FAILED")).select("job_id", "chunk_id", "ordinal", "status", *COUNTERS)
+    ends = in_buckets(over, ["job_id", "chunk_id"], lambda n: FirstEnd(n, millis(retention)), fields, "ProcessingTime", buckets).drop("chunk_id")
     zero = [F.lit(0).cast("long").alias(c) for c in ("completed", "failed", *COUNTERS)]
     plans = manifests.select("job_id", F.col("expected_chunks").cast("long").alias("expected_chunks"), "sealed", *zero)
-    both = ends.unionByName(plans)
-    out = f"job_id {job}, expected_chunks long, completed long, failed long, " + ", ".join(f"{c} long" for c in COUNTERS)
-    done = both.groupBy("job_id").transformWithState(JobCounters(millis(retention)), out, "append", "ProcessingTime")
+    out = "expected_chunks long, completed long, failed long, " + ", ".join(f"{c} long" for c in COUNTERS)
+    done = in_buckets(ends.unionByName(plans), ["job_id"], lambda n: JobCounters(n, millis(retention)), out, "ProcessingTime", buckets)
     status, result = job_result(F.col("failed"), F.col("records_rejected"))
     return done.withColumns({"status": status, "result": result, "completion_id": completion_id("job_id", F.lit(1))})
 
@@ -263,40 +219,63 @@ def merged(starts: np.ndarray, ends: np.ndarray, new: np.ndarray) -> tuple[np.nd
     return a[first], b[last]
 
 
-class Intervals(StatefulProcessor):
+def merged_few(starts: list[int], ends: list[int], new: Iterable[int]) -> tuple[list[int], list[int]]:
+    """The same for a handful."""
+    a, b = [], []
+    for start, end in sorted([*zip(starts, ends, strict=True), *((o, o) for o in new)]):
+        if a and start <= b[-1] + 1:
+            b[-1] = max(b[-1], end)
+        else:
+            a.append(start)
+            b.append(end)
+    return a, b
+
+
+#: So many intervals and ordinals are merged without arrays: most keys have few.
+FEW = 64
+
+
+class Intervals(Bucketed):
     """The ordinals of a key as disjoint intervals: as large as the number of its gaps."""
 
-    def __init__(self, first: int, limit: int) -> None:
+    def __init__(self, width: int, first: int, limit: int) -> None:
+        super().__init__(width)
         self.first, self.limit = first, limit
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("intervals", "starts array<long>, ends array<long>, trigger int")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        starts, ends, number = self.held.get() if self.held.exists() else ([], [], 0)
-        new = np.unique(np.fromiter((r.ordinal for r in rows if r.ordinal is not None and r.ordinal >= self.first), np.int64))
-        starts, ends = merged(np.array(starts, np.int64), np.array(ends, np.int64), new)
-        self.held.update((starts.tolist(), ends.tolist(), number + 1))
-        lows = np.concatenate([[self.first], ends[:-1] + 1]) if len(ends) else np.zeros(0, np.int64)
-        missing, n = [], int((starts - lows).sum())
-        for low, high in zip(lows.tolist(), starts.tolist(), strict=True):
-            if len(missing) == self.limit:
-                break
-            missing += range(low, min(high, low + self.limit - len(missing)))
-        yield Row(group=key[0], trigger=number + 1, n_missing=n, missing=missing)
+    def clock(self, timers) -> int:
+        return 0
 
-    def close(self) -> None:
-        pass
+    def fresh(self) -> array:
+        return array("q")
 
+    def gather(self, came, row: tuple) -> None:
+        if row[0] is not None and row[0] >= self.first:
+            came.append(row[0])
 
-def gap_stream(seen: DataFrame, group: str, ordinal: str, first: int, limit: int = 10) -> DataFrame:
+    def change(self, key: tuple, held: tuple | None, came, clock: int, out: list[tuple]) -> tuple | None:
+        starts, ends, number = held or ([], [], 0)
+        if len(starts) + len(came) <= FEW:
+            starts, ends = merged_few(starts, ends, came)
+        else:
+            a, b = merged(np.array(starts, np.int64), np.array(ends, np.int64), np.unique(np.frombuffer(came, np.int64)))
+            starts, ends = a.tolist(), b.tolist()
+        missing, n, low = [], 0, self.first
+        for start, end in zip(starts, ends, strict=True):
+            n += start - low
+            if len(missing) < self.limit:
+                missing += range(low, min(start, low + self.limit - len(missing)))
+            low = end + 1
+        out.append((*key, number + 1, n, missing))
+        return starts, ends, number + 1
+
+
+def gap_stream(seen: DataFrame, group: str, ordinal: str, first: int, limit: int = 10, buckets: int = BUCKETS) -> DataFrame:
     """group, trigger, n_missing, missing: after each trigger that brings ordinals of a group, how many it
     lacks between ``first`` and its largest, and the first ``limit`` of them. Repeated ordinals change
     nothing; the state is the disjoint intervals of what was seen, not the ordinals."""
     stateful(seen.sparkSession)
     rows = seen.select(F.col(group).alias("group"), F.col(ordinal).cast("long").alias("ordinal"))
-    kind = dict(rows.dtypes)["group"]
-    return rows.groupBy("group").transformWithState(Intervals(first, limit), f"group {kind}, trigger int, n_missing long, missing array<long>", "append", "None")
+    return in_buckets(rows, ["group"], lambda n: Intervals(n, first, limit), "trigger int, n_missing long, missing array<long>", "None", buckets)
 
 
 def alarm_stream(events: DataFrame, at: str, breach: Column, threshold: int, width: str = "60 seconds", periods: int = 2, late: str = "0 seconds") -> DataFrame:

@@ -53,9 +53,10 @@ def fed(rows: DataFrame, slice_of: Column, slices: int, make: Callable[[DataFram
     ``make`` builds on them, started anew from its checkpoint: one slice a trigger, and a restart
     between any two. Rows for which ``repeat`` holds are delivered again with the next slice."""
     spark = rows.sparkSession
-    source, out, mark = (folder(spark, f"{name}{x}") for x in ("-in", "", "-checkpoint"))
-    numbered = rows.withColumn("__slice", slice_of.cast("int"))
+    cut, source, out, mark = (folder(spark, f"{name}{x}") for x in ("-cut", "-in", "", "-checkpoint"))
+    rows.withColumn("__slice", slice_of.cast("int")).write.partitionBy("__slice").parquet(cut)  # computed once, not for each slice
     schema = rows.schema
+    numbered = spark.read.schema(f"{schema.toDDL()}, __slice int").parquet(cut)
     for k in range(slices):
         here = F.col("__slice") == k
         if repeat is not None and k:

@@ -1,11 +1,13 @@
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from recordmill.operators import commands, metrics, quality
 from recordmill.sources.framed import FramedFiles
+from recordmill.streaming import ledgers, runs
 from recordmill.streaming.flows import with_quarantine
 from recordmill.streaming.ledgers import admission_stream, alarm_stream, chunk_stream, completion_stream, gap_stream
 from recordmill.streaming.runs import fed, folder, started
@@ -129,6 +131,25 @@ def test_gaps_are_known_after_each_trigger(spark):
             assert got[g, trigger][0] == max(seen) - len(seen)
 
 
+def test_keys_share_the_state_of_a_bucket(spark, monkeypatch):
+    queries, start = [], runs.started
+    monkeypatch.setattr(runs, "started", lambda *a, **k: queries.append(start(*a, **k)) or queries[-1])
+    df = spark.range(1200).selectExpr("id % 300 AS g", "1 + id * 7 % 11 AS o", "id % 2 AS k").withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    got = [fed(df, F.col("k"), 2, lambda s, n=n: gap_stream(s, "g", "o", 1, 3, buckets=n), "shared", F.lit(True)) for n in (3, 1000)]
+    assert all(q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3 for q in queries[:2])
+    few, many = (sorted(map(str, x.collect())) for x in got)
+    assert few == many and len(few) == 300 + 150  # odd groups come in the second slice only
+
+
+def test_a_key_of_many_ordinals_is_merged_as_one_of_few():
+    rng = random.Random(5)
+    for n in (0, 1, 5, 40):
+        old = sorted(rng.sample(range(0, 400, 4), 9))
+        new = [rng.randrange(400) for _ in range(n)]
+        a, b = ledgers.merged(np.array(old), np.array(old) + 1, np.unique(np.array(new, np.int64)))
+        assert ledgers.merged_few(old, [o + 1 for o in old], new) == (a.tolist(), b.tolist())
+
+
 def test_alarms_of_two_periods_in_a_row(spark):
     rng = random.Random(3)
     rows = [(k, T0 + timedelta(seconds=30 * k), rng.random() < 0.5) for k in range(400)] + [(400, T0 + timedelta(days=2), False)]
