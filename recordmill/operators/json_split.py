@@ -17,6 +17,8 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -215,6 +217,8 @@ def elements(g: Growing, entry: Entry, end: int, first_field: str | None, max_by
 
 FUNCTIONS = "path string, size long, version string, block long, start_byte long, end_byte long, first string, ends array<int>, moves array<long>, lows array<long>"
 ENTRIES = "path string, size long, version string, block long, start_byte long, end_byte long, phase string, lexer int, depth long"
+#: Rows are handed on so many at a time: a batch for each small block would take longer than the block.
+ROWS = 10_000
 RECORDS = "path string, file_size long, chunk_id string, byte_offset long, raw string, reason string"
 
 
@@ -227,23 +231,38 @@ def file_blocks(spark: SparkSession, path: str, target: int) -> DataFrame:
     return rows.select("path", "size", "version", "block", F.expr("size * block div n").alias("start_byte"), F.expr("size * (block + 1) div n - 1").alias("end_byte"))
 
 
+#: Small blocks of a file go together, so many bytes of them: a task opens their file once.
+RUN_BYTES = 256 * 1024
+
+
 def dealt(rows: DataFrame) -> DataFrame:
-    """Blocks in as many partitions as the session has, a large file's apart."""
-    return rows.repartition("path", "block")
+    """Blocks in as many partitions as the session has, a large file's apart, those of a run in order."""
+    return rows.repartition("path", F.floor(F.col("start_byte") / RUN_BYTES)).sortWithinPartitions("path", "block")
+
+
+def with_files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, BinaryIO]]:
+    """The blocks, each with its file, which stays open while they are of the same."""
+    rows = (r for batch in batches for r in batch.to_pylist())
+    for file, blocks in groupby(rows, key=lambda r: Pinned(r["path"], r["size"], r["version"])):
+        with opened(file) as f:
+            for r in blocks:
+                yield r, f
 
 
 def block_functions(blocks: DataFrame) -> DataFrame:
     """The blocks with what each does to the lexer's state. A task holds one block at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                with opened(Pinned(r["path"], r["size"], r["version"])) as f:
-                    f.seek(r["start_byte"])
-                    data = f.read(r["end_byte"] - r["start_byte"] + 1)
-                ends, moves, lows = zip(*block_function(data), strict=True)
-                out = {**r, "first": first_character(data), "ends": ends, "moves": moves, "lows": lows}
-                yield pa.RecordBatch.from_pylist([out], schema=_arrow(FUNCTIONS))
+        schema, out = _arrow(FUNCTIONS), []
+        for r, f in with_files(batches):
+            f.seek(r["start_byte"])
+            data = f.read(r["end_byte"] - r["start_byte"] + 1)
+            ends, moves, lows = zip(*block_function(data), strict=True)
+            out.append({**r, "first": first_character(data), "ends": ends, "moves": moves, "lows": lows})
+            if len(out) == ROWS:
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
+                out = []
+        yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return dealt(blocks).mapInArrow(run, FUNCTIONS)
 
@@ -277,18 +296,17 @@ def json_records(spark: SparkSession, path: str, *, first_field: str | None = No
     listed ends the read; one that holds no array gives one row, MALFORMED_JSON; an empty one none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                entry, out, held = Entry(r["phase"], r["lexer"], r["depth"]), [], 0
-                with opened(Pinned(r["path"], r["size"], r["version"])) as f:
-                    g = Growing(f, r["start_byte"], r["end_byte"] + 1, r["size"])
-                    for at, raw, reason in elements(g, entry, r["end_byte"] + 1, first_field, max_bytes):
-                        out.append({"path": r["path"], "file_size": r["size"], "chunk_id": f"{r['block'] + 1:08d}", "byte_offset": at, "raw": None if reason else raw.decode(), "reason": reason})
-                        held += len(raw)
-                        if held > 4_000_000:
-                            yield pa.RecordBatch.from_pylist(out, schema=_arrow(RECORDS))
-                            out, held = [], 0
-                yield pa.RecordBatch.from_pylist(out, schema=_arrow(RECORDS))
+        schema, out, held = _arrow(RECORDS), [], 0
+        for r, f in with_files(batches):
+            entry, chunk = Entry(r["phase"], r["lexer"], r["depth"]), f"{r['block'] + 1:08d}"
+            g = Growing(f, r["start_byte"], r["end_byte"] + 1, r["size"])
+            for at, raw, reason in elements(g, entry, r["end_byte"] + 1, first_field, max_bytes):
+                out.append({"path": r["path"], "file_size": r["size"], "chunk_id": chunk, "byte_offset": at, "raw": None if reason else raw.decode(), "reason": reason})
+                held += len(raw)
+                if held > 4_000_000 or len(out) == ROWS:
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    out, held = [], 0
+        yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return dealt(entries(block_functions(file_blocks(spark, path, target)))).mapInArrow(run, RECORDS)
 

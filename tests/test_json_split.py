@@ -4,9 +4,11 @@ import io
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from recordmill.operators import json_split
 from recordmill.operators.framing import json_elements
 from recordmill.operators.json_split import Entry, Growing, block_function, elements, first_character, json_records
 from recordmill.sources.ranges import ChangedError, Pinned, listed, opened
@@ -107,3 +109,17 @@ def test_other_stores_go_through_pyarrow(spark, tmp_path, monkeypatch):
         pass
     with pytest.raises(FileNotFoundError):
         listed(f"file://{tmp_path}/none")
+
+
+def test_blocks_of_a_file_open_it_once_and_share_a_batch(spark, tmp_path, monkeypatch):
+    opens, opened = [], json_split.opened
+    monkeypatch.setattr(json_split, "opened", lambda file: opens.append(file.path) or opened(file))
+    (tmp_path / "a").write_bytes(b"0123456789")
+    (tmp_path / "b").write_bytes(b"abcdefghij")
+    rows = [{"path": p.path, "size": p.size, "version": p.version, "start_byte": k} for p in json_split.listed(str(tmp_path)) for k in range(0, 10, 2)]
+    batches = iter([pa.RecordBatch.from_pylist(rows[:3]), pa.RecordBatch.from_pylist(rows[3:])])
+    got = [(f.seek(r["start_byte"]), f.read(2))[1] for r, f in json_split.with_files(batches)]
+    assert b"".join(got) == b"0123456789abcdefghij" and len(opens) == 2
+    (tmp_path / "c.json").write_text("[" + ",".join(f'{{"id":{k}}}' for k in range(300)) + "]")
+    sizes = json_split.json_records(spark, str(tmp_path / "c.json"), first_field="id", target=40)
+    assert sizes.count() == 300 and sizes.select("chunk_id").distinct().count() > 50
