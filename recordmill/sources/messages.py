@@ -36,6 +36,8 @@ MESSAGES = pa.schema([("message_id", pa.string()), ("body", pa.string())])
 FAILURES = pa.schema([("message_id", pa.string()), ("code", pa.string()), ("attempts", pa.int32())])
 DDL = {"messages": "message_id string, body string", "failures": "message_id string, code string, attempts int"}
 STAGED = "_staged"
+#: A task holds so many bodies or bytes of them, writing (a row group) as well as reading.
+HELD_MESSAGES, HELD_BYTES = 1000, 4 * BATCH_BYTES
 
 
 @dataclass
@@ -110,6 +112,7 @@ class Sending(DataSourceWriter):
         rows = ((r["message_id"], r["body"]) for r in iterator)
         with pq.ParquetWriter(f"{folders['messages']}/{name}.parquet", MESSAGES) as good, pq.ParquetWriter(f"{folders['failures']}/{name}.parquet", FAILURES) as bad:
             held: tuple[list, list] = ([], [])
+            size = 0
 
             def flush() -> None:
                 for out, kept, schema in ((good, held[0], MESSAGES), (bad, held[1], FAILURES)):
@@ -122,8 +125,10 @@ class Sending(DataSourceWriter):
                 held[0].extend(taken)
                 held[1].extend(failed)
                 counts = [a + b for a, b in zip(counts, (len(taken), len(failed), calls), strict=True)]
-                if len(held[0]) + len(held[1]) >= 1000:
+                size += sum(len(body.encode()) for _, body in taken)
+                if len(held[0]) + len(held[1]) >= HELD_MESSAGES or size >= HELD_BYTES:
                     flush()
+                    size = 0
             flush()
         return Staged(os.path.join(self.root, STAGED, self.key), name, *counts)
 
@@ -188,7 +193,8 @@ class Committed(DataSourceReader):
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         for name in partition.names:
             with pq.ParquetFile(name) as f:
-                yield from f.iter_batches()
+                for group in range(f.num_row_groups):  # batches across them would be of 65,536 bodies
+                    yield from f.iter_batches(HELD_MESSAGES, row_groups=[group])
 
 
 class MessageQueue(DataSource):

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from recordmill.operators.config import Settings, read_limits
 from recordmill.operators.layout import partition_of, scanned_rows, status_range, write_clustered
 from recordmill.operators.localise import local_moment, localised_documents, zone_of
 from recordmill.operators.metrics import report_matrix, run_totals
-from recordmill.sources.messages import ATTEMPTS, MessageQueue, Queue, batches, deliver, sent
+from recordmill.sources.messages import ATTEMPTS, Committed, MessageQueue, Queue, Sending, batches, deliver, sent
 from recordmill.sources.sinks import write_files
 from recordmill.streaming.redelivery import enqueue, publish_once, redelivered, settled
 from recordmill.streaming.runs import folder
@@ -40,6 +41,15 @@ def test_batches_are_bounded():
     assert [len(b) for b in got] == [10, 3, 1, 1, 1]
 
 
+def test_a_task_holds_few_bodies(tmp_path):
+    writer = Sending(str(tmp_path), Queue)
+    writer.publish([writer.write({"message_id": str(k), "body": "x" * size} for size, n in ((10, 2500), (1_000_000, 30)) for k in range(n))], writer.key)
+    (part,) = Committed(str(tmp_path), "messages").partitions()
+    assert pq.ParquetFile(part.names[0]).metadata.num_rows == 2530
+    read = list(Committed(str(tmp_path), "messages").read(part))
+    assert sum(b.num_rows for b in read) == 2530 and all(b.num_rows <= 1000 and b.nbytes < 8_000_000 for b in read)
+
+
 def test_a_trigger_that_fails_half_way_repeats_no_message(spark, tmp_path):
     spark.dataSource.register(MessageQueue)
     rows = spark.range(400).select(F.concat(F.lit("m"), "id").alias("message_id"), F.when(F.col("id") % 50 == 0, "\x01").otherwise("body").alias("body"))
