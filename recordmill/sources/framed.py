@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from recordmill.sources.ranges import Pinned, listed, opened
 
 SCHEMA = "path string, file_size long, chunk_id string, ordinal long, byte_offset long, raw string, reason string, terminated boolean"
 BLOCK = 8 * 1024 * 1024
+BATCH_ROWS, BATCH_BYTES = 10_000, 4 * 1024 * 1024
 
 
 class Range(InputPartition):
@@ -57,6 +59,19 @@ def grouped_ranges(ranges: list[Range], most: int) -> list[Ranges]:
     return out
 
 
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches as one of some thousand rows or some MB: each that is handed on takes its time."""
+    held, rows, size = [], 0, 0
+    for b in batches:
+        held.append(b)
+        rows, size = rows + b.num_rows, size + b.nbytes
+        if rows >= BATCH_ROWS or size >= BATCH_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, rows, size = [], 0, 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def ends_line(data: bytes) -> bool:
     return bool(data) and data[-1] in b"\r\n"
 
@@ -145,18 +160,22 @@ class FramedReader(DataSourceReader):
         return self.planned(listed(self.path))
 
     def read(self, part: Range | Ranges) -> Iterator[pa.RecordBatch]:
-        for r in part.ranges if isinstance(part, Ranges) else [part]:
-            yield from self.read_range(r)
+        return together(self.read_ranges(part.ranges if isinstance(part, Ranges) else [part]))
+
+    def read_ranges(self, ranges: list[Range]) -> Iterator[pa.RecordBatch]:
+        for file, of_file in groupby(ranges, key=lambda r: r.file):
+            with opened(file) as f:
+                for r in of_file:
+                    yield from self.read_range(f, r)
 
-    def read_range(self, r: Range) -> Iterator[pa.RecordBatch]:
+    def read_range(self, f, r: Range) -> Iterator[pa.RecordBatch]:
         n = 0
-        with opened(r.file) as f:
-            batches = {"json": self.elements, "text": self.text}.get(self.mode, self.grouped)(f, r)
-            for b in batches:
-                same = [pa.array([x] * b.num_rows, t) for x, t in ((r.file.path, pa.string()), (r.size, pa.int64()), (f"{r.chunk:08d}", pa.string()))]
-                ordinal = pa.array(np.arange(n, n + b.num_rows))
-                n += b.num_rows
-                yield pa.RecordBatch.from_arrays([*same, ordinal, *b.columns[1:]], names=["path", "file_size", "chunk_id", *RECORD_SCHEMA.names])
+        batches = {"json": self.elements, "text": self.text}.get(self.mode, self.grouped)(f, r)
+        for b in batches:
+            same = [pa.array([x] * b.num_rows, t) for x, t in ((r.file.path, pa.string()), (r.size, pa.int64()), (f"{r.chunk:08d}", pa.string()))]
+            ordinal = pa.array(np.arange(n, n + b.num_rows))
+            n += b.num_rows
+            yield pa.RecordBatch.from_arrays([*same, ordinal, *b.columns[1:]], names=["path", "file_size", "chunk_id", *RECORD_SCHEMA.names])
 
     def elements(self, f, r: Range) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0

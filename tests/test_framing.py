@@ -177,3 +177,17 @@ def test_utf8_guard_looks_at_whole_lines(spark):
     assert bytes(data[1]) == b"a\xc3\xa9\n\xe6\x97b\xc3\xa9\r\ncd\xe6\x97\xc3\xa9f\rgh\xe6\x97\n\n\xe6\x97x"
     rows = frame(damaged(files), F.col("content"), ["doc_id"]).collect()
     assert [(r.ordinal, r.reason, r.raw) for r in rows] == [(i, "INVALID_UTF8" if i % 4 else None, {0: "aé", 4: ""}.get(i)) for i in range(6)]
+
+
+def test_ranges_of_a_partition_share_files_and_batches(tmp_path, monkeypatch):
+    from recordmill.sources import framed as source
+
+    opens, opened = [], source.opened
+    monkeypatch.setattr(source, "opened", lambda file: opens.append(file.path) or opened(file))
+    for name in "ab":
+        (tmp_path / name).write_text("".join(f"{name}{k}\n" for k in range(200)))
+    reader = source.FramedReader({"path": str(tmp_path), "targetchunkbytes": "20", "partitionbytes": "1000000"})
+    (part,) = reader.partitions()
+    (batch,) = reader.read(part)
+    assert len(part.ranges) > 40 and len(opens) == 2
+    assert batch.column("raw").to_pylist() == [f"{name}{k}" for name in "ab" for k in range(200)]
