@@ -260,7 +260,7 @@ _BATCH = f"""i AS (SELECT doc_id, ordinal, CAST(strlen(raw) AS BIGINT) AS bytes,
 
 @query(f"WITH RECURSIVE {_BATCH} SELECT doc_id, b AS batch_no, count(*) AS entries, CAST(sum(bytes) AS BIGINT) AS bytes FROM p GROUP BY 1, 2")
 def batch_split(spark: SparkSession, sf: str) -> DataFrame:
-    items = frame(objects(spark, sf), F.col("content"), ["doc_id"]).select("doc_id", "ordinal", F.octet_length("raw").cast("long").alias("bytes"))
+    items = frame_lines(objects(spark, sf), F.col("content"), ["doc_id"]).select("doc_id", "ordinal", F.octet_length("raw").cast("long").alias("bytes"))
     out = packed(items, ["doc_id"], ["ordinal"], "bytes", max_items=10, max_bytes=3000)
     return out.groupBy("doc_id", F.col("bundle_no").alias("batch_no")).agg(F.count("*").alias("entries"), F.sum("bytes").cast("long").alias("bytes"))
 
@@ -329,6 +329,6 @@ def bundle_statistics(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH RECURSIVE {_BATCH} SELECT doc_id, b AS batch_no, count(*) AS messages, CAST(sum(CASE WHEN ordinal % 3 = 0 THEN 1 ELSE ordinal % 3 END) AS BIGINT) AS logical_events FROM p WHERE ordinal % 7 <> 0 GROUP BY 1, 2")
 def delivery_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Messages of batches but for those that failed; a message without a count holds one event."""
-    items = frame(objects(spark, sf), F.col("content"), ["doc_id"]).select("doc_id", "ordinal", F.octet_length("raw").cast("long").alias("bytes"), (F.col("ordinal") % 3).alias("logical_events"))
+    items = frame_lines(objects(spark, sf), F.col("content"), ["doc_id"]).select("doc_id", "ordinal", F.octet_length("raw").cast("long").alias("bytes"), (F.col("ordinal") % 3).alias("logical_events"))
     sent = packed(items, ["doc_id"], ["ordinal"], "bytes", max_items=10, max_bytes=3000).withColumnRenamed("bundle_no", "batch_no")
     return deliveries(confirmed(sent, sent.where("ordinal % 7 = 0"), ["doc_id", "ordinal"]), ["doc_id", "batch_no"])

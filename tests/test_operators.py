@@ -151,3 +151,15 @@ def test_conversations_keep_every_line(spark, tmp_path):
     assert files.first().content == "H\nSs\nUa\nUb\nU\nUc\nAd\nAe\nA\nU\nSx\nSy\nT\n"
     records = frame(files, F.col("content"), ["conv_id"], "multi-line", layout=LAYOUT).orderBy("ordinal").collect()
     assert [r.raw for r in records] == ["Ua", "Ub", "U", "Uc\x1cAd\x1cAe\x1cA", "U"]
+
+
+def test_delivery_counts_sends_no_contents_through_python(spark, tmp_path):
+    from recordmill.catalog.scanning import delivery_counts
+
+    spark.createDataFrame([(1, "a\r\nb\rc\n\nd", "en", "web"), (2, None, "en", "web"), (3, "\n", "en", "web")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = delivery_counts(spark, str(tmp_path))
+    # ordinals 0 and 7, 14, ... fail; those left of the first document hold 1, 2, 1 and 1 events
+    assert [tuple(r) for r in out.collect()] == [(1, 0, 4, 5)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    into_python = [line for line in plan.splitlines() if "MapInArrow" in line]
+    assert into_python and not any("content" in line or "raw" in line for line in into_python)
