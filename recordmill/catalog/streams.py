@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordmill.catalog.base import E, L, O, objects, query, results, state_log, table
@@ -73,8 +73,12 @@ def stream_completion_intents(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as results of three chunks a job, which so end several times, and the jobs' manifests;
     all of it delivered twice."""
     lines = results(spark, sf).select("job_id", (F.col("number") % 3).cast("string").alias("chunk_id"), F.col("number").alias("ordinal"), "status", "records_read", (F.col("records_read") - F.col("records_rejected")).alias("records_published"), "records_rejected", F.lit(0).cast("long").alias("records_ignored"))
-    jobs = lines.groupBy("job_id").agg((F.countDistinct("chunk_id") + F.when(F.col("job_id") % 7 == 0, 1).otherwise(0)).cast("long").alias("expected_chunks")).withColumn("sealed", F.col("job_id") % 5 != 0)
-    rows = lines.unionByName(jobs, allowMissingColumns=True)
+    chunks = F.size(F.collect_set("chunk_id").over(Window.partitionBy("job_id")))
+    # a job's manifest comes out of the same pass, behind its first line
+    both = lines.select("*", chunks.alias("chunks"), F.explode(F.when(F.col("ordinal") == 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("plan"))
+    own = [F.when(~F.col("plan"), F.col(c)).alias(c) for c in lines.columns[1:]]
+    expected = (F.col("chunks") + F.when(F.col("job_id") % 7 == 0, 1).otherwise(0)).cast("long")
+    rows = both.select("job_id", *own, F.when(F.col("plan"), expected).alias("expected_chunks"), F.when(F.col("plan"), F.col("job_id") % 5 != 0).alias("sealed"))
     slices = F.when(F.col("chunk_id").isNull(), F.col("job_id") % SLICES).otherwise(F.least(F.floor((F.col("ordinal") - 1) / 2), F.lit(SLICES - 1)))
     make = lambda s: completion_stream(s.where("chunk_id is not null"), s.where("chunk_id is null"))
     return fed(rows, slices, SLICES, make, "intents", F.lit(True), clocked=True).drop("records_ignored")

@@ -8,6 +8,10 @@ Rows go in and out packed, some of a bucket's in one value, since the operator t
 A task has one bucket in memory, the keys by ``BUCKETS``; a trigger that brings a key of a bucket reads
 and writes all its keys, so large triggers suit it, and a stream with very many keys and small triggers
 is given more ``buckets``.
+
+``Bucketed`` folds the rows of each key in turn. What needs no order of a key's rows beyond their first or
+their sum is a ``Columnar`` operator: rows come, are held and go as columns, and a bucket's keys are
+folded together.
 """
 
 from __future__ import annotations
@@ -15,7 +19,9 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -25,6 +31,8 @@ from pyspark.sql.types import StructType
 BUCKETS = 4096
 #: So many rows or bytes are packed at a time, and so many rows unpacked.
 ROWS, BYTES, ROWS_OUT = 65_536, 32 * 1024 * 1024, 10_000
+#: The same for columns, which are worth more rows to a bucket.
+COLUMN_BUCKETS, COLUMN_ROWS = 1024, 131_072
 
 
 class Once:
@@ -218,3 +226,101 @@ def in_buckets(rows: DataFrame, key: list[str], make, out: str, time_mode: str,
     names = ", ".join(f"`{k}` {kinds[k]}" for k in key)
     dealt = rows.select(F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int").alias("bucket"), *key, *[c for c in rows.columns if c not in key])
     return unpacked(packed(dealt).groupBy("bucket").transformWithState(make(len(key)), "rows binary", "append", time_mode), f"{names}, {out}")
+
+
+def numbers(rows: pa.Table, key: list[str]) -> np.ndarray:
+    """The same number for rows with the same key; null is a value."""
+    out = np.zeros(rows.num_rows, np.int64)
+    for c in key:
+        coded = rows[c].combine_chunks().dictionary_encode(null_encoding="encode")
+        out = np.unique(out * len(coded.dictionary) + coded.indices.to_numpy(), return_inverse=True)[1]
+    return out
+
+
+def one_batch(rows: pa.Table) -> pa.RecordBatch:
+    found = rows.combine_chunks().to_batches()
+    return found[0] if found else pa.RecordBatch.from_pylist([], schema=rows.schema)
+
+
+class Columnar(StatefulProcessor):
+    """What a subclass says of all keys of a bucket: how rows change what is held. ``held``: the columns
+    behind the key's, as DDL; each key also has the time of its last change, and is forgotten
+    ``retention_ms`` after it."""
+
+    held = ""
+
+    def __init__(self, key: list[str], came: pa.Schema, out: pa.Schema, retention_ms: int) -> None:
+        self.key, self.came, self.out, self.retention_ms = key, came, out, retention_ms
+        behind = to_arrow_schema(StructType.fromDDL(self.held)) if self.held else []
+        self.kept = pa.schema([*[came.field(k) for k in key], pa.field("changed_ms", pa.int64()), *behind])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("held", "keys binary", ttlDurationMs=self.retention_ms)
+
+    def close(self) -> None:
+        pass
+
+    def change(self, held: pa.Table, came: pa.Table, clock: int) -> tuple[pa.Table, pa.Table]:
+        """What is held from now on, a row a key, and the rows that go out."""
+        raise NotImplementedError
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        clock = timerValues.getCurrentProcessingTimeInMs()
+        came = pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(r.rows), self.came) for r in rows], self.came)
+        value = self.state.get()
+        held = pa.Table.from_batches([] if value is None else [pa.ipc.read_record_batch(pa.py_buffer(value[0]), self.kept)], self.kept)
+        held = held.filter(pc.greater(held["changed_ms"], clock - self.retention_ms))
+        held, out = self.change(held, came, clock)
+        self.state.update((one_batch(held).serialize().to_pybytes(),))
+        gone = one_batch(out)
+        for i in range(0, gone.num_rows, ROWS_OUT):
+            yield Row(rows=gone.slice(i, ROWS_OUT).serialize().to_pybytes())
+
+
+def packed_columns(rows: DataFrame, schema: pa.Schema) -> DataFrame:
+    """bucket and others -> bucket and rows: columns of what a task has of a bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        n = size = 0
+
+        def flushed() -> pa.RecordBatch:
+            whole = one_batch(pa.Table.from_batches(held))
+            bucket = whole.column(0).to_numpy()
+            order = np.argsort(bucket, kind="stable")
+            dealt = pa.RecordBatch.from_arrays(whole.take(pa.array(order)).columns[1:], schema=schema)
+            values, starts = np.unique(bucket[order], return_index=True)
+            ends = [*starts[1:].tolist(), len(order)]
+            parts = [dealt.slice(a, b - a).serialize().to_pybytes() for a, b in zip(starts.tolist(), ends, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(values, pa.int32()), pa.array(parts, pa.binary())], names=["bucket", "rows"])
+
+        for batch in batches:
+            held.append(batch)
+            n, size = n + batch.num_rows, size + batch.nbytes
+            if n >= COLUMN_ROWS or size >= BYTES:
+                yield flushed()
+                held, n, size = [], 0, 0
+        if n:
+            yield flushed()
+
+    return rows.mapInArrow(run, "bucket int, rows binary")
+
+
+def unpacked_columns(rows: DataFrame, schema: pa.Schema, ddl: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value in batch.column(0):
+                yield pa.ipc.read_record_batch(value.as_buffer(), schema)
+
+    return rows.mapInArrow(run, ddl)
+
+
+def in_columns(rows: DataFrame, key: list[str], make, out: str, buckets: int = COLUMN_BUCKETS) -> DataFrame:
+    """As ``in_buckets`` for the columnar operator that ``make`` builds of the key and the columns that come and go."""
+    kinds = dict(rows.dtypes)
+    dealt = rows.select(F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int").alias("bucket"), *key, *[c for c in rows.columns if c not in key])
+    came = to_arrow_schema(StructType(dealt.schema.fields[1:]))
+    ddl = ", ".join(f"`{k}` {kinds[k]}" for k in key) + f", {out}"
+    gone = to_arrow_schema(StructType.fromDDL(ddl))
+    states = packed_columns(dealt, came).groupBy("bucket").transformWithState(make(key, came, gone), "rows binary", "append", "ProcessingTime")
+    return unpacked_columns(states, gone, ddl)

@@ -12,13 +12,15 @@ from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.functions.identity import completion_id
 from recordmill.functions.states import job_result
 from recordmill.operators.commands import LEASE_US, Admitted, Chunk, on_admission, on_chunk
-from recordmill.streaming.buckets import BUCKETS, Bucketed, in_buckets
+from recordmill.streaming.buckets import BUCKETS, COLUMN_BUCKETS, Bucketed, Columnar, in_buckets, in_columns, numbers
 from recordmill.streaming.runs import stateful
 
 DAY_MS = 86_400_000
@@ -153,44 +155,59 @@ def state_stream(log: DataFrame, remember: str = "15 days", buckets: int = BUCKE
 COUNTERS = ("records_read", "records_published", "records_rejected", "records_ignored")
 
 
-class FirstEnd(Bucketed):
-    """The first end of a chunk; later ones are redeliveries and count for nothing."""
-
-    def gather(self, came, row: tuple) -> None:
-        """row: ordinal, status, counters. The first by ordinal is kept."""
-        if not came:
-            came.append(row)
-        elif row[0] < came[0][0]:
-            came[0] = row
-
-    def change(self, key: tuple, held: tuple | None, came, clock: int, out: list[tuple]) -> tuple | None:
-        if held:
-            return None
-        _, status, *counts = came[0]
-        done = status == "COMPLETED"
-        out.append((*key, None, None, int(done), int(not done), *[int(n or 0) if done else 0 for n in counts]))
-        return (status,)
-
-
-class JobCounters(Bucketed):
-    """Counters of a job, its manifest, and whether its intent has been written."""
-
-    def change(self, key: tuple, held: tuple | None, came, clock: int, out: list[tuple]) -> tuple | None:
-        expected, sealed, completed, failed, *counts, written = held or (None, False, 0, 0, *[0] * len(COUNTERS), False)
-        for new_expected, new_sealed, new_completed, new_failed, *new in came:
-            if new_expected is not None:
-                if not sealed:  # the first sealed manifest holds
-                    expected, sealed = new_expected, bool(new_sealed)
-            else:
-                completed, failed = completed + new_completed, failed + new_failed
-                counts = [n + m for n, m in zip(counts, new, strict=True)]
-        ready = sealed and not written and completed + failed >= expected
-        if ready:
-            out.append((*key, expected, completed, failed, *counts))
-        return expected, sealed, completed, failed, *counts, written or ready
-
-
-def completion_stream(results: DataFrame, manifests: DataFrame, retention: str = "90 days", buckets: int = BUCKETS) -> DataFrame:
+class FirstEnd(Columnar):
+    """The first end of a chunk, by ordinal within a trigger; later ones are redeliveries and count for nothing."""
+
+    def change(self, held: pa.Table, came: pa.Table, clock: int) -> tuple[pa.Table, pa.Table]:
+        came = came.take(pc.sort_indices(came, [("ordinal", "ascending")]))
+        both = pa.concat_tables([held.select(self.key), came.select(self.key)])
+        first = np.unique(numbers(both, self.key), return_index=True)[1]
+        new = came.take(pa.array(np.sort(first[first >= held.num_rows]) - held.num_rows))
+        done = pc.equal(new["status"], "COMPLETED")
+        columns = {k: new[k] for k in self.key}
+        kept = pa.table([*columns.values(), pa.array(np.full(new.num_rows, clock))], schema=self.kept)
+        columns |= {"expected_chunks": pa.nulls(new.num_rows, pa.int64()), "sealed": pa.nulls(new.num_rows, pa.bool_()), "completed": done.cast(pa.int64()), "failed": pc.invert(done).cast(pa.int64())}
+        columns |= {c: pc.if_else(done, pc.fill_null(new[c], 0), 0) for c in COUNTERS}
+        return pa.concat_tables([held, kept]), pa.table(list(columns.values()), schema=self.out)
+
+
+class JobCounters(Columnar):
+    """Counters of a job, its manifest, and whether its intent has been written. The first sealed manifest
+    holds, or before it comes, the last."""
+
+    held = "expected_chunks long, sealed boolean, written boolean, completed long, failed long, " + ", ".join(f"{c} long" for c in COUNTERS)
+
+    def change(self, held: pa.Table, came: pa.Table, clock: int) -> tuple[pa.Table, pa.Table]:
+        both = pa.concat_tables([held.select(self.key), came.select(self.key)])
+        _, first, job = np.unique(numbers(both, self.key), return_index=True, return_inverse=True)
+        before, now = job[: held.num_rows], job[held.num_rows :]
+
+        def state(c: str) -> np.ndarray:
+            values = held[c].to_numpy()
+            out = np.zeros(len(first), bool if values.dtype == object else values.dtype)
+            out[before] = values
+            return out
+
+        at, expected, sealed, written = map(state, ("changed_ms", "expected_chunks", "sealed", "written"))
+        sums = {c: state(c) for c in ("completed", "failed", *COUNTERS)}
+        at[now] = clock
+        plan = pc.is_valid(came["expected_chunks"]).to_numpy()
+        for c, total in sums.items():
+            np.add.at(total, now[~plan], pc.fill_null(came[c], 0).to_numpy()[~plan])
+        wanted, closed = pc.fill_null(came["expected_chunks"], 0).to_numpy(), pc.fill_null(came["sealed"], False).to_numpy()
+        row = np.full(len(first), -1)
+        for rows in (np.flatnonzero(plan), np.flatnonzero(plan & closed)[::-1]):  # of several the last is written
+            row[now[rows]] = rows
+        new = ~sealed & (row >= 0)
+        expected[new], sealed[new] = wanted[row[new]], closed[row[new]]
+        ready = sealed & ~written & (sums["completed"] + sums["failed"] >= expected)
+        keys = both.take(pa.array(first))
+        kept = pa.table([*keys.columns, *map(pa.array, (at, expected, sealed, written | ready, *sums.values()))], schema=self.kept)
+        out = pa.table([*keys.columns, *map(pa.array, (expected, *sums.values()))], schema=self.out)
+        return kept, out.filter(pa.array(ready))
+
+
+def completion_stream(results: DataFrame, manifests: DataFrame, retention: str = "90 days", buckets: int = COLUMN_BUCKETS) -> DataFrame:
     """results: job_id, chunk_id, ordinal, status and the counters; manifests: job_id, expected_chunks,
     sealed. One intent for each job as soon as its sealed manifest is met: job_id, expected_chunks,
     completed, failed, the counters of completed chunks, status, result and completion_id.
@@ -200,11 +217,11 @@ def completion_stream(results: DataFrame, manifests: DataFrame, retention: str =
     stateful(results.sparkSession)
     fields = "expected_chunks long, sealed boolean, completed long, failed long, " + ", ".join(f"{c} long" for c in COUNTERS)
     over = results.where(F.col("status").isin("COMPLETED", "FAILED")).select("job_id", "chunk_id", "ordinal", "status", *COUNTERS)
-    ends = in_buckets(over, ["job_id", "chunk_id"], lambda n: FirstEnd(n, millis(retention)), fields, "ProcessingTime", buckets).drop("chunk_id")
+    ends = in_columns(over, ["job_id", "chunk_id"], lambda *schemas: FirstEnd(*schemas, millis(retention)), fields, buckets).drop("chunk_id")
     zero = [F.lit(0).cast("long").alias(c) for c in ("completed", "failed", *COUNTERS)]
     plans = manifests.select("job_id", F.col("expected_chunks").cast("long").alias("expected_chunks"), "sealed", *zero)
     out = "expected_chunks long, completed long, failed long, " + ", ".join(f"{c} long" for c in COUNTERS)
-    done = in_buckets(ends.unionByName(plans), ["job_id"], lambda n: JobCounters(n, millis(retention)), out, "ProcessingTime", buckets)
+    done = in_columns(ends.unionByName(plans), ["job_id"], lambda *schemas: JobCounters(*schemas, millis(retention)), out, buckets)
     status, result = job_result(F.col("failed"), F.col("records_rejected"))
     return done.withColumns({"status": status, "result": result, "completion_id": completion_id("job_id", F.lit(1))})
 

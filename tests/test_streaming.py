@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +116,44 @@ def test_one_intent_for_each_job(spark):
     assert (got[4].status, got[4].result, got[4].completed, got[4].failed, got[4].records_read) == ("FAILED", None, 2, 1, 14)
 
 
+def test_ends_and_counters_of_a_bucket_are_folded_together():
+    """Against a loop over rows, for three triggers in a row, with a key that is null and one beyond doubles."""
+    rng = random.Random(6)
+    names = ledgers.COUNTERS
+    longs = lambda *c: [pa.field(n, pa.int64()) for n in c]
+    key, more = longs("job_id"), [*longs("expected_chunks"), pa.field("sealed", pa.bool_()), *longs("completed", "failed", *names)]
+    chunk = pa.field("chunk_id", pa.string())
+    ends = ledgers.FirstEnd(["job_id", "chunk_id"], pa.schema([*key, chunk, *longs("ordinal"), pa.field("status", pa.string()), *longs(*names)]), pa.schema([*key, chunk, *more]), 1000)
+    jobs = ledgers.JobCounters(["job_id"], pa.schema([*key, *more]), pa.schema([*key, *longs("expected_chunks", "completed", "failed", *names)]), 1000)
+    held, kept, seen, state = ends.kept.empty_table(), jobs.kept.empty_table(), set(), {}
+    for trigger in range(3):
+        rows = [(rng.choice([None, 1, 2, 2**60, 2**60 + 1]), rng.choice("abcd"), i, rng.choice(["COMPLETED", "FAILED"]), *[rng.choice([None, 3, 2**54 + 1]) for _ in names]) for i in rng.sample(range(99), 9)]
+        want = []
+        for j, c, _, status, *n in sorted(rows, key=lambda r: r[2]):
+            if (j, c) not in seen:
+                seen.add((j, c))
+                done = status == "COMPLETED"
+                want.append((j, c, None, None, int(done), int(not done), *[(x or 0) if done else 0 for x in n]))
+        held, out = ends.change(held, pa.table(list(zip(*rows)), schema=ends.came), trigger)
+        assert list(zip(*out.to_pydict().values())) == want and held.num_rows == len(seen)
+        came = [(r[0], *r[2:]) for r in want] + [(rng.choice([None, 1, 2, 2**60]), rng.choice([1, 2, 3]), rng.choice([True, False, None]), 0, 0, *[0] * len(names)) for _ in range(4)]
+        rng.shuffle(came)
+        intents = set()
+        for j, expected, sealed, *n in came:
+            s = state.setdefault(j, [None, False, False, *[0] * len(n)])
+            if expected is not None and not s[1]:
+                s[:2] = expected, bool(sealed)
+            s[3:] = [x + y for x, y in zip(s[3:], n)]
+        for j in {r[0] for r in came}:
+            s = state[j]
+            if s[1] and not s[2] and s[3] + s[4] >= s[0]:
+                s[2] = True
+                intents.add((j, s[0], *s[3:]))
+        kept, out = jobs.change(kept, pa.table(list(zip(*came)), schema=jobs.came), trigger)
+        assert set(zip(*out.to_pydict().values())) == intents and out.num_rows == len(intents) and kept.num_rows == len(state)
+    assert any(s[2] for s in state.values())
+
+
 def test_gaps_are_known_after_each_trigger(spark):
     rng = random.Random(2)
     rows = [(g, rng.randrange(1, 60), k) for k, g in enumerate(rng.choices("ab", k=120))]
