@@ -31,8 +31,8 @@ from pyspark.sql.types import StructType
 BUCKETS = 4096
 #: So many rows or bytes are packed at a time, and so many rows unpacked.
 ROWS, BYTES, ROWS_OUT = 65_536, 32 * 1024 * 1024, 10_000
-#: The same for columns, which are worth more rows to a bucket.
-COLUMN_BUCKETS, COLUMN_ROWS = 1024, 131_072
+#: Of columns, whose fold costs less for more keys.
+COLUMN_BUCKETS = 1024
 
 
 class Once:
@@ -297,7 +297,7 @@ def packed_columns(rows: DataFrame, schema: pa.Schema) -> DataFrame:
         for batch in batches:
             held.append(batch)
             n, size = n + batch.num_rows, size + batch.nbytes
-            if n >= COLUMN_ROWS or size >= BYTES:
+            if n >= ROWS or size >= BYTES:
                 yield flushed()
                 held, n, size = [], 0, 0
         if n:
