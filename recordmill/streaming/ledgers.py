@@ -8,7 +8,7 @@ comes again is known by its event id, which is kept for a bounded time.
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from recordmill.functions.identity import completion_id
 from recordmill.functions.states import job_result
-from recordmill.operators.commands import LEASE_US, Admitted, Chunk, on_admission, on_chunk
-from recordmill.streaming.buckets import BUCKETS, COLUMN_BUCKETS, Bucketed, Columnar, in_buckets, in_columns, numbers
+from recordmill.operators.commands import EARLY, LEASE_US, Admitted, Chunk, on_admission, on_chunk
+from recordmill.streaming.buckets import BUCKETS, COLUMN_BUCKETS, Bucketed, Columnar, Folded, in_buckets, in_columns, numbers
 from recordmill.streaming.runs import stateful
 
 DAY_MS = 86_400_000
@@ -30,39 +30,42 @@ def millis(duration: str) -> int:
     return int(pd.Timedelta(duration).total_seconds() * 1000)
 
 
-class AdmissionProcessor(Bucketed):
+def expired(late: pa.Table, out: pa.Schema) -> pa.Table:
+    """A row without an event for each key whose lease ran out."""
+    told = {"event_id": pa.nulls(late.num_rows, pa.int64()), "outcome": pa.array(["leaseExpired"] * late.num_rows, pa.string())}
+    return pa.table([told[c] if c in told else late[c] for c in out.names], schema=out)
+
+
+class AdmissionProcessor(Folded):
     """Jobs by their file ids. A time on the clock tells of a lease that ran out with no delivery."""
 
-    timed = ids = True
+    held = "state string, lease_us long, revision int, owner long, due_ms long"
 
-    def __init__(self, width: int, lease_us: int, retention_ms: int) -> None:
-        super().__init__(width, retention_ms)
+    def __init__(self, *args, lease_us: int, retention_ms: int) -> None:
+        super().__init__(*args, retention_ms)
         self.lease_us = lease_us
 
-    def ordered(self, rows: list[tuple]) -> list[tuple]:
-        return sorted(rows, key=lambda r: (r[1], r[0]))
-
-    def change(self, key: tuple, held: tuple | None, came, clock: int, out: list[tuple]) -> tuple | None:
+    def fold(self, held: tuple | None, rows: Iterator[tuple], clock: int, out: list[tuple]) -> tuple | None:
         *state, due = held or (*vars(Admitted()).values(), None)
         job = Admitted(*state)
         before = job.lease_us
-        for event_id, at_us, kind in came:
+        for event_id, at_us, kind in rows:
             outcome = on_admission(job, kind, at_us, event_id, self.lease_us)
-            out.append((*key, event_id, outcome, job.state, job.revision, job.owner))
+            out.append((outcome, job.state, job.revision, job.owner))
         if job.state is None:
             return None
         if job.lease_us != before:
             due = clock + self.lease_us // 1000
         return job.state, job.lease_us, job.revision, job.owner, due
 
-    def due(self, key: tuple, held: tuple, clock: int, out: list[tuple]) -> tuple[tuple, bool]:
-        state, lease_us, revision, owner, _ = held
-        if state in ("RECEIVED", "VALIDATING", "PLANNING"):
-            out.append((*key, None, "leaseExpired", state, revision, owner))
-        return (state, lease_us, revision, owner, None), False
+    def due(self, held: pa.Table, limit: int, clock: int) -> tuple[pa.Table, pa.Table, pa.Table]:
+        over = pc.fill_null(pc.less_equal(held["due_ms"], limit), False)
+        late = held.filter(pc.and_(over, pc.is_in(held["state"], pa.array(EARLY))))
+        due = pc.if_else(over, pa.scalar(None, pa.int64()), held["due_ms"])
+        return held.set_column(held.num_columns - 1, "due_ms", due), expired(late, self.out), held.slice(0, 0)
 
 
-def admission_stream(commands: DataFrame, lease_us: int = LEASE_US, retention: str = "90 days", buckets: int = BUCKETS) -> DataFrame:
+def admission_stream(commands: DataFrame, lease_us: int = LEASE_US, retention: str = "90 days", buckets: int = COLUMN_BUCKETS) -> DataFrame:
     """commands as in ``admission_log`` -> file_id, event_id, outcome, state, revision, owner after each.
 
     Whether a lease has run out is decided by the time of the delivery that asks, so the rows are those
@@ -70,47 +73,43 @@ def admission_stream(commands: DataFrame, lease_us: int = LEASE_US, retention: s
     with outcome leaseExpired and no event. A job is forgotten ``retention`` after its last change."""
     stateful(commands.sparkSession)
     rows = commands.select("file_id", F.col("event_id").cast("long").alias("event_id"), "at_us", "kind")
-    return in_buckets(rows, ["file_id"], lambda n: AdmissionProcessor(n, lease_us, millis(retention)), "event_id long, outcome string, state string, revision int, owner long", "ProcessingTime", buckets)
+    make = lambda *schemas: AdmissionProcessor(*schemas, lease_us=lease_us, retention_ms=millis(retention))
+    return in_columns(rows, ["file_id"], make, "event_id long, outcome string, state string, revision int, owner long", buckets)
 
 
-class ChunkProcessor(Bucketed):
+class ChunkProcessor(Folded):
     """The state of a chunk and the time of its last command, from which its lease runs. The time it
     waits for, by the watermark, is first that of the lease of a running chunk, then to forget the event ids."""
 
-    timed = ids = True
+    held = "state string, attempt int, revision int, records long, last_ms long, due_ms long"
 
-    def __init__(self, width: int, lease_ms: int, remember_ms: int) -> None:
-        super().__init__(width)
+    def __init__(self, *args, lease_ms: int, remember_ms: int) -> None:
+        super().__init__(*args)
         self.lease_ms, self.remember_ms = lease_ms, remember_ms
 
     def clock(self, timers) -> int:
         return timers.getCurrentWatermarkInMs()
 
-    def ordered(self, rows: list[tuple]) -> list[tuple]:
-        return sorted(rows, key=lambda r: (r[1], r[0]))
-
-    def change(self, key: tuple, held: tuple | None, came, clock: int, out: list[tuple]) -> tuple | None:
-        if not came:  # a redelivery alone moves no lease
-            return None
+    def fold(self, held: tuple | None, rows: Iterator[tuple], clock: int, out: list[tuple]) -> tuple | None:
         *c, last, _ = held or (*vars(Chunk()).values(), 0, None)
         chunk = Chunk(*c)
-        for event_id, at_us, kind, attempt, records in came:
+        for _, at_us, kind, attempt, records in rows:
             last = max(last, at_us // 1000)
-            outcome = on_chunk(chunk, kind, attempt, records)
-            out.append((*key, event_id, outcome, chunk.state, chunk.revision))
+            out.append((on_chunk(chunk, kind, attempt, records), chunk.state, chunk.revision))
         due = max(last + (self.lease_ms if chunk.state == "RUNNING" else self.remember_ms), clock + 1)
         return chunk.state, chunk.attempt, chunk.revision, chunk.records, last, due
 
-    def due(self, key: tuple, held: tuple, clock: int, out: list[tuple]) -> tuple[tuple, bool]:
-        *c, last, at = held
-        state, _, revision, _ = c
-        over = at >= last + self.remember_ms
-        if state == "RUNNING" and not over:
-            out.append((*key, None, "leaseExpired", state, revision))
-        return (*c, last, None if over else max(last + self.remember_ms, clock + 1)), over
+    def due(self, held: pa.Table, limit: int, clock: int) -> tuple[pa.Table, pa.Table, pa.Table]:
+        now = pc.fill_null(pc.less_equal(held["due_ms"], limit), False)
+        forget = pc.add(held["last_ms"], self.remember_ms)
+        over = pc.and_(now, pc.fill_null(pc.greater_equal(held["due_ms"], forget), False))
+        late = held.filter(pc.and_(pc.and_not(now, over), pc.equal(held["state"], "RUNNING")))
+        later = pc.if_else(over, pa.scalar(None, pa.int64()), pc.max_element_wise(forget, clock + 1))
+        due = pc.if_else(now, later, held["due_ms"])
+        return held.set_column(held.num_columns - 1, "due_ms", due), expired(late, self.out), held.filter(over)
 
 
-def chunk_stream(commands: DataFrame, lease: str = "15 minutes", late: str = "0 seconds", remember: str = "15 days", buckets: int = BUCKETS) -> DataFrame:
+def chunk_stream(commands: DataFrame, lease: str = "15 minutes", late: str = "0 seconds", remember: str = "15 days", buckets: int = COLUMN_BUCKETS) -> DataFrame:
     """commands as in ``chunk_log`` -> job_id, chunk_id, event_id, outcome, state and revision after
     each, and a row with outcome leaseExpired (no event) for a chunk that ran past its lease by the
     watermark, ``late`` behind the newest command of any chunk. Late commands are folded when they
@@ -120,36 +119,42 @@ def chunk_stream(commands: DataFrame, lease: str = "15 minutes", late: str = "0
     stateful(commands.sparkSession)
     rows = commands.withWatermark("at", late).select("job_id", "chunk_id", F.col("event_id").cast("long").alias("event_id"), F.unix_micros("at").alias("at_us"), "kind", "attempt", "records")
     out = "event_id long, outcome string, state string, revision int"
-    return in_buckets(rows, ["job_id", "chunk_id"], lambda n: ChunkProcessor(n, millis(lease), millis(remember)), out, "EventTime", buckets)
+    make = lambda *schemas: ChunkProcessor(*schemas, lease_ms=millis(lease), remember_ms=millis(remember))
+    return in_columns(rows, ["job_id", "chunk_id"], make, out, buckets, "EventTime")
 
 
-class JobState(Bucketed):
+class JobState(Columnar):
     """The latest state of a job by (time, event id), and how many different events it had."""
 
     ids = True
+    held = "event_id long, at_us long, state string, events long"
 
-    def __init__(self, width: int, remember_ms: int) -> None:
-        super().__init__(width, ids_ms=remember_ms)
-
-    def change(self, key: tuple, held: tuple | None, came, clock: int, out: list[tuple]) -> tuple | None:
-        at, event, state, n = held or (None, None, None, 0)
-        for event_id, at_us, to in came:
-            n += 1
-            if at is None or (at_us, event_id) > (at, event):
-                at, event, state = at_us, event_id, to
-        if not n:
-            return None
-        out.append((*key, state, n))
-        return at, event, state, n
-
-
-def state_stream(log: DataFrame, remember: str = "15 days", buckets: int = BUCKETS) -> DataFrame:
+    def change(self, held: pa.Table, came: pa.Table, clock: int) -> tuple[pa.Table, pa.Table]:
+        new = self.seen.new(came)
+        keys = pa.concat_tables([t.select(self.key) for t in (held, new, came)])
+        _, first, job = np.unique(numbers(keys, self.key), return_index=True, return_inverse=True)
+        before, now, touched = np.split(job, np.cumsum([held.num_rows, new.num_rows]))
+        n, at = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        n[before], at[before] = held["events"].to_numpy(), held["changed_ms"].to_numpy()
+        np.add.at(n, now, 1)
+        at[touched] = clock
+        # of equals the last is taken: what is held, or else what came first
+        names = ["event_id", "at_us", "state"]
+        rows = pa.concat_tables([new.select(names).take(pa.array(np.arange(len(now))[::-1])), held.select(names)])
+        rows = rows.append_column("job", pa.array(np.concatenate([now[::-1], before])))
+        rows = rows.take(pc.sort_indices(rows, [("job", "ascending"), ("at_us", "ascending"), ("event_id", "ascending")], null_placement="at_start"))
+        last = rows.filter(pa.array(np.diff(rows["job"].to_numpy(), append=-1) != 0))
+        kept = pa.table([*keys.take(pa.array(first)).columns, pa.array(at), *last.select(names).columns, pa.array(n)], schema=self.kept)
+        return kept, kept.take(pa.array(np.unique(touched))).select(self.out.names)
+
+
+def state_stream(log: DataFrame, remember: str = "15 days", buckets: int = COLUMN_BUCKETS) -> DataFrame:
     """log: job_id, event_id, at, state -> job_id, state, events after each trigger that brings any: the
     latest event decides, so any order of arrival ends in the same state, and one that comes again
     within ``remember`` is not counted again."""
     stateful(log.sparkSession)
     rows = log.select("job_id", F.col("event_id").cast("long").alias("event_id"), F.unix_micros("at").alias("at_us"), "state")
-    return in_buckets(rows, ["job_id"], lambda n: JobState(n, millis(remember)), "state string, events long", "ProcessingTime", buckets)
+    return in_columns(rows, ["job_id"], lambda *schemas: JobState(*schemas, ids_ms=millis(remember)), "state string, events long", buckets)
 
 
 COUNTERS = ("records_read", "records_published", "records_rejected", "records_ignored")
@@ -259,9 +264,6 @@ class Intervals(Bucketed):
         super().__init__(width)
         self.first, self.limit = first, limit
 
-    def clock(self, timers) -> int:
-        return 0
-
     def fresh(self) -> array:
         return array("q")
 
@@ -269,7 +271,7 @@ class Intervals(Bucketed):
         if row[0] is not None and row[0] >= self.first:
             came.append(row[0])
 
-    def change(self, key: tuple, held: tuple | None, came, clock: int, out: list[tuple]) -> tuple | None:
+    def change(self, key: tuple, held: tuple | None, came, out: list[tuple]) -> tuple:
         starts, ends, number = held or ([], [], 0)
         if len(starts) + len(came) <= FEW:
             starts, ends = merged_few(starts, ends, came)

@@ -27,17 +27,32 @@ def stateful(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
+#: A stream's state is kept in so many partitions at most where there are few cores.
+STATE_PARTITIONS = 24
+
+
+def state_partitions(spark: SparkSession) -> int:
+    """Of a new stream's state: two for each core, if ``spark.sql.shuffle.partitions`` names more. Each
+    partition opens a state store and a Python worker in each trigger and commits it, which takes about a
+    second whatever it holds; what a task has in memory is a bucket, not a partition."""
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(asked, max(STATE_PARTITIONS, 2 * spark.sparkContext.defaultParallelism))
+
+
 def started(stream: DataFrame, out: str, mark: str, mode: str = "append", clocked: bool = False):
     """The stream into a Parquet table, over what is there now. A stream with timers on the clock
     (``clocked``) would go on with triggers without data for ever; here it ends with its data, and timers
-    that are due fire with the next."""
-    conf, idle = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = conf.get(idle)
-    conf.set(idle, "false" if clocked else before)
+    that are due fire with the next. A stream that goes on from its checkpoint has the partitions it began with."""
+    spark = stream.sparkSession
+    names = {"spark.sql.streaming.noDataMicroBatches.enabled": "false" if clocked else None, "spark.sql.shuffle.partitions": str(state_partitions(spark))}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value or before[name])
     try:
         return stream.writeStream.format("parquet").outputMode(mode).option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start()
     finally:
-        conf.set(idle, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:

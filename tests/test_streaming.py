@@ -4,11 +4,12 @@ from datetime import datetime, timedelta
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from recordmill.operators import commands, metrics, quality
 from recordmill.sources.framed import FramedFiles
-from recordmill.streaming import ledgers, runs
+from recordmill.streaming import buckets, ledgers, runs
 from recordmill.streaming.flows import with_quarantine
 from recordmill.streaming.ledgers import admission_stream, alarm_stream, chunk_stream, completion_stream, gap_stream
 from recordmill.streaming.runs import fed, folder, started
@@ -154,6 +155,136 @@ def test_ends_and_counters_of_a_bucket_are_folded_together():
     assert any(s[2] for s in state.values())
 
 
+class Bucket:
+    """One bucket's handle, list and value state, timer and clock."""
+
+    def __init__(self):
+        self.values, self.one, self.timers, self.now = [], None, [], 0
+
+    def getListState(self, *_, **__):  # noqa: N802
+        outer = self
+        return type("L", (), {"get": lambda s: list(outer.values), "appendValue": lambda s, v: outer.values.append(v), "put": lambda s, v: setattr(outer, "values", v), "clear": lambda s: setattr(outer, "values", [])})()
+
+    def getValueState(self, *_, **__):  # noqa: N802
+        outer = self
+        return type("V", (), {"get": lambda s: outer.one, "update": lambda s, v: setattr(outer, "one", v), "clear": lambda s: setattr(outer, "one", None)})()
+
+    def listTimers(self):  # noqa: N802
+        return list(self.timers)
+
+    def deleteTimer(self, t):  # noqa: N802
+        self.timers.remove(t)
+
+    def registerTimer(self, t):  # noqa: N802
+        self.timers.append(t)
+
+    def getCurrentProcessingTimeInMs(self):  # noqa: N802
+        return self.now
+
+    getCurrentWatermarkInMs = getCurrentProcessingTimeInMs
+
+    def trigger(self, op, rows, now):
+        self.now = now
+        came = [Row(rows=buckets.written(pa.table(list(zip(*part)), schema=op.came))) for part in (rows[:5], rows[5:]) if part]
+        return self.rows(op, op.handleInputRows((0,), came, self))
+
+    def fired(self, op, now):
+        self.now = now
+        (due,) = self.timers
+        assert due <= now
+        return self.rows(op, op.handleExpiredTimer((0,), self, type("E", (), {"getExpiryTimeInMs": lambda s: due})()))
+
+    @staticmethod
+    def rows(op, told):
+        return [tuple(r.values()) for x in told for r in buckets.read(x.rows, op.out).to_pylist()]
+
+
+def fields(**kinds):
+    return pa.schema([pa.field(n, k) for n, k in kinds.items()])
+
+
+LONG, INT, STRING = pa.int64(), pa.int32(), pa.string()
+
+
+def test_chunks_of_a_bucket_come_and_go_as_columns():
+    """Against a loop over keys, for four triggers that bring some again, with keys that are null."""
+    rng = random.Random(8)
+    came = fields(job_id=LONG, chunk_id=STRING, event_id=LONG, at_us=LONG, kind=STRING, attempt=INT, records=LONG)
+    out = fields(job_id=LONG, chunk_id=STRING, event_id=LONG, outcome=STRING, state=STRING, revision=INT)
+    op, bucket = ledgers.ChunkProcessor(["job_id", "chunk_id"], came, out, lease_ms=1000, remember_ms=9000), Bucket()
+    op.init(bucket)
+    seen, chunks, last, before = set(), {}, {}, []
+    for trigger in range(4):
+        new = [(rng.choice([None, 1, 2, 2**60 + 1]), rng.choice("ab"), 100 * trigger + i, rng.randrange(10**6), rng.choice(["acquire", "start", "complete", "fail"]), rng.choice([1, 2, 3]), i) for i in range(30)]
+        rows = new + before[::3] + new[:4]
+        rng.shuffle(rows)
+        want = []
+        for j, c, i, at, kind, attempt, n in sorted(rows, key=lambda r: (r[3], r[2])):
+            if (j, c, i) not in seen:
+                seen.add((j, c, i))
+                chunk = chunks.setdefault((j, c), commands.Chunk())
+                want.append((j, c, i, commands.on_chunk(chunk, kind, attempt, n), chunk.state, chunk.revision))
+                last[j, c] = max(last.get((j, c), 0), at // 1000)
+        assert sorted(bucket.trigger(op, rows, 0), key=str) == sorted(want, key=str)
+        before = new
+    assert len(bucket.values) == 4 and bucket.trigger(op, before, 0) == []  # a value a trigger, none for redeliveries alone
+    running = {k for k, c in chunks.items() if c.state == "RUNNING"}
+    assert bucket.timers == [min(last[k] + (1000 if k in running else 9000) for k in chunks)] and running
+    late = bucket.fired(op, 2500)
+    assert {r[:2] for r in late} == running and {r[2:4] for r in late} == {(None, "leaseExpired")} and len(late) == len(running)
+    assert bucket.trigger(op, before, 2500) == []
+    assert bucket.fired(op, 20_000) == [] and bucket.timers == [] and bucket.values == []
+    assert len(bucket.trigger(op, before, 20_000)) == len(before)  # forgotten
+
+
+def test_admissions_of_a_bucket_come_and_go_as_columns():
+    rng = random.Random(9)
+    came, out = fields(file_id=STRING, event_id=LONG, at_us=LONG, kind=STRING), fields(file_id=STRING, event_id=LONG, outcome=STRING, state=STRING, revision=INT, owner=LONG)
+    op, bucket = ledgers.AdmissionProcessor(["file_id"], came, out, lease_us=10**7, retention_ms=10**6), Bucket()
+    op.init(bucket)
+    rows = [(f, i, at * 1000, kind) for f, i, at, kind in ((rng.choice(["a", "b", None, "c"]), k, k, rng.choice(["deliver", "VALIDATING", "PLANNING", "FAILED"])) for k in range(60))]
+    jobs, want = {}, []
+    for f, i, at, kind in rows:
+        job = jobs.setdefault(f, commands.Admitted())
+        want.append((f, i, commands.on_admission(job, kind, at, i, 10**7), job.state, job.revision, job.owner))
+    got = [r for k in range(3) for r in bucket.trigger(op, rows[20 * k : 20 * k + 20] + rows[20 * k - 20 : 20 * k : 3] * (k > 0), k)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert bucket.trigger(op, [("new", 99, 0, "VALIDATING")], 3) == [("new", 99, "unknown", None, 0, None)]
+    early = {f for f, job in jobs.items() if job.state in commands.EARLY}
+    assert {r[0] for r in bucket.fired(op, 20_000)} == early and bucket.timers == []
+    assert bucket.trigger(op, [("a", 100, 0, "deliver")], 2 * 10**6)[0][2] == "acquired"  # forgotten by then
+
+
+def test_job_states_of_a_bucket_come_and_go_as_columns():
+    rng = random.Random(10)
+    came, out = fields(job_id=LONG, event_id=LONG, at_us=LONG, state=STRING), fields(job_id=LONG, state=STRING, events=LONG)
+    op, bucket = ledgers.JobState(["job_id"], came, out, ids_ms=1000), Bucket()
+    op.init(bucket)
+    seen, before = {}, []
+    for trigger in range(4):
+        new = [(rng.choice([None, 1, 2, 2**60]), 100 * trigger + i, rng.randrange(6), rng.choice(["A", "B", None])) for i in range(12)]
+        rows = new + before[::3] + new[:3]
+        for j, i, at, state in rows:
+            seen.setdefault(j, {})[i] = (at, i, state)
+        want = {(j, max(seen[j].values(), key=lambda e: e[:2])[2], len(seen[j])) for j in {r[0] for r in rows}}
+        got = bucket.trigger(op, rows, trigger)
+        assert set(got) == want and len(got) == len(want)
+        before = new
+    assert set(bucket.trigger(op, before, 9)) == {r for r in {(j, max(seen[j].values(), key=lambda e: e[:2])[2], len(seen[j])) for j in {r[0] for r in before}}}
+
+
+def test_a_stream_keeps_its_state_in_as_many_partitions_as_cores_need(spark, monkeypatch):
+    queries, start = [], runs.started
+    monkeypatch.setattr(runs, "started", lambda *a, **k: queries.append(start(*a, **k)) or queries[-1])
+    monkeypatch.setattr(runs, "STATE_PARTITIONS", 1)
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    df = spark.range(30).selectExpr("id % 10 AS job_id", "id AS event_id", "timestamp_seconds(id) AS at", "string(id) AS state")
+    got = fed(df, F.lit(0), 1, ledgers.state_stream, "few", clocked=True)
+    assert {r.job_id: (r.state, r.events) for r in got.collect()} == {k: (str(20 + k), 3) for k in range(10)}
+    assert queries[0].lastProgress["stateOperators"][0]["numShufflePartitions"] == 2 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+
+
 def test_gaps_are_known_after_each_trigger(spark):
     rng = random.Random(2)
     rows = [(g, rng.randrange(1, 60), k) for k, g in enumerate(rng.choices("ab", k=120))]
