@@ -285,6 +285,20 @@ def test_a_stream_keeps_its_state_in_as_many_partitions_as_cores_need(spark, mon
     assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
 
 
+def rows_of_state(spark, monkeypatch, make, *columns):
+    """Of a stream over 8000 keys: what is read and written one by one, and takes a trigger's time."""
+    queries, start = [], runs.started
+    monkeypatch.setattr(runs, "started", lambda *a, **k: queries.append(start(*a, **k)) or queries[-1])
+    out = fed(spark.range(8000).selectExpr(*columns), F.lit(0), 1, make, "rows", clocked=True)
+    assert out.where("state = 'RECEIVED'").count() == 8000
+    return queries[0].lastProgress["stateOperators"][0]["numRowsTotal"]
+
+
+def test_admissions_have_two_rows_of_state_for_a_bucket(spark, monkeypatch):
+    n = rows_of_state(spark, monkeypatch, admission_stream, "id AS file_id", "id AS at_us", "id AS event_id", "'deliver' AS kind")
+    assert n <= 2 * buckets.COLUMN_BUCKETS
+
+
 def test_gaps_are_known_after_each_trigger(spark):
     rng = random.Random(2)
     rows = [(g, rng.randrange(1, 60), k) for k, g in enumerate(rng.choices("ab", k=120))]
