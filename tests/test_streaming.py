@@ -299,6 +299,11 @@ def test_admissions_have_two_rows_of_state_for_a_bucket(spark, monkeypatch):
     assert n <= 2 * buckets.COLUMN_BUCKETS
 
 
+def test_job_states_have_two_rows_of_state_for_a_bucket(spark, monkeypatch):
+    n = rows_of_state(spark, monkeypatch, ledgers.state_stream, "id AS job_id", "id AS event_id", "timestamp_seconds(id) AS at", "'RECEIVED' AS state")
+    assert n <= 2 * buckets.COLUMN_BUCKETS
+
+
 def test_gaps_are_known_after_each_trigger(spark):
     rng = random.Random(2)
     rows = [(g, rng.randrange(1, 60), k) for k, g in enumerate(rng.choices("ab", k=120))]
